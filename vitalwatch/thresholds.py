@@ -13,29 +13,31 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class RangeRule:
-    """Flag when ``value < lo`` or ``value > hi`` (strict; ``None`` = no bound)."""
+    """Flag when ``value < lo`` or ``value > hi`` (strict; ``None`` = no bound).
+
+    ``message`` is a ``format_string`` pattern taking (value, lo, hi), or
+    (value, hi) when there is no lower bound.
+    """
 
     metric: str
     lo: float | None
     hi: float | None
-    label: str  # noun phrase used in the alert text
-    unit: str  # text printed after the value ("" for none)
+    message: str
 
 
 @dataclass(frozen=True)
 class TrendRule:
-    """Flag when the value departs from the mean of the last ``window`` values.
+    """Flag when the value departs from the mean of the last ``history`` values.
 
-    ``kind`` is one of ``"mul_above"`` (x > avg * factor), ``"add_above"``
-    (x > avg + delta) and ``"mul_below"`` (x < avg * factor).
+    ``kind`` is one of ``"mul_above"`` (x > avg * amount), ``"add_above"``
+    (x > avg + amount) and ``"mul_below"`` (x < avg * amount). ``message``
+    takes (value, avg).
     """
 
     metric: str
     kind: str
     amount: float
-    label: str
-    unit: str
-    direction: str  # "increase" or "drop", used in the alert text
+    message: str
 
 
 # ---- fixed values (must match the reference job) --------------------------
@@ -52,28 +54,55 @@ class TrendRule:
 HISTORY_SIZE = 10
 COOLDOWN_SECONDS = 60
 
+# Alert texts, one per rule, in metric order (Java/Spark %.1f rounds half up).
 RANGE_RULES: tuple[RangeRule, ...] = (
-    RangeRule("heart_rate", 50.0, 120.0, "Heart rate", " bpm"),
-    RangeRule("temperature", 35.0, 39.5, "Temperature", "°C"),
-    RangeRule("systolic_pressure", 80.0, 150.0, "Systolic pressure", " mmHg"),
-    RangeRule("diastolic_pressure", 40.0, 100.0, "Diastolic pressure", " mmHg"),
-    RangeRule("oxygen_saturation", 90.0, 100.0, "Oxygen saturation", "%"),
-    RangeRule("respiration_rate", 10.0, 25.0, "Respiration rate", " breaths/min"),
-    RangeRule("blood_glucose", 60.0, 180.0, "Blood glucose", " mg/dL"),
-    RangeRule("stress_level", None, 6.0, "Stress level", ""),
+    RangeRule("heart_rate", 50.0, 120.0,
+              "Heart rate of %.1f bpm is outside normal range (%.1f-%.1f)."),
+    RangeRule("temperature", 35.0, 39.5,
+              "Temperature of %.1f°C is outside normal range (%.1f-%.1f)."),
+    RangeRule("systolic_pressure", 80.0, 150.0,
+              "Systolic pressure of %.1f mmHg is outside normal range (%.1f-%.1f)."),
+    RangeRule("diastolic_pressure", 40.0, 100.0,
+              "Diastolic pressure of %.1f mmHg is outside normal range (%.1f-%.1f)."),
+    RangeRule("oxygen_saturation", 90.0, 100.0,
+              "Oxygen saturation of %.1f%% is outside normal range (%.1f-%.1f)."),
+    RangeRule("respiration_rate", 10.0, 25.0,
+              "Respiration rate of %.1f breaths/min is outside normal range (%.1f-%.1f)."),
+    RangeRule("blood_glucose", 60.0, 180.0,
+              "Blood glucose of %.1f mg/dL is outside normal range (%.1f-%.1f)."),
+    RangeRule("stress_level", None, 6.0,
+              "Stress level of %.1f is unusually high (>%.1f)."),
 )
 
 TREND_RULES: tuple[TrendRule, ...] = (
-    TrendRule("heart_rate", "mul_above", 1.15, "heart rate", " bpm", "increase"),
-    TrendRule("temperature", "add_above", 1.0, "temperature", "°C", "increase"),
-    TrendRule("systolic_pressure", "mul_above", 1.10, "systolic pressure", " mmHg", "increase"),
-    TrendRule("diastolic_pressure", "mul_above", 1.10, "diastolic pressure", " mmHg", "increase"),
-    TrendRule("oxygen_saturation", "mul_below", 0.97, "oxygen saturation", "%", "drop"),
-    TrendRule("respiration_rate", "add_above", 5.0, "respiration rate", " breaths/min", "increase"),
-    TrendRule("blood_glucose", "add_above", 30.0, "blood glucose", " mg/dL", "increase"),
-    TrendRule("stress_level", "add_above", 3.0, "stress level", "", "increase"),
+    TrendRule("heart_rate", "mul_above", 1.15,
+              "Gradual heart rate increase detected! Current: %.1f bpm, Average: %.1f bpm."),
+    TrendRule("temperature", "add_above", 1.0,
+              "Gradual temperature increase detected! Current: %.1f°C, Average: %.1f°C."),
+    TrendRule("systolic_pressure", "mul_above", 1.10,
+              "Gradual systolic pressure increase detected! Current: %.1f mmHg, Average: %.1f mmHg."),
+    TrendRule("diastolic_pressure", "mul_above", 1.10,
+              "Gradual diastolic pressure increase detected! Current: %.1f mmHg, Average: %.1f mmHg."),
+    TrendRule("oxygen_saturation", "mul_below", 0.97,
+              "Gradual oxygen saturation drop detected! Current: %.1f%%, Average: %.1f%%."),
+    TrendRule("respiration_rate", "add_above", 5.0,
+              "Gradual respiration rate increase detected! Current: %.1f breaths/min, Average: %.1f breaths/min."),
+    TrendRule("blood_glucose", "add_above", 30.0,
+              "Gradual blood glucose increase detected! Current: %.1f mg/dL, Average: %.1f mg/dL."),
+    TrendRule("stress_level", "add_above", 3.0,
+              "Gradual stress level increase detected! Current: %.1f, Average: %.1f."),
 )
 
+# Alert mail: subject prefix and body text around the message bullets.
+ALERT_SUBJECT = "Urgent Health Alert for "
+ALERT_BODY_HEAD = ("Dear User,\n\n"
+                   "We've detected unusual activity from your health sensors at {ts}.\n\n"
+                   "Please review the following:\n\n")
+ALERT_BULLET = "- {msg}\n"
+ALERT_BODY_TAIL = ("\nIt's important to pay attention to these changes and consider taking action.\n\n"
+                   "Your well-being is our priority. This is an automated alert and not medical advice. "
+                   "Always consult a qualified healthcare professional for any health concerns.")
+
 # Normal-range clamp of the device simulator, re-used as a cleaning operator:
 #   heart_rate 55-105, temperature 36.0-38.0, systolic 85-135, diastolic 55-85,
 #   oxygen saturation 94-100, respiration 10-22, blood glucose 65-120, stress 0-5.
