@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.messages import alert_rows, message_codes
+from ..functions.parse import forward, parse_messages, split
+from ..sources.messages import raw_messages
 from ..operators.cooldown import cooldown
 from ..operators.detect import detect
 from ..sources.tables import readings
@@ -103,6 +105,23 @@ def spark_queries() -> dict[str, Query]:
     q["no_value"] = lambda s, d: D.no_value(_detected(s, d), *RANGE)
     q["band"] = lambda s, d: D.bands(_detected(s, d), *RANGE)
     q["range_preset"] = range_preset
+    q.update(parse_queries())
+    return q
+
+
+def _parsed(spark, sf_dir, mode="strict"):
+    return parse_messages(raw_messages(spark, sf_dir), keep=("event_id",), mode=mode)
+
+
+def parse_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    q["parse_roundtrip"] = lambda s, d: split(_parsed(s, d))[0]
+    q["parse_lenient"] = lambda s, d: split(_parsed(s, d, "lenient"))[0].drop(
+        "device_id", "reading_ts")
+    q["quarantine_split"] = lambda s, d: _parsed(s, d).select("event_id", "reason")
+    q["prj_timestamp"] = lambda s, d: _parsed(s, d).select("event_id", "reading_ts")
+    q["forward_split"] = lambda s, d: forward(raw_messages(s, d), keep=("event_id",)).select(
+        "event_id", "key", "reason")
     return q
 
 

@@ -53,6 +53,47 @@ detected AS (SELECT *, ({rule_any}) AS rule_any, ({trend_any}) AS trend_any,
                     ({rule_any}) OR ({trend_any}) AS is_anomaly FROM flags)"""
 
 
+def _raw_cte() -> str:
+    """The readings with the columns the raw-message fixture is damaged by."""
+    return (f"raw_src AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k "
+            f"FROM ({readings_sql('duckdb', 'event_type, props')}) s)")
+
+
+def _dmg(kind: str) -> str:
+    return f"(event_type = '{kind}' AND k < 10)"
+
+
+def parse_queries() -> dict[str, str]:
+    cte = "WITH " + _raw_cte()
+    out = {}
+    good = f"NOT ({_dmg('error')} OR {_dmg('signup')} OR {_dmg('purchase')})"
+    cols = []
+    for m in ALL_METRICS:
+        cols.append(f"CASE WHEN {_dmg('view')} THEN NULL ELSE {m} END AS {m}" if m == "heart_rate"
+                    else m)
+    out["parse_roundtrip"] = (f"{cte} SELECT event_id, device_id, reading_ts, {', '.join(cols)} "
+                              f"FROM raw_src WHERE {good}")
+    lcols = []
+    for m in ALL_METRICS:
+        if m == "heart_rate":
+            lcols.append(f"CASE WHEN {_dmg('view')} THEN 0.0 ELSE {m} END AS {m}")
+        elif m == "steps_count":
+            lcols.append(m)
+        else:
+            lcols.append(f"CASE WHEN {_dmg('view')} THEN coalesce({m}, 0.0) ELSE {m} END AS {m}")
+    out["parse_lenient"] = f"{cte} SELECT event_id, {', '.join(lcols)} FROM raw_src WHERE {good}"
+    out["quarantine_split"] = (f"{cte} SELECT event_id, CASE WHEN {_dmg('error')} THEN 'bad_json' "
+                               f"WHEN {_dmg('signup')} THEN 'missing_key' "
+                               f"WHEN {_dmg('purchase')} THEN 'bad_timestamp' END AS reason "
+                               f"FROM raw_src")
+    out["prj_timestamp"] = (f"{cte} SELECT event_id, CASE WHEN {_dmg('error')} OR {_dmg('purchase')} "
+                            f"THEN NULL ELSE reading_ts END AS reading_ts FROM raw_src")
+    out["forward_split"] = (f"{cte} SELECT event_id, CASE WHEN {_dmg('error')} OR {_dmg('signup')} "
+                            f"THEN NULL ELSE device_id END AS key, "
+                            f"CASE WHEN {_dmg('error')} THEN 'bad_json' END AS reason FROM raw_src")
+    return out
+
+
 def _range(start: str, end: str) -> str:
     return f"reading_ts BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'"
 
@@ -123,4 +164,5 @@ def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
                            f"FROM detected WHERE reading_ts BETWEEN "
                            f"(SELECT max(reading_ts) FROM readings) - INTERVAL 7 DAY "
                            f"AND (SELECT max(reading_ts) FROM readings) ORDER BY reading_ts, event_id")
+    out.update(parse_queries())
     return out

@@ -30,6 +30,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     for k, v in SETTINGS.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        # local mode runs every task in the driver JVM
+        builder = builder.config("spark.driver.memory", os.environ.get("VW_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

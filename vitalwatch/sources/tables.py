@@ -17,7 +17,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Fixed values of the fixture view: metric formulas and the event_id moduli
 # that turn a value into a missing reading (FIXTURES.md section 3).
 READINGS_SQL = """
-SELECT event_id,
+SELECT event_id,{extra}
        concat('device_', cast(user_id AS {str})) AS device_id,
        ts AS reading_ts,
        CASE WHEN event_id % 13 = 0 THEN NULL ELSE cast(60 + floor(value/2.5) AS double) END AS heart_rate,
@@ -34,8 +34,10 @@ FROM events
 """
 
 
-def readings_sql(dialect: str = "spark") -> str:
-    return READINGS_SQL.format(str="string" if dialect == "spark" else "varchar")
+def readings_sql(dialect: str = "spark", extra: str = "") -> str:
+    """The view text; ``extra`` adds more ``events`` columns after ``event_id``."""
+    return READINGS_SQL.format(str="string" if dialect == "spark" else "varchar",
+                               extra=(" " + extra + ",") if extra else "")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,10 +49,10 @@ def register(spark: SparkSession, sf_dir: str, names=("events",)) -> None:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, extra: str = "") -> DataFrame:
     """Device readings derived from ``events``; one row per event, whole table."""
     events = table(spark, sf_dir, "events")
-    # a per-frame view name keeps concurrent sessions on different folders apart
+    # a per-folder view name keeps frames over different folders apart
     view = "events_" + str(abs(hash(os.path.abspath(sf_dir))))
     events.createOrReplaceTempView(view)
-    return spark.sql(readings_sql("spark").replace("FROM events", f"FROM {view}"))
+    return spark.sql(readings_sql("spark", extra).replace("FROM events", f"FROM {view}"))
