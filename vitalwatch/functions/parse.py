@@ -41,13 +41,16 @@ def _metric(name: str, mode: str) -> Column:
 
 
 def parse_messages(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = (),
-                   mode: str = "strict", source_zone: str | None = None) -> DataFrame:
+                   mode: str = "strict", source_zone: str | None = None,
+                   extra_fields: dict[str, str] | None = None) -> DataFrame:
     """``keep`` columns, ``raw``, device_id, reading_ts, the metrics and ``reason``.
 
     ``reason`` is NULL for a good reading, else ``bad_json``, ``missing_key``
     or ``bad_timestamp``. ``reading_ts`` is TIMESTAMP_NTZ (the producer writes
     naive local time); with ``source_zone`` it is converted to a UTC TIMESTAMP.
+    ``extra_fields`` (name -> SQL type) reads more fields, e.g. an event id.
     """
+    extra = dict(extra_fields or {})
     if mode not in ("strict", "lenient"):
         raise ValueError("mode is 'strict' or 'lenient'")
     text = F.col(value).cast("string")
@@ -59,18 +62,21 @@ def parse_messages(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
     rec = F.struct(F.col("_v").isNull().alias("_bad"),
                    _field("device_id", "string").alias("device_id"),
                    _field("timestamp", "string").alias("_ts"),
-                   *[_metric(m, mode).alias(m) for m in METRICS])
+                   *[_metric(m, mode).alias(m) for m in METRICS],
+                   *[_field(n, t).alias(n) for n, t in extra.items()])
     out = v.select(*keep, "raw", F.inline(F.array(rec)))
     # try_cast alone would take "2024" as a timestamp: check the shape first
     ts = F.when(F.col("_ts").rlike(TS_SHAPE), F.expr("try_cast(_ts AS timestamp_ntz)"))
-    out = out.select(*keep, "raw", "_bad", "device_id", "_ts", ts.alias("reading_ts"), *METRICS)
+    out = out.select(*keep, "raw", "_bad", "device_id", "_ts", ts.alias("reading_ts"), *METRICS,
+                     *extra)
     if source_zone:
         out = out.withColumn("reading_ts", F.to_utc_timestamp(F.col("reading_ts").cast("timestamp"),
                                                               source_zone))
     reason = (F.when(F.col("_bad"), F.lit(BAD_JSON))
               .when(F.col("device_id").isNull() | F.col("_ts").isNull(), F.lit(MISSING_KEY))
               .when(F.col("reading_ts").isNull(), F.lit(BAD_TIMESTAMP)))
-    return out.select(*keep, "raw", "device_id", "reading_ts", *METRICS, reason.alias("reason"))
+    return out.select(*keep, "raw", "device_id", "reading_ts", *METRICS, *extra,
+                      reason.alias("reason"))
 
 
 def split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

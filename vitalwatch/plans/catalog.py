@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.messages import alert_rows, message_codes
 from ..functions.parse import forward, parse_messages, split
 from ..sources.messages import raw_messages
+import uuid
+
 from ..operators.cooldown import cooldown
+from ..sinks.parquet import append_new, scratch_dir
+from ..streaming.job import batch_writer, flag_stream
 from ..operators.detect import detect
 from ..sources.tables import readings
 from ..thresholds import DEFAULT
@@ -106,6 +110,7 @@ def spark_queries() -> dict[str, Query]:
     q["band"] = lambda s, d: D.bands(_detected(s, d), *RANGE)
     q["range_preset"] = range_preset
     q.update(parse_queries())
+    q.update(stream_queries())
     return q
 
 
@@ -125,5 +130,60 @@ def parse_queries() -> dict[str, Query]:
     return q
 
 
+# The stream replays the whole events table as three files cut by time, so it
+# runs as three micro-batches in event order.
+STREAM_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+_stream_runs: dict = {}
+
+
+def stream_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Run the streaming job to completion once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _stream_runs:
+        return _stream_runs[key]
+    base = scratch_dir(spark, f"stream-{uuid.uuid4().hex}")
+    raw = raw_messages(spark, sf_dir, damaged=False).join(
+        readings(spark, sf_dir).select("event_id", "reading_ts"), "event_id")
+    ts = F.col("reading_ts")
+    cuts = [F.expr(f"TIMESTAMP_NTZ'{c}'") for c in STREAM_CUTS]
+    parts = [ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1]]
+    for i, cond in enumerate(parts):  # one write each, so file times follow event time
+        raw.where(cond).select("value").coalesce(1).write.text(f"{base}/in/part{i}")
+    src = (spark.readStream.format("text").option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").load(f"{base}/in"))
+    flagged = flag_stream(src, extra_fields={"event_id": "bigint"}, order=("reading_ts", "event_id"))
+    q = (flagged.writeStream.foreachBatch(batch_writer(f"{base}/readings", f"{base}/alerts"))
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    _stream_runs[key] = (f"{base}/readings", f"{base}/alerts")
+    return _stream_runs[key]
+
+
+def stream_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings_path, _ = stream_run(spark, sf_dir)
+    return spark.read.parquet(readings_path).select("event_id", "rule_any", "trend_any",
+                                                    "is_anomaly")
+
+
+def stream_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, alerts_path = stream_run(spark, sf_dir)
+    return spark.read.parquet(alerts_path).select("device_id", "reading_ts", "event_id")
+
+
+def sink_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the flagged table twice (a replay); the table holds each reading once."""
+    path = scratch_dir(spark, f"sink-{uuid.uuid4().hex}")
+    flagged = _detected(spark, sf_dir).select("event_id", "device_id", "reading_ts",
+                                              *ALL_METRICS, "is_anomaly")
+    append_new(flagged, path)
+    append_new(flagged, path)
+    return spark.read.parquet(path).drop("reading_date")
+
+
+def stream_queries() -> dict[str, Query]:
+    return {"stream_detect": stream_detect, "stream_cooldown": stream_cooldown,
+            "sink_idempotent": sink_idempotent}
+
+
 def oracle_sql() -> dict[str, str]:
     return oracle_queries(*RANGE, RULE_IDS, TREND_IDS)

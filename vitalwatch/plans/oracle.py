@@ -165,4 +165,7 @@ def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
                            f"(SELECT max(reading_ts) FROM readings) - INTERVAL 7 DAY "
                            f"AND (SELECT max(reading_ts) FROM readings) ORDER BY reading_ts, event_id")
     out.update(parse_queries())
+    out["stream_detect"] = f"{cte} SELECT event_id, rule_any, trend_any, is_anomaly FROM detected"
+    out["stream_cooldown"] = cooldown_sql(th.cooldown_seconds, th)
+    out["sink_idempotent"] = out["is_anomaly"]
     return out

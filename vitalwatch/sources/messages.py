@@ -34,7 +34,8 @@ def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = True) -> Data
     iso = iso_text(F.col("reading_ts"))
     spaced = (F.col("event_type") == "view") & (F.col("_k") >= 10) & (F.col("_k") < 20)
     ts_text = F.when(F.lit(damaged) & spaced, F.regexp_replace(iso, "T", " ")).otherwise(iso)
-    metrics = [F.col(m) for m in METRICS]
+    # the event id rides along as an extra field (ignored unless asked for)
+    metrics = [F.col(m) for m in METRICS] + [F.col("event_id")]
     plain = F.to_json(F.struct(F.col("device_id"), ts_text.alias("timestamp"), *metrics))
     if not damaged:
         return r.select("event_id", plain.alias("value"))
@@ -42,10 +43,10 @@ def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = True) -> Data
     bad_ts = F.to_json(F.struct(F.col("device_id"), F.lit("2024").alias("timestamp"), *metrics))
     as_text = F.to_json(F.struct(F.col("device_id"), ts_text.alias("timestamp"),
                                  *[F.col(m).cast("string").alias(m) if m == "heart_rate"
-                                   else F.col(m) for m in METRICS]))
+                                   else F.col(m) for m in METRICS], F.col("event_id")))
     nulls = F.to_json(F.struct(F.col("device_id"), ts_text.alias("timestamp"),
                                *[F.lit(None).cast("double").alias(m) if m == "heart_rate"
-                                 else F.col(m) for m in METRICS]),
+                                 else F.col(m) for m in METRICS], F.col("event_id")),
                       {"ignoreNullFields": "false"})
     value = (F.when(_damage("error"), F.expr("substring(_plain, 1, length(_plain) - 1)"))
              .when(_damage("signup"), no_dev)
