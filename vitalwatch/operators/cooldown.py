@@ -28,22 +28,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .sizing import broadcast_if_small, hot_keys, micros
+from .sizing import HotKeys, broadcast_if_small, hot_keys, micros
 
 DEFAULT_CHUNK_ROWS = 4_000_000
 
 
 def cooldown(anomalies: DataFrame, gap_seconds: float, key: str = "device_id",
              ts: str = "reading_ts", tie: str = "event_id",
-             chunk_rows: int = DEFAULT_CHUNK_ROWS, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """The rows of ``anomalies`` that raise an alert; same columns as the input."""
+             chunk_rows: int = DEFAULT_CHUNK_ROWS, broadcast_rows: int = 2_000_000,
+             hot: HotKeys | None = None) -> DataFrame:
+    """The rows of ``anomalies`` that raise an alert; same columns as the input.
+
+    ``hot`` may carry a hot-key check made on the input the anomalies come
+    from (a superset of rows per key, so every truly hot key is in it).
+    """
     gap_us = int(round(gap_seconds * 1_000_000))
     cols = anomalies.columns
     a = anomalies.withColumn("_u", micros(anomalies, ts))
-    hot = hot_keys(anomalies, key, ts, chunk_rows)
     if hot is None:
+        hot = hot_keys(anomalies, key, ts, chunk_rows)
+    if not hot:
         return _grouped(a, gap_us, key, tie).select(*cols)
-    hot_df, n_hot, _ = hot
+    hot_df, n_hot = hot.table, hot.n_keys
     keys = broadcast_if_small(hot_df.select(key), n_hot, broadcast_rows)
     cold = _grouped(a.join(keys, key, "left_anti"), gap_us, key, tie)
     hot_rows = a.join(keys, key, "left_semi")

@@ -21,25 +21,36 @@ def micros(df: DataFrame, col: str):
     return F.unix_micros(F.col(col))
 
 
-def hot_keys(df: DataFrame, key: str, ts: str, chunk_rows: int):
+class HotKeys:
     """Keys with more than ``chunk_rows`` rows, cut into equal time chunks.
 
-    Returns ``None`` when there is no such key, else ``(table, n_keys,
-    n_chunks)`` where the table has ``key, _t0, _width`` (microseconds).
+    ``table`` has ``key, _t0, _width`` (microseconds); it is only built when
+    ``n_keys > 0``. A key set found on a table is also valid for any subset
+    of its rows (for instance the anomalies of the same readings), since a
+    subset holds no more rows per key.
     """
+
+    def __init__(self, table: DataFrame | None, n_keys: int, n_chunks: int, chunk_rows: int):
+        self.table, self.n_keys, self.n_chunks, self.chunk_rows = table, n_keys, n_chunks, chunk_rows
+
+    def __bool__(self) -> bool:
+        return self.n_keys > 0
+
+
+def hot_keys(df: DataFrame, key: str, ts: str, chunk_rows: int) -> HotKeys:
+    """One aggregate job: how many keys exceed ``chunk_rows`` and in how many chunks."""
     us = micros(df, ts)
     stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_t0"),
                                 F.max(us).alias("_t1"))
     hot = (stats.where(F.col("_n") > F.lit(chunk_rows))
-           .select(key, "_t0", F.ceil(F.col("_n") / F.lit(chunk_rows)).alias("_k"), "_t1")
-           .select(key, "_t0", "_k",
-                   (F.floor((F.col("_t1") - F.col("_t0")) / F.col("_k")) + 1).alias("_width"))
-           .cache())
+           .select(key, "_t0", "_t1", F.ceil(F.col("_n") / F.lit(chunk_rows)).alias("_k")))
     row = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_k").alias("k")).first()
     if not row or not row["n"]:
-        hot.unpersist()
-        return None
-    return hot.select(key, "_t0", "_width"), int(row["n"]), int(row["k"])
+        return HotKeys(None, 0, 0, chunk_rows)
+    # rebuilt lazily (a second pass over the key and time columns) only when needed
+    table = hot.select(key, "_t0",
+                       (F.floor((F.col("_t1") - F.col("_t0")) / F.col("_k")) + 1).alias("_width"))
+    return HotKeys(table, int(row["n"]), int(row["k"]), chunk_rows)
 
 
 def broadcast_if_small(df: DataFrame, bound_rows: int, limit_rows: int) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..thresholds import DEFAULT, Thresholds, TrendRule
-from .sizing import broadcast_if_small, hot_keys, micros
+from .sizing import HotKeys, broadcast_if_small, hot_keys, micros
 
 # Rows per window task for one device before it is cut into chunks.
 DEFAULT_CHUNK_ROWS = 4_000_000
@@ -85,11 +85,15 @@ def add_trend_columns(df: DataFrame, th: Thresholds = DEFAULT,
                       order: tuple[str, ...] = ("reading_ts", "event_id"),
                       key: str = "device_id", ts: str = "reading_ts",
                       chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                      broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Append ``cnt_<m>``, ``avg_<m>``, ``trend_<m>`` and ``trend_any``."""
+                      broadcast_rows: int = 2_000_000, hot: HotKeys | None = None) -> DataFrame:
+    """Append ``cnt_<m>``, ``avg_<m>``, ``trend_<m>`` and ``trend_any``.
+
+    ``hot`` may carry a hot-key check already made on this input.
+    """
     order = [c for c in order if c in df.columns]
-    hot = hot_keys(df, key, ts, chunk_rows)
     if hot is None:
+        hot = hot_keys(df, key, ts, chunk_rows)
+    if not hot:
         # no device is big enough to matter: one exchange on the key, 8 sorts
         rep = df.repartition(key)
         return _flags(_windows(rep, th, [key], order, edges=False), th)
@@ -97,7 +101,7 @@ def add_trend_columns(df: DataFrame, th: Thresholds = DEFAULT,
 
 
 def _chunked(df, th, order, key, ts, hot, broadcast_rows) -> DataFrame:
-    hot_df, n_hot, n_chunks = hot
+    hot_df, n_hot, n_chunks = hot.table, hot.n_keys, hot.n_chunks
     h = th.history
     us = ts_micros(df, ts)
     small = broadcast_if_small(hot_df, n_hot, broadcast_rows)

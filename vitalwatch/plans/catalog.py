@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cleaning import clamp, hour_band, round_half_even, truncate
 from ..functions.messages import alert_rows, message_codes
 from ..functions.parse import forward, parse_messages, split
 from ..sources.messages import raw_messages
@@ -19,7 +20,7 @@ import uuid
 from ..operators.cooldown import cooldown
 from ..sinks.parquet import append_new, scratch_dir
 from ..streaming.job import batch_writer, flag_stream
-from ..operators.detect import detect
+from ..operators.detect import check_hot, detect
 from ..sources.tables import readings
 from ..thresholds import DEFAULT
 from . import dashboard as D
@@ -63,18 +64,20 @@ def _series(metric: str) -> Query:
 
 def _cooldown(gap: float) -> Query:
     def q(spark, sf_dir):
-        anomalies = _detected(spark, sf_dir).where(F.col("is_anomaly")).select(
+        r = readings(spark, sf_dir)
+        hot = check_hot(r)  # one check serves both steps
+        anomalies = detect(r, hot=hot).where(F.col("is_anomaly")).select(
             "device_id", "reading_ts", "event_id")
-        return cooldown(anomalies, gap)
+        return cooldown(anomalies, gap, hot=hot)
     return q
 
 
 def alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subject, body and messages for every alert that passes the 60 s cooldown."""
-    det = _detected(spark, sf_dir)
-    alerts = alert_rows(det)
-    kept = cooldown(alerts, DEFAULT.cooldown_seconds)
-    return kept
+    r = readings(spark, sf_dir)
+    hot = check_hot(r)
+    alerts = alert_rows(detect(r, hot=hot))
+    return cooldown(alerts, DEFAULT.cooldown_seconds, hot=hot)
 
 
 def range_preset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +114,22 @@ def spark_queries() -> dict[str, Query]:
     q["range_preset"] = range_preset
     q.update(parse_queries())
     q.update(stream_queries())
+    q.update(cleaning_queries())
+    return q
+
+
+def cleaning_queries() -> dict[str, Query]:
+    from ..sources.tables import table
+    q: dict[str, Query] = {}
+    q["clamp"] = lambda s, d: clamp(readings(s, d)).select("event_id", *SERIES)
+    q["hour_band"] = lambda s, d: readings(s, d).select(
+        "event_id", F.hour("reading_ts").alias("hour"), hour_band(F.col("reading_ts")).alias("band"))
+    q["round_half_even"] = lambda s, d: readings(s, d).select(
+        "event_id", round_half_even(F.col("temperature"), 1).alias("temperature_1"),
+        round_half_even(F.col("calories_burned"), 1).alias("calories_1"))
+    # the stress level before flooring, truncated as the producer's int() does
+    q["truncate"] = lambda s, d: table(s, d, "events").select(
+        "event_id", truncate(F.col("value") / F.lit(25.0)).alias("stress_int"))
     return q
 
 

@@ -8,7 +8,7 @@ thresholds, so a changed bound changes both sides.
 from __future__ import annotations
 
 from ..sources.tables import readings_sql
-from ..thresholds import DEFAULT, FLAG_RED_FROM, METRIC_RED_FROM, RECENT_LIMIT, Thresholds
+from ..thresholds import CLAMP_BOUNDS, DEFAULT, FLAG_RED_FROM, HOUR_BANDS, METRIC_RED_FROM, RECENT_LIMIT, Thresholds
 
 SERIES = ("heart_rate", "temperature", "systolic_pressure", "diastolic_pressure",
           "oxygen_saturation", "respiration_rate", "blood_glucose", "stress_level")
@@ -168,4 +168,15 @@ def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
     out["stream_detect"] = f"{cte} SELECT event_id, rule_any, trend_any, is_anomaly FROM detected"
     out["stream_cooldown"] = cooldown_sql(th.cooldown_seconds, th)
     out["sink_idempotent"] = out["is_anomaly"]
+    rcte = "WITH " + f"readings AS ({readings_sql('duckdb')})"
+    clamps = ", ".join(f"CASE WHEN {m} IS NULL THEN NULL ELSE greatest({_num(lo)}, least({_num(hi)}, {m})) "
+                       f"END AS {m}" for m, lo, hi in CLAMP_BOUNDS)
+    out["clamp"] = f"{rcte} SELECT event_id, {clamps} FROM readings"
+    band = " ".join(f"WHEN hour(reading_ts) >= {s_} THEN '{n}'"
+                    for s_, n in sorted(HOUR_BANDS, key=lambda b: -b[0]))
+    out["hour_band"] = (f"{rcte} SELECT event_id, CAST(hour(reading_ts) AS INTEGER) AS hour, "
+                        f"CASE {band} END AS band FROM readings")
+    out["round_half_even"] = (f"{rcte} SELECT event_id, round_even(temperature, 1) AS temperature_1, "
+                              f"round_even(calories_burned, 1) AS calories_1 FROM readings")
+    out["truncate"] = "SELECT event_id, CAST(trunc(value / 25.0) AS INTEGER) AS stress_int FROM events"
     return out
