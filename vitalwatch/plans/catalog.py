@@ -18,7 +18,7 @@ from ..sources.messages import raw_messages
 import uuid
 
 from ..operators.cooldown import cooldown
-from ..sinks.parquet import append_new, scratch_dir
+from ..sinks.parquet import append_new, overwrite_days, scratch_dir
 from ..streaming.job import batch_writer, flag_stream
 from ..operators.detect import check_hot, detect
 from ..sources.tables import readings
@@ -44,6 +44,25 @@ def _detected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect(readings(spark, sf_dir))
 
 
+_tables: dict = {}
+
+
+def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table the dashboard reads (the job's sink): built once per session.
+
+    Detection runs once over the whole ``events`` table and is written as
+    date-partitioned Parquet; the dashboard queries then read it with
+    partition and row-group pruning instead of re-running the windows.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _tables:
+        path = scratch_dir(spark, f"flagged-{uuid.uuid4().hex}")
+        overwrite_days(_detected(spark, sf_dir).select(
+            "event_id", "device_id", "reading_ts", *ALL_METRICS, "is_anomaly"), path)
+        _tables[key] = path
+    return spark.read.parquet(_tables[key])
+
+
 def _rule(metric: str) -> Query:
     def q(spark, sf_dir):
         return _detected(spark, sf_dir).select("event_id", "device_id", "reading_ts", metric,
@@ -59,7 +78,7 @@ def _trend(metric: str) -> Query:
 
 
 def _series(metric: str) -> Query:
-    return lambda spark, sf_dir: D.series(readings(spark, sf_dir), metric, *RANGE)
+    return lambda spark, sf_dir: D.series(flagged_table(spark, sf_dir), metric, *RANGE)
 
 
 def _cooldown(gap: float) -> Query:
@@ -81,9 +100,9 @@ def alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def range_preset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = readings(spark, sf_dir)
-    anchor = D.latest_ts(r)  # one-column aggregate; the bound becomes a pushed literal
-    return D.range_preset(detect(r), PRESET, anchor)
+    t = flagged_table(spark, sf_dir)
+    anchor = D.latest_ts(t)  # one-column aggregate; the bounds become pushed literals
+    return D.range_preset(t, PRESET, anchor)
 
 
 def spark_queries() -> dict[str, Query]:
@@ -105,12 +124,13 @@ def spark_queries() -> dict[str, Query]:
     q["alert_text"] = alert_text
     for m in SERIES:
         q[f"series_{m}"] = _series(m)
-    q["series_overlay"] = lambda s, d: D.series_overlay(readings(s, d), *RANGE)
-    q["top_recent"] = lambda s, d: D.top_recent(_detected(s, d), *RANGE)
-    q["flag_series"] = lambda s, d: D.flag_series(_detected(s, d), *RANGE)
-    q["last_not_null"] = lambda s, d: D.last_not_null(_detected(s, d), *RANGE)
-    q["no_value"] = lambda s, d: D.no_value(_detected(s, d), *RANGE)
-    q["band"] = lambda s, d: D.bands(_detected(s, d), *RANGE)
+    # the dashboard reads the stored flagged table, as the deployed one reads its SQL table
+    q["series_overlay"] = lambda s, d: D.series_overlay(flagged_table(s, d), *RANGE)
+    q["top_recent"] = lambda s, d: D.top_recent(flagged_table(s, d), *RANGE)
+    q["flag_series"] = lambda s, d: D.flag_series(flagged_table(s, d), *RANGE)
+    q["last_not_null"] = lambda s, d: D.last_not_null(flagged_table(s, d), *RANGE)
+    q["no_value"] = lambda s, d: D.no_value(flagged_table(s, d), *RANGE)
+    q["band"] = lambda s, d: D.bands(flagged_table(s, d), *RANGE)
     q["range_preset"] = range_preset
     q.update(parse_queries())
     q.update(stream_queries())

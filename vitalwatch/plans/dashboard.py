@@ -32,10 +32,21 @@ def ts_literal(df: DataFrame, value, col: str = TS) -> Column:
     return F.expr(f"TIMESTAMP'{text}'")
 
 
+DATE = "reading_date"
+
+
 def time_filter(df: DataFrame, start, end, col: str = TS) -> DataFrame:
-    """``start <= ts <= end``, both ends inclusive (the dashboard's BETWEEN)."""
+    """``start <= ts <= end``, both ends inclusive (the dashboard's BETWEEN).
+
+    On the stored table the same range is also stated on the date partition
+    column, so only the folders of the range are listed and read.
+    """
     c = F.col(col)
-    return df.where((c >= ts_literal(df, start, col)) & (c <= ts_literal(df, end, col)))
+    out = df.where((c >= ts_literal(df, start, col)) & (c <= ts_literal(df, end, col)))
+    if DATE in df.columns:
+        lo, hi = (dt.datetime.fromisoformat(x) if isinstance(x, str) else x for x in (start, end))
+        out = out.where(F.col(DATE).between(F.lit(lo.date()), F.lit(hi.date())))
+    return out
 
 
 _PRESET = re.compile(r"^(\d+)([mhd])$")

@@ -45,8 +45,13 @@ def with_sink_columns(df: DataFrame, ts: str = "reading_ts") -> DataFrame:
 
 
 def _layout(df: DataFrame) -> DataFrame:
-    # cluster each date's rows into few files, sorted by device then time
-    return df.repartition(DATE).sortWithinPartitions(DATE, *KEY)
+    """Files per date, rows sorted by device then time.
+
+    REBALANCE (not a plain repartition by date): AQE splits a big day over
+    many writer tasks and packs small days together, so one day never lands
+    in one task and files come out near the advisory size.
+    """
+    return df.hint("rebalance", DATE).sortWithinPartitions(DATE, *KEY)
 
 
 def overwrite_days(df: DataFrame, path: str) -> None:
@@ -66,15 +71,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def append_new(df: DataFrame, path: str, key: tuple[str, ...] = KEY) -> None:
     """Append the rows whose key is not stored yet (exactly-once by key)."""
     spark = df.sparkSession
+    # de-duplicate and anti-join on the same key: one hash partitioning serves both
     batch = with_sink_columns(df).dropDuplicates(list(key))
     if _exists(spark, path):
         # the batch's days: a short list (bounded by its time span), used as
         # literals so that only those date folders are listed and read
-        days = [r[0] for r in batch.select(DATE).distinct().collect()]
+        days = [r[0] for r in with_sink_columns(df.select(*key)).select(DATE).distinct().collect()]
         if days:
-            stored = (spark.read.parquet(path).where(F.col(DATE).isin(days))
-                      .select(DATE, *key))
-            batch = batch.join(stored, [DATE, *key], "left_anti")
+            stored = spark.read.parquet(path).where(F.col(DATE).isin(days)).select(*key)
+            batch = batch.join(stored, list(key), "left_anti")
     _layout(batch).write.mode("append").partitionBy(DATE).parquet(path)
 
 

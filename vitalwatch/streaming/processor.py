@@ -38,10 +38,6 @@ def output_schema(input_schema: T.StructType, th: Thresholds) -> T.StructType:
     return T.StructType(fields)
 
 
-def _micros(s: pd.Series) -> np.ndarray:
-    return s.to_numpy().astype("datetime64[us]").astype(np.int64)
-
-
 class DetectProcessor(StatefulProcessor):
     def __init__(self, out_schema: T.StructType, th: Thresholds = DEFAULT,
                  gap_seconds: float | None = None, order: tuple[str, ...] = ("reading_ts",),
@@ -56,42 +52,37 @@ class DetectProcessor(StatefulProcessor):
         self.state = handle.getValueState("device", state_schema(self.th), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(self.order, kind="stable").reset_index(drop=True)
-        prev = self.state.get() if self.state.exists() else None
+        frames = list(rows)
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        # one sort of the group, then plain numpy arrays (no per-column pandas work)
+        order = np.lexsort([pdf[c].to_numpy() for c in reversed(self.order)])
+        cols = {c: pdf[c].to_numpy()[order] for c in pdf.columns}
+        prev = self.state.get()  # None for a device seen for the first time
         h = self.th.history
         new_state = []
-        trend_any = np.zeros(len(pdf), dtype=bool)
+        trend_any = np.zeros(len(order), dtype=bool)
         for i, t in enumerate(self.th.trends):
             hist = np.asarray(prev[i] if prev is not None and prev[i] is not None else [],
                               dtype=float)
-            vals = pd.to_numeric(pdf[t.metric], errors="coerce").to_numpy(dtype=float,
-                                                                           na_value=np.nan)
+            vals = cols[t.metric].astype(float)
             cnt, avg, flag, hist = trend_step(vals, hist, h, t)
-            pdf[f"cnt_{t.metric}"] = cnt
-            pdf[f"avg_{t.metric}"] = avg
-            pdf[f"trend_{t.metric}"] = flag
+            cols[f"cnt_{t.metric}"] = cnt
+            cols[f"avg_{t.metric}"] = avg  # NaN where no value: written as NULL
+            cols[f"trend_{t.metric}"] = flag
             trend_any |= flag
-            new_state.append([float(x) for x in hist])
-        pdf["trend_any"] = trend_any
-        pdf["is_anomaly"] = pdf["rule_any"].to_numpy(dtype=bool) | trend_any
+            new_state.append(hist.tolist())
+        cols["trend_any"] = trend_any
+        anomalous = cols["rule_any"].astype(bool) | trend_any
+        cols["is_anomaly"] = anomalous
         last = prev[-1] if prev is not None else None
-        idx = np.flatnonzero(pdf["is_anomaly"].to_numpy())
-        keep, last = cooldown_step(_micros(pdf["reading_ts"].iloc[idx]), last, self.gap_us)
-        alert = np.zeros(len(pdf), dtype=bool)
+        idx = np.flatnonzero(anomalous)
+        times = cols["reading_ts"][idx].astype("datetime64[us]").astype(np.int64)
+        keep, last = cooldown_step(times, last, self.gap_us)
+        alert = np.zeros(len(order), dtype=bool)
         alert[idx[keep]] = True
-        pdf["alert"] = alert
+        cols["alert"] = alert
         self.state.update(tuple(new_state) + (last,))
-        for f in self.out_schema.fields:
-            if isinstance(f.dataType, T.IntegerType):
-                pdf[f.name] = pdf[f.name].astype("Int32")
-            elif isinstance(f.dataType, T.LongType):
-                pdf[f.name] = pdf[f.name].astype("Int64")
-        # avg is NULL (not NaN) on rows without a value, as in the batch window
-        for t in self.th.trends:
-            c = f"avg_{t.metric}"
-            pdf[c] = pdf[c].astype(object).where(pdf[f"cnt_{t.metric}"] > 0, None)
-        yield pdf[[f.name for f in self.out_schema.fields]]
+        yield pd.DataFrame({f.name: cols[f.name] for f in self.out_schema.fields}, copy=False)
 
     def close(self) -> None:
         pass
