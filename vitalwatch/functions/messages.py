@@ -64,16 +64,19 @@ def add_messages(detected: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
 
 
 def alert_rows(detected: DataFrame, th: Thresholds = DEFAULT, ts: str = "reading_ts",
-               ts_text: str | None = None) -> DataFrame:
+               ts_text: str | None = None, filter_anomalies: bool = True) -> DataFrame:
     """``device_id, reading_ts, subject, body, messages`` for every anomalous reading.
 
     ``ts_text`` names a column with the reading's original time text, when the
-    input still has it; otherwise the time is printed in ISO form.
+    input still has it; otherwise the time is printed in ISO form. Pass
+    ``filter_anomalies=False`` when every input row is an alert already (after
+    the cooldown): a filter over the sixteen message expressions makes
+    Catalyst's constraint inference very slow.
     """
     text = F.col(ts_text) if ts_text else iso_text(F.col(ts))
     msgs = message_list(th)
-    out = detected.where(F.col("is_anomaly")).select(
-        "*", msgs.alias("messages"), text.alias("_ts_text"))
+    src = detected.where(F.col("is_anomaly")) if filter_anomalies else detected
+    out = src.select("*", msgs.alias("messages"), text.alias("_ts_text"))
     keep = [c for c in ("event_id",) if c in detected.columns]
     return out.select(*keep, "device_id", F.col(ts).alias("reading_ts"),
                       alert_subject(F.col("device_id")).alias("subject"),

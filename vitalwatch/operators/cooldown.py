@@ -5,10 +5,11 @@ alerted or its last alert is more than ``gap`` earlier (strict). Ties in time
 are broken by the tie column, so the first of equal-time anomalies alerts.
 
 Plan.
-* Devices with at most ``chunk_rows`` anomalies: one shuffle by device, then
-  per device a numpy walk that jumps from alert to alert with
-  ``searchsorted`` (work per device ~ alerts x log anomalies). The group is
-  bounded by ``chunk_rows``.
+* Devices with at most ``chunk_rows`` anomalies: grouped by device (the
+  detection output is already hash-partitioned by device, so no new
+  exchange), then per device an Arrow/numpy walk that jumps from alert to
+  alert with ``searchsorted`` (work per device ~ alerts x log anomalies).
+  The group is bounded by ``chunk_rows``.
 * Hotter devices are never gathered in one task. Every alert is either the
   start of a session (previous anomaly more than ``gap`` earlier, or none)
   or the successor ``nxt(p)`` of a previous alert ``p`` in the same session,
@@ -23,7 +24,8 @@ Plan.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,19 +61,21 @@ def cooldown(anomalies: DataFrame, gap_seconds: float, key: str = "device_id",
 
 
 def _grouped(a: DataFrame, gap_us: int, key: str, tie: str) -> DataFrame:
+    """Per device, on Arrow tables (no pandas frame per group)."""
     schema = a.schema
+    keys = [("_u", "ascending")] + ([(tie, "ascending")] if tie in a.columns else [])
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_u", tie], kind="stable")
-        u = pdf["_u"].to_numpy()
-        keep = np.zeros(len(u), dtype=bool)
+    def walk(tbl: pa.Table) -> pa.Table:
+        tbl = tbl.take(pc.sort_indices(tbl, sort_keys=keys))
+        u = tbl.column("_u").to_numpy()
+        keep = []
         i = 0
         while i < len(u):
-            keep[i] = True
+            keep.append(i)
             i = int(np.searchsorted(u, u[i] + gap_us, side="right"))
-        return pdf[keep]
+        return tbl.take(pa.array(keep, type=pa.int64()))
 
-    return a.groupBy(key).applyInPandas(walk, schema)
+    return a.groupBy(key).applyInArrow(walk, schema)
 
 
 def _doubling(a: DataFrame, gap_us: int, key: str, tie: str, max_levels: int = 62) -> DataFrame:

@@ -95,8 +95,10 @@ def alert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subject, body and messages for every alert that passes the 60 s cooldown."""
     r = readings(spark, sf_dir)
     hot = check_hot(r)
-    alerts = alert_rows(detect(r, hot=hot))
-    return cooldown(alerts, DEFAULT.cooldown_seconds, hot=hot)
+    anomalies = detect(r, hot=hot).where(F.col("is_anomaly"))
+    # cooldown first, on the numbers; texts are built for the kept alerts only
+    kept = cooldown(anomalies, DEFAULT.cooldown_seconds, hot=hot)
+    return alert_rows(kept, filter_anomalies=False)
 
 
 def range_preset(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,7 +86,7 @@ def batch_writer(readings_path: str, alerts_path: str, th: Thresholds = DEFAULT,
             readings = batch.drop("alert", *[c for c in batch.columns
                                              if c.startswith(("cnt_", "avg_"))])
             append_new(readings, readings_path)
-            alerts = alert_rows(batch.where(F.col("alert")), th)
+            alerts = alert_rows(batch.where(F.col("alert")), th, filter_anomalies=False)
             append_new(alerts, alerts_path)
         finally:
             batch.unpersist()
