@@ -218,7 +218,7 @@ def sink_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               *ALL_METRICS, "is_anomaly")
     append_new(flagged, path)
     append_new(flagged, path)
-    return spark.read.parquet(path).drop("reading_date")
+    return spark.read.parquet(path).drop("reading_date", "created_at")
 
 
 def stream_queries() -> dict[str, Query]:

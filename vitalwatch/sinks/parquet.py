@@ -37,8 +37,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def with_sink_columns(df: DataFrame, ts: str = "reading_ts") -> DataFrame:
-    """Add the date partition column; keep ``is_anomaly`` non-null (default false)."""
+    """The table's own columns: date partition, ``created_at`` (write time) and
+    ``is_anomaly`` kept non-null (default false)."""
     out = df.withColumn(DATE, F.to_date(F.col(ts)))
+    if "created_at" not in out.columns:
+        out = out.withColumn("created_at", F.current_timestamp())
     if "is_anomaly" in out.columns:
         out = out.withColumn("is_anomaly", F.coalesce(F.col("is_anomaly"), F.lit(False)))
     return out
