@@ -39,15 +39,17 @@ def test_cooldown_reuses_the_device_partitioning(spark):
 
 
 def test_hot_path_broadcast_is_size_checked(spark):
+    from vitalwatch.operators.trends import add_trend_columns
+
     r = readings(spark, SF0001)
     hot = check_hot(r, chunk_rows=20)
     assert hot.n_keys > 0
-    small = _plan(detect(r, hot=hot, chunk_rows=20))
-    assert _nodes(small, "BroadcastHashJoin")
-    # above the limit the same joins fall back to shuffle joins
-    from vitalwatch.operators.trends import add_trend_columns
-    big = _plan(add_trend_columns(r, hot=hot, chunk_rows=20, broadcast_rows=0))
-    assert _nodes(big, "SortMergeJoin") or _nodes(big, "ShuffledHashJoin")
+    hinted = add_trend_columns(r, hot=hot, chunk_rows=20)
+    assert "strategy=broadcast" in hinted._jdf.queryExecution().analyzed().toString()
+    assert _nodes(_plan(hinted), "BroadcastHashJoin")
+    # above the limit no broadcast is asked for; Spark decides from its own size estimate
+    unhinted = add_trend_columns(r, hot=hot, chunk_rows=20, broadcast_rows=0)
+    assert "strategy=broadcast" not in unhinted._jdf.queryExecution().analyzed().toString()
 
 
 def test_dashboard_prunes_partitions_and_pushes_time(spark):
