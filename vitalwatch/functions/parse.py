@@ -30,11 +30,23 @@ def _field(path: str, typ: str) -> Column:
     return F.expr(f"try_variant_get(_v, '$.{path}', '{typ}')")
 
 
+def _record(extra: dict[str, str]) -> Column:
+    """All fields in one pass over the object: a bad field is NULL on its own."""
+    fields = ["device_id string", "timestamp string"] + [f"{m} double" for m in METRICS] + [
+        f"{n} {t}" for n, t in extra.items()]
+    return F.expr(f"try_variant_get(_v, '$', 'struct<{', '.join(fields)}>')")
+
+
+def _present() -> Column:
+    """Per metric: the key exists (JSON null included); SQL NULL when missing."""
+    fields = ", ".join(f"{m} variant" for m in METRICS)
+    return F.expr(f"try_variant_get(_v, '$', 'struct<{fields}>')")
+
+
 def _metric(name: str, mode: str) -> Column:
-    got = _field(name, "double")
+    got = F.col("_rec")[name]
     if mode == "lenient":
-        present = F.expr(f"variant_get(_v, '$.{name}', 'variant')").isNotNull()
-        got = F.when(present, F.coalesce(got, F.lit(0.0)))
+        got = F.when(F.col("_has")[name].isNotNull(), F.coalesce(got, F.lit(0.0)))
     if name == "steps_count":
         return got.try_cast("int")  # truncates like Jackson's asInt(); no overflow error
     return got
@@ -56,14 +68,16 @@ def parse_messages(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
     text = F.col(value).cast("string")
     v = raw.select(*keep, text.alias("raw"), F.expr(f"try_parse_json(cast(`{value}` AS string))")
                    .alias("_v"))
+    v = v.select("*", _record(extra).alias("_rec"),
+                 *([_present().alias("_has")] if mode == "lenient" else []))
     # The fields leave through a generator: a later filter on them (say
     # ``reason IS NULL``) cannot be pushed below a Generate, so the text is
     # parsed once per message instead of once per field the filter touches.
     rec = F.struct(F.col("_v").isNull().alias("_bad"),
-                   _field("device_id", "string").alias("device_id"),
-                   _field("timestamp", "string").alias("_ts"),
+                   F.col("_rec")["device_id"].alias("device_id"),
+                   F.col("_rec")["timestamp"].alias("_ts"),
                    *[_metric(m, mode).alias(m) for m in METRICS],
-                   *[_field(n, t).alias(n) for n, t in extra.items()])
+                   *[F.col("_rec")[n].alias(n) for n in extra])
     out = v.select(*keep, "raw", F.inline(F.array(rec)))
     # try_cast alone would take "2024" as a timestamp: check the shape first
     ts = F.when(F.col("_ts").rlike(TS_SHAPE), F.expr("try_cast(_ts AS timestamp_ntz)"))
