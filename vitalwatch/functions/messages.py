@@ -59,10 +59,6 @@ def alert_body(ts_text: Column, messages: Column) -> Column:
     return F.concat(F.lit(head_a), ts_text, F.lit(head_b), bullets, F.lit(ALERT_BODY_TAIL))
 
 
-def add_messages(detected: DataFrame, th: Thresholds = DEFAULT) -> DataFrame:
-    return detected.withColumn("messages", message_list(th))
-
-
 def alert_rows(detected: DataFrame, th: Thresholds = DEFAULT, ts: str = "reading_ts",
                ts_text: str | None = None, filter_anomalies: bool = True) -> DataFrame:
     """``device_id, reading_ts, subject, body, messages`` for every anomalous reading.

@@ -44,11 +44,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def register(spark: SparkSession, sf_dir: str, names=("events",)) -> None:
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def readings(spark: SparkSession, sf_dir: str, extra: str = "") -> DataFrame:
     """Device readings derived from ``events``; one row per event, whole table."""
     events = table(spark, sf_dir, "events")

@@ -77,8 +77,7 @@ def quarantine_stream(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return parsed.where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
 
 
-def batch_writer(readings_path: str, alerts_path: str, th: Thresholds = DEFAULT,
-                 tie: str | None = None):
+def batch_writer(readings_path: str, alerts_path: str, th: Thresholds = DEFAULT):
     """``foreachBatch`` function: readings and alerts, both safe to replay."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
