@@ -100,3 +100,28 @@ def test_sink_append_is_idempotent_and_overwrite_replaces_days(spark, scratch):
     overwrite_days(det, path2)
     overwrite_days(det.where("reading_ts < TIMESTAMP_NTZ'2024-01-03 00:00:00'"), path2)
     assert spark.read.parquet(path2).count() == 1000
+
+
+def test_forward_bridge_splits_valid_and_bad(spark, scratch):
+    from vitalwatch.streaming.job import forward_writer
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "m.txt"), "w") as f:
+        f.write('{"device_id": "d1", "timestamp": "2024-01-01T00:00:00", "heart_rate": 80}\n')
+        f.write('not json\n')
+        f.write('{"device_id": "d2", "timestamp": "2024-01-01T00:00:01"}\n')
+    valid_path = os.path.join(scratch, "topic")
+
+    def to_parquet(rows):  # stands in for the Kafka topic
+        rows.select("key", "value").write.mode("append").parquet(valid_path)
+
+    stream = spark.readStream.format("text").load(src)
+    q = (stream.writeStream.foreachBatch(forward_writer(to_parquet, os.path.join(scratch, "bad")))
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    topic = sorted((r["key"], r["value"]) for r in spark.read.parquet(valid_path).collect())
+    assert [k for k, _ in topic] == ["d1", "d2"] and '"heart_rate":80' in topic[0][1]
+    bad = spark.read.parquet(os.path.join(scratch, "bad")).collect()
+    assert [(r["raw"], r["reason"]) for r in bad] == [("not json", "bad_json")]

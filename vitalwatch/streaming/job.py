@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.messages import alert_rows
-from ..functions.parse import parse_messages
+from ..functions.parse import forward, parse_messages
 from ..operators.rules import add_rule_flags
 from ..sinks.parquet import append_new
 from ..thresholds import DEFAULT, Thresholds
@@ -72,6 +72,34 @@ def flag_stream(raw: DataFrame, th: Thresholds = DEFAULT, gap_seconds: float | N
         statefulProcessor=proc, outputStructType=out_schema, outputMode="Append", timeMode="None")
 
 
+def kafka_writer(servers: str, topic: str = "iot_raw_data"):
+    """Write ``key, value`` rows of a micro-batch to a Kafka topic (not run here)."""
+    def write(rows: DataFrame) -> None:
+        (rows.select("key", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+    return write
+
+
+def forward_writer(valid_sink, quarantine_path: str, keep: tuple[str, ...] = ()):
+    """``foreachBatch`` function of the ingest bridge.
+
+    Valid JSON is re-serialised and handed to ``valid_sink`` keyed by device
+    (so a device's messages stay in one topic partition, in order); invalid
+    messages are appended to the quarantine with their text. Nothing is
+    dropped, and no message blocks the next one.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = forward(batch, keep=keep).persist()
+        try:
+            valid_sink(out.where(F.col("reason").isNull()))
+            (out.where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
+             .withColumn("batch_id", F.lit(batch_id))
+             .write.mode("append").parquet(quarantine_path))
+        finally:
+            out.unpersist()
+    return write
+
+
 def quarantine_stream(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     parsed = parse_messages(raw, keep=keep)
     return parsed.where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
