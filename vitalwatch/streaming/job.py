@@ -27,15 +27,20 @@ from .processor import DetectProcessor, output_schema
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str = "iot_raw_data") -> DataFrame:
+def kafka_source(spark: SparkSession, servers: str, topic: str = "iot_raw_data",
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Topic from the earliest offset; value as text, (partition, offset) as the order tie.
 
-    The Kafka connector jar is not part of this environment, so this source is
-    written but not run here; tests use :func:`file_source`.
+    ``max_offsets_per_trigger`` bounds a micro-batch, and with it the rows one
+    device brings into the stateful step at once. The Kafka connector jar is
+    not part of this environment, so this source is written but not run here;
+    tests use :func:`file_source`.
     """
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic).option("startingOffsets", "earliest").load()
-            .select(F.col("value").cast("string").alias("value"), "partition", "offset"))
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic).option("startingOffsets", "earliest"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return reader.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")
 
 
 def file_source(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
