@@ -113,44 +113,48 @@ def _chunked(df, th, order, key, ts, hot, broadcast_rows) -> DataFrame:
     part = [key, _CHUNK]
     win = _windows(rep, th, part, order, edges=True)
 
-    # edge values of hot chunks: first and last h-1 non-null values per metric
-    longs = []
+    # edge values of hot chunks: first and last h-1 non-null values per metric,
+    # taken in ONE pass over the windowed rows (one branch, exploded per metric;
+    # the chunk filter is on a window partition column, so only hot rows are read)
+    edge_of = []
     for t in th.trends:
         m = t.metric
         pos, tot = F.col(f"_pos_{m}"), F.col(f"_tot_{m}")
-        longs.append(
-            win.where((F.col(_CHUNK) >= 0) & F.col(m).isNotNull()
-                      & ((pos <= h - 1) | (pos > tot - (h - 1))))
-            .select(key, _CHUNK, *order, F.lit(m).alias("_metric"),
-                    F.col(m).cast("double").alias("_v"), pos.alias("_pos"), tot.alias("_tot")))
-    edges = reduce(DataFrame.unionByName, longs)
+        is_edge = F.col(m).isNotNull() & ((pos <= h - 1) | (pos > tot - (h - 1)))
+        edge_of.append(F.when(is_edge, F.struct(F.lit(m).alias("_metric"),
+                                                F.col(m).cast("double").alias("_v"),
+                                                pos.alias("_pos"), tot.alias("_tot"))))
+    edges = (win.where(F.col(_CHUNK) >= 0)
+             .select(key, _CHUNK, *order, F.explode(F.filter(F.array(*edge_of),
+                                                              lambda x: x.isNotNull())).alias("_e"))
+             .select(key, _CHUNK, *order, "_e._metric", "_e._v", "_e._pos", "_e._tot"))
     okey = F.struct(*[F.col(c) for c in order])
-
-    tails = (edges.where(F.col("_pos") > F.col("_tot") - (h - 1))
-             .groupBy(key, "_metric", _CHUNK)
-             .agg(F.array_sort(F.collect_list(F.struct(okey.alias("k"), F.col("_v").alias("v"))))
-                  .alias("_tail")))
+    kv = F.struct(okey.alias("k"), F.col("_v").alias("v"))
+    # one small aggregate per (device, metric, chunk): the first and the last
+    # h-1 values, each in order (collect_list skips the NULLs of `when`)
+    ends = (edges.groupBy(key, "_metric", _CHUNK)
+            .agg(F.array_sort(F.collect_list(F.when(F.col("_pos") <= h - 1, kv))).alias("_head"),
+                 F.array_sort(F.collect_list(F.when(F.col("_pos") > F.col("_tot") - (h - 1), kv)))
+                 .alias("_tail")))
+    # lead-in of chunk c: the last h-1 values of the chunks before it; every
+    # chunk listed here holds a value of the metric, so h-1 chunks back suffice
     lw = Window.partitionBy(key, "_metric").orderBy(_CHUNK).rowsBetween(-(h - 1), -1)
     prev = F.array_sort(F.collect_list(F.struct(F.col(_CHUNK), F.col("_tail"))).over(lw))
-    lead = (tails.select(key, "_metric", _CHUNK, prev.alias("_prev"))
-            .select(key, "_metric", _CHUNK,
+    ends = (ends.select("*", prev.alias("_prev"))
+            .select(key, "_metric", _CHUNK, "_head",
                     F.expr("transform(flatten(transform(_prev, x -> x._tail)), y -> y.v)")
                     .alias("_lead_all"))
-            .select(key, "_metric", _CHUNK,
+            .where(F.col(_CHUNK) > 0)
+            .select(key, "_metric", _CHUNK, "_head",
                     F.expr(f"slice(_lead_all, greatest(size(_lead_all) - {h - 2}, 1), {h - 1})")
                     .alias("_lead")))
-    heads = edges.where((F.col("_pos") <= h - 1) & (F.col(_CHUNK) > 0))
-    hw = Window.partitionBy(key, "_metric", _CHUNK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    pre = F.array_sort(F.collect_list(F.struct(okey.alias("k"), F.col("_v").alias("v"))).over(hw))
-    heads = heads.select("*", F.transform(pre, lambda x: x["v"]).alias("_pre"))
-    # a chunk with head values of a metric also has a tail row for it, so the
-    # window over tail rows (ordered by chunk) reaches the right predecessors
-    fixed = (heads.join(lead, [key, "_metric", _CHUNK], "left")
-             .select(key, _CHUNK, *order, "_metric",
-                     F.expr(f"""slice(concat(coalesce(_lead, array()), _pre),
-                                greatest(size(concat(coalesce(_lead, array()), _pre)) - {h - 1}, 1),
-                                {h})""").alias("_w"))
+    # the i-th head value sees the lead-in, then head values 1..i
+    heads = ends.select(key, "_metric", _CHUNK, "_lead", "_head",
+                        F.posexplode("_head").alias("_i", "_e"))
+    win_vals = F.expr(f"""slice(concat(_lead, transform(slice(_head, 1, _i + 1), x -> x.v)),
+                              greatest(size(_lead) + _i + 1 - {h - 1}, 1), {h})""")
+    fixed = (heads.select(key, _CHUNK, *[F.col("_e.k")[c].alias(c) for c in order], "_metric",
+                          win_vals.alias("_w"))
              .select(key, _CHUNK, *order, "_metric",
                      F.size("_w").cast("long").alias("_cnt"),
                      F.expr("aggregate(_w, 0D, (a, x) -> a + x) / size(_w)").alias("_avg")))
