@@ -17,8 +17,7 @@ CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
 
 def _write_parts(spark, folder):
-    raw = raw_messages(spark, SF0001, damaged=False).join(
-        readings(spark, SF0001).select("event_id", "reading_ts"), "event_id")
+    raw = raw_messages(spark, SF0001, damaged=False, with_time=True)
     ts = F.col("reading_ts")
     c = [F.expr(f"TIMESTAMP_NTZ'{x}'") for x in CUTS]
     parts = []

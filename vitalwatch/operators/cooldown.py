@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .sizing import HotKeys, broadcast_if_small, hot_keys, micros
 
-DEFAULT_CHUNK_ROWS = 4_000_000
+DEFAULT_CHUNK_ROWS = 1_000_000
 
 
 def cooldown(anomalies: DataFrame, gap_seconds: float, key: str = "device_id",

@@ -31,7 +31,7 @@ from ..thresholds import DEFAULT, Thresholds, TrendRule
 from .sizing import HotKeys, broadcast_if_small, hot_keys, micros
 
 # Rows per window task for one device before it is cut into chunks.
-DEFAULT_CHUNK_ROWS = 4_000_000
+DEFAULT_CHUNK_ROWS = 1_000_000
 _CHUNK = "_chunk"
 
 

@@ -183,8 +183,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     if key in _stream_runs:
         return _stream_runs[key]
     base = scratch_dir(spark, f"stream-{uuid.uuid4().hex}")
-    raw = raw_messages(spark, sf_dir, damaged=False).join(
-        readings(spark, sf_dir).select("event_id", "reading_ts"), "event_id")
+    raw = raw_messages(spark, sf_dir, damaged=False, with_time=True)
     ts = F.col("reading_ts")
     cuts = [F.expr(f"TIMESTAMP_NTZ'{c}'") for c in STREAM_CUTS]
     parts = [ts < cuts[0], (ts >= cuts[0]) & (ts < cuts[1]), ts >= cuts[1]]

@@ -27,8 +27,14 @@ def _damage(kind: str) -> F.Column:
     return (F.col("event_type") == F.lit(kind)) & (k < 10)
 
 
-def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = True) -> DataFrame:
-    """``event_id, value`` (JSON text), one per event of the whole table."""
+def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = True,
+                 with_time: bool = False) -> DataFrame:
+    """``event_id, value`` (JSON text), one per event of the whole table.
+
+    ``with_time`` also returns ``reading_ts`` (to cut the messages into files
+    by time without a join).
+    """
+    extra = ["reading_ts"] if with_time else []
     r = readings(spark, sf_dir, extra="event_type, props").withColumn(
         "_k", F.get_json_object("props", "$.k").cast("int"))
     iso = iso_text(F.col("reading_ts"))
@@ -38,7 +44,7 @@ def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = True) -> Data
     metrics = [F.col(m) for m in METRICS] + [F.col("event_id")]
     plain = F.to_json(F.struct(F.col("device_id"), ts_text.alias("timestamp"), *metrics))
     if not damaged:
-        return r.select("event_id", plain.alias("value"))
+        return r.select("event_id", plain.alias("value"), *extra)
     no_dev = F.to_json(F.struct(ts_text.alias("timestamp"), *metrics))
     bad_ts = F.to_json(F.struct(F.col("device_id"), F.lit("2024").alias("timestamp"), *metrics))
     as_text = F.to_json(F.struct(F.col("device_id"), ts_text.alias("timestamp"),
@@ -54,4 +60,4 @@ def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = True) -> Data
              .when(_damage("click"), as_text)
              .when(_damage("view"), nulls)
              .otherwise(F.col("_plain")))
-    return r.withColumn("_plain", plain).select("event_id", value.alias("value"))
+    return r.withColumn("_plain", plain).select("event_id", value.alias("value"), *extra)
