@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 from .sizing import HotKeys, broadcast_if_small, hot_keys, micros
 
 DEFAULT_CHUNK_ROWS = 1_000_000
@@ -80,7 +80,7 @@ def _grouped(a: DataFrame, gap_us: int, key: str, tie: str) -> DataFrame:
 
 def _doubling(a: DataFrame, gap_us: int, key: str, tie: str, max_levels: int = 62) -> DataFrame:
     spark = a.sparkSession
-    checkpoint_dir(spark)  # raises when no shared folder is configured
+    ensure_checkpoint_dir(spark)  # the cluster's folder; set only when none is configured
     g = F.lit(gap_us)
     nodes = a.select(key, "_u", tie, F.floor(F.col("_u") / g).alias("_b"))
 

@@ -18,10 +18,11 @@ from ..sources.messages import raw_messages
 import uuid
 
 from ..operators.cooldown import cooldown
-from ..sinks.parquet import append_new, overwrite_days, scratch_dir
+from ..session import scratch_dir
+from ..sinks.parquet import append_new, overwrite_days
 from ..streaming.job import batch_writer, flag_stream
 from ..operators.detect import check_hot, detect
-from ..sources.tables import readings
+from ..sources.tables import readings, skewed_readings
 from ..thresholds import DEFAULT
 from . import dashboard as D
 from .oracle import ALL_METRICS, SERIES, oracle_queries
@@ -221,9 +222,32 @@ def sink_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).drop("reading_date", "created_at")
 
 
+# Rows per window task / cooldown group in the skew queries: small enough that
+# the hot device (a third of all readings) is split at every fixture scale.
+HOT_CHUNK_ROWS = 500
+
+
+def is_anomaly_hot_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detection when one device holds a third of the rows: it runs in time chunks."""
+    r = skewed_readings(spark, sf_dir)
+    hot = check_hot(r, HOT_CHUNK_ROWS)
+    return detect(r, chunk_rows=HOT_CHUNK_ROWS, hot=hot).select(
+        "event_id", "device_id", "reading_ts", "cnt_heart_rate", "trend_any", "is_anomaly")
+
+
+def alert_cooldown_hot_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cooldown when one device holds a third of the rows: pointer doubling for it."""
+    r = skewed_readings(spark, sf_dir)
+    hot = check_hot(r, HOT_CHUNK_ROWS)
+    anomalies = detect(r, chunk_rows=HOT_CHUNK_ROWS, hot=hot).where(F.col("is_anomaly")).select(
+        "device_id", "reading_ts", "event_id")
+    return cooldown(anomalies, DEFAULT.cooldown_seconds, chunk_rows=HOT_CHUNK_ROWS, hot=hot)
+
+
 def stream_queries() -> dict[str, Query]:
     return {"stream_detect": stream_detect, "stream_cooldown": stream_cooldown,
-            "sink_idempotent": sink_idempotent}
+            "sink_idempotent": sink_idempotent, "is_anomaly_hot_device": is_anomaly_hot_device,
+            "alert_cooldown_hot_device": alert_cooldown_hot_device}
 
 
 def oracle_sql() -> dict[str, str]:

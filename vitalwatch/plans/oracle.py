@@ -7,7 +7,7 @@ thresholds, so a changed bound changes both sides.
 
 from __future__ import annotations
 
-from ..sources.tables import readings_sql
+from ..sources.tables import readings_sql, skewed_readings_sql
 from ..thresholds import CLAMP_BOUNDS, DEFAULT, FLAG_RED_FROM, HOUR_BANDS, METRIC_RED_FROM, RECENT_LIMIT, Thresholds
 
 SERIES = ("heart_rate", "temperature", "systolic_pressure", "diastolic_pressure",
@@ -21,7 +21,7 @@ def _num(x: float) -> str:
     return repr(float(x))
 
 
-def detected_cte(th: Thresholds = DEFAULT) -> str:
+def detected_cte(th: Thresholds = DEFAULT, base: str | None = None) -> str:
     h = th.history
     wins = []
     for t in th.trends:
@@ -46,7 +46,7 @@ def detected_cte(th: Thresholds = DEFAULT) -> str:
         trends.append(f"coalesce(cnt_{m} = {h} AND {cond}, false) AS trend_{m}")
     rule_any = " OR ".join(f"rule_{r.metric}" for r in th.rules)
     trend_any = " OR ".join(f"trend_{t.metric}" for t in th.trends)
-    return f"""readings AS ({readings_sql('duckdb')}),
+    return f"""readings AS ({base or readings_sql('duckdb')}),
 windowed AS (SELECT *, {', '.join(wins)} FROM readings),
 flags AS (SELECT *, {', '.join(rules)}, {', '.join(trends)} FROM windowed),
 detected AS (SELECT *, ({rule_any}) AS rule_any, ({trend_any}) AS trend_any,
@@ -98,8 +98,8 @@ def _range(start: str, end: str) -> str:
     return f"reading_ts BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'"
 
 
-def cooldown_sql(gap_seconds: int, th: Thresholds = DEFAULT) -> str:
-    return f"""WITH RECURSIVE {detected_cte(th)},
+def cooldown_sql(gap_seconds: int, th: Thresholds = DEFAULT, base: str | None = None) -> str:
+    return f"""WITH RECURSIVE {detected_cte(th, base)},
 a AS (SELECT device_id, reading_ts, event_id,
              row_number() OVER (PARTITION BY device_id ORDER BY reading_ts, event_id) AS rn
       FROM detected WHERE is_anomaly),
@@ -168,6 +168,10 @@ def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
     out["stream_detect"] = f"{cte} SELECT event_id, rule_any, trend_any, is_anomaly FROM detected"
     out["stream_cooldown"] = cooldown_sql(th.cooldown_seconds, th)
     out["sink_idempotent"] = out["is_anomaly"]
+    skew = skewed_readings_sql("duckdb")
+    out["is_anomaly_hot_device"] = (f"WITH {detected_cte(th, skew)} SELECT event_id, device_id, "
+                                    f"reading_ts, cnt_heart_rate, trend_any, is_anomaly FROM detected")
+    out["alert_cooldown_hot_device"] = cooldown_sql(th.cooldown_seconds, th, skew)
     rcte = "WITH " + f"readings AS ({readings_sql('duckdb')})"
     clamps = ", ".join(f"CASE WHEN {m} IS NULL THEN NULL ELSE greatest({_num(lo)}, least({_num(hi)}, {m})) "
                        f"END AS {m}" for m, lo, hi in CLAMP_BOUNDS)

@@ -54,7 +54,22 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not target:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; pass a shared folder (tests pass a scratch one)")
-    if not configured:
-        os.makedirs(target, exist_ok=True)
-    sc.setCheckpointDir(target)
+    sc.setCheckpointDir(target)  # creates the folder through the Hadoop file system
     return sc.getCheckpointDir() or target
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A folder in shared storage: under the checkpoint folder, else the warehouse."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    base = base.removeprefix("file:")
+    return os.path.join(base, "vitalwatch", name)
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; only when none is set, one under the warehouse."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
+        return checkpoint_dir(spark)
+    return checkpoint_dir(spark, scratch_dir(spark, "checkpoints"))

@@ -27,15 +27,6 @@ KEY = ("device_id", "reading_ts")
 DATE = "reading_date"
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder in shared storage: under the checkpoint folder, else the warehouse."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir")
-    base = base.removeprefix("file:")
-    return os.path.join(base, "vitalwatch", name)
-
-
 def with_sink_columns(df: DataFrame, ts: str = "reading_ts") -> DataFrame:
     """The table's own columns: date partition, ``created_at`` (write time) and
     ``is_anomaly`` kept non-null (default false)."""

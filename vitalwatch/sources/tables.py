@@ -51,3 +51,26 @@ def readings(spark: SparkSession, sf_dir: str, extra: str = "") -> DataFrame:
     view = "events_" + str(abs(hash(os.path.abspath(sf_dir))))
     events.createOrReplaceTempView(view)
     return spark.sql(readings_sql("spark", extra).replace("FROM events", f"FROM {view}"))
+
+
+# Skew fixture: every third event is given to one device, so that device holds
+# a third of all readings (the hot-key case the batch operators must split).
+HOT_DEVICE = "device_hot"
+
+
+def skewed_readings_sql(dialect: str = "spark") -> str:
+    cols = ("reading_ts, heart_rate, temperature, systolic_pressure, diastolic_pressure, "
+            "oxygen_saturation, respiration_rate, blood_glucose, steps_count, calories_burned, "
+            "stress_level")
+    return (f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{HOT_DEVICE}' ELSE device_id END "
+            f"AS device_id, {cols} FROM ({readings_sql(dialect)}) r")
+
+
+def skewed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings with one device holding a third of them (whole table)."""
+    from pyspark.sql import functions as F
+
+    r = readings(spark, sf_dir)
+    dev = F.when(F.col("event_id") % 3 == 0, F.lit(HOT_DEVICE)).otherwise(F.col("device_id"))
+    return r.select("event_id", dev.alias("device_id"), *[c for c in r.columns
+                                                          if c not in ("event_id", "device_id")])
