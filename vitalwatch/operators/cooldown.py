@@ -53,6 +53,10 @@ def cooldown(anomalies: DataFrame, gap_seconds: float, key: str = "device_id",
         return _grouped(a, gap_us, key, tie).select(*cols)
     hot_df, n_hot = hot.table, hot.n_keys
     keys = broadcast_if_small(hot_df.select(key), n_hot, broadcast_rows)
+    # the anomalies feed four branches below (cold walk, doubling nodes, roots,
+    # final semi-join): write them once instead of re-running their upstream
+    ensure_checkpoint_dir(anomalies.sparkSession)
+    a = _cut(a)
     cold = _grouped(a.join(keys, key, "left_anti"), gap_us, key, tie)
     hot_rows = a.join(keys, key, "left_semi")
     alerts = _doubling(hot_rows.select(key, "_u", tie), gap_us, key, tie)
@@ -78,6 +82,11 @@ def _grouped(a: DataFrame, gap_us: int, key: str, tie: str) -> DataFrame:
     return a.groupBy(key).applyInArrow(walk, schema)
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Cut lineage: a reliable checkpoint in the shared checkpoint folder."""
+    return df.checkpoint()
+
+
 def _doubling(a: DataFrame, gap_us: int, key: str, tie: str, max_levels: int = 62) -> DataFrame:
     spark = a.sparkSession
     ensure_checkpoint_dir(spark)  # the cluster's folder; set only when none is configured
@@ -121,7 +130,7 @@ def _doubling(a: DataFrame, gap_us: int, key: str, tie: str, max_levels: int = 6
     j0 = (nxt.join(rk, [key, "_nx"], "left")
           .select(key, "_u", tie, F.when(F.col("_is_root").isNull(), F.col("_nx")).alias("_nx")))
 
-    levels = [j0.checkpoint()]
+    levels = [_cut(j0)]
     while len(levels) < max_levels:
         jk = levels[-1]
         if jk.where(F.col("_nx").isNotNull()).isEmpty():
@@ -129,12 +138,12 @@ def _doubling(a: DataFrame, gap_us: int, key: str, tie: str, max_levels: int = 6
         nxt_of = jk.select(key, F.struct("_u", tie).alias("_nx"), F.col("_nx").alias("_nx2"))
         jn = jk.join(nxt_of, [key, "_nx"], "left").select(key, "_u", tie,
                                                           F.col("_nx2").alias("_nx"))
-        levels.append(jn.checkpoint())
+        levels.append(_cut(jn))
 
     # expand from the roots: S_k = S_{k+1} + J_k(S_{k+1}), top level down
     reach = roots
     for jk in reversed(levels):
         step = (reach.join(jk, [key, "_u", tie], "inner").where(F.col("_nx").isNotNull())
                 .select(key, F.col("_nx._u").alias("_u"), F.col("_nx").getField(tie).alias(tie)))
-        reach = reach.unionByName(step).checkpoint()
+        reach = _cut(reach.unionByName(step))
     return reach
