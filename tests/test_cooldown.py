@@ -68,3 +68,11 @@ def test_property_both_paths_equal_model(spark, events):
     want = _model(events, 60_000_000)
     assert _kept(df) == want
     assert _kept(df, chunk_rows=2) == want
+
+
+def test_without_tie_column(spark):
+    us = [0, 60_000_000, 60_000_001, 61_000_000, 120_000_001, 120_000_002]
+    df = _frame(spark, [("d", u) for u in us]).drop("event_id")
+    for kw in ({}, {"chunk_rows": 1}):
+        kept = sorted(r["reading_ts"] for r in cooldown(df, 60, tie="event_id", **kw).collect())
+        assert kept == [T0 + dt.timedelta(microseconds=u) for u in (0, 60_000_001, 120_000_002)]

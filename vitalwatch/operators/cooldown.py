@@ -47,6 +47,11 @@ def cooldown(anomalies: DataFrame, gap_seconds: float, key: str = "device_id",
     gap_us = int(round(gap_seconds * 1_000_000))
     cols = anomalies.columns
     a = anomalies.withColumn("_u", micros(anomalies, ts))
+    if tie not in cols:
+        # no order tie given: number the rows (fixed by the checkpoint below on
+        # the hot path; on the cold path it only orders equal-time anomalies)
+        tie = "_tie"
+        a = a.withColumn(tie, F.monotonically_increasing_id())
     if hot is None:
         hot = hot_keys(anomalies, key, ts, chunk_rows)
     if not hot:

@@ -162,8 +162,8 @@ def _chunked(df, th, order, key, ts, hot, broadcast_rows) -> DataFrame:
               .agg(F.map_from_entries(F.collect_list(F.struct(
                   "_metric", F.struct(F.col("_cnt").alias("c"), F.col("_avg").alias("a")))))
                   .alias("_fix")))
-    # bound: at most (h-1) rows per hot chunk, whatever the data size
-    fix_small = broadcast_if_small(fixmap, n_chunks * (h - 1), broadcast_rows)
+    # bound: at most (h-1) head rows per hot chunk and metric, whatever the data size
+    fix_small = broadcast_if_small(fixmap, n_chunks * (h - 1) * len(th.trends), broadcast_rows)
     out = win.join(fix_small, [key, _CHUNK, *order], "left")
     repl = []
     for t in th.trends:
