@@ -90,16 +90,16 @@ def forward_writer(valid_sink, quarantine_path: str, keep: tuple[str, ...] = ())
 
     Valid JSON is re-serialised and handed to ``valid_sink`` keyed by device
     (so a device's messages stay in one topic partition, in order); invalid
-    messages are appended to the quarantine with their text. Nothing is
-    dropped, and no message blocks the next one.
+    messages go to the quarantine with their text, one folder per micro-batch
+    (``batch_id=<n>``, overwritten on a replay, so a re-run adds nothing).
+    Nothing is dropped, and no message blocks the next one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         out = forward(batch, keep=keep).persist()
         try:
             valid_sink(out.where(F.col("reason").isNull()))
             (out.where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
-             .withColumn("batch_id", F.lit(batch_id))
-             .write.mode("append").parquet(quarantine_path))
+             .write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}"))
         finally:
             out.unpersist()
     return write
