@@ -124,3 +124,25 @@ def test_forward_bridge_splits_valid_and_bad(spark, scratch):
     assert [k for k, _ in topic] == ["d1", "d2"] and '"heart_rate":80' in topic[0][1]
     bad = spark.read.parquet(os.path.join(scratch, "bad")).collect()
     assert [(r["raw"], r["reason"]) for r in bad] == [("not json", "bad_json")]
+
+
+def test_start_runs_detection_and_quarantine(spark, scratch):
+    from vitalwatch.streaming.job import file_source, start
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "m.txt"), "w") as f:
+        f.write('{"device_id": "d1", "timestamp": "2024-01-01T00:00:00", "heart_rate": 130}\n')
+        f.write('{"device_id": "d1", "timestamp": "2024-01-01T00:00:05", "heart_rate": 70}\n')
+        f.write('{"timestamp": "2024-01-01T00:00:06"}\n')
+        f.write('garbage\n')
+    q1, q2 = start(file_source(spark, src), f"{scratch}/readings", f"{scratch}/alerts",
+                   f"{scratch}/quarantine", f"{scratch}/ck", trigger={"availableNow": True})
+    q1.awaitTermination()
+    q2.awaitTermination()
+    got = spark.read.parquet(f"{scratch}/readings")
+    assert sorted(r["is_anomaly"] for r in got.collect()) == [False, True]
+    alerts = spark.read.parquet(f"{scratch}/alerts").collect()
+    assert [a["subject"] for a in alerts] == ["Urgent Health Alert for d1"]
+    bad = sorted(r["reason"] for r in spark.read.parquet(f"{scratch}/quarantine").collect())
+    assert bad == ["bad_json", "missing_key"]
