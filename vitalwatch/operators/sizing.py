@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 
 def micros(df: DataFrame, col: str):
     if isinstance(df.schema[col].dataType, T.TimestampNTZType):
@@ -47,10 +49,12 @@ def hot_keys(df: DataFrame, key: str, ts: str, chunk_rows: int) -> HotKeys:
     row = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_k").alias("k")).first()
     if not row or not row["n"]:
         return HotKeys(None, 0, 0, chunk_rows)
-    # rebuilt lazily (a second pass over the key and time columns) only when needed
+    # hot keys exist: write the (small, bounded) table once, so the branches
+    # that join it do not each re-run the aggregate over the whole input
+    ensure_checkpoint_dir(df.sparkSession)
     table = hot.select(key, "_t0",
                        (F.floor((F.col("_t1") - F.col("_t0")) / F.col("_k")) + 1).alias("_width"))
-    return HotKeys(table, int(row["n"]), int(row["k"]), chunk_rows)
+    return HotKeys(table.checkpoint(), int(row["n"]), int(row["k"]), chunk_rows)
 
 
 def broadcast_if_small(df: DataFrame, bound_rows: int, limit_rows: int) -> DataFrame:
