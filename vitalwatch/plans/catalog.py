@@ -193,10 +193,20 @@ def stream_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         raw.where(cond).select("value").coalesce(1).write.text(f"{base}/in/part{i}")
     src = (spark.readStream.format("text").option("maxFilesPerTrigger", 1)
            .option("recursiveFileLookup", "true").load(f"{base}/in"))
-    flagged = flag_stream(src, extra_fields={"event_id": "bigint"}, order=("reading_ts", "event_id"))
-    q = (flagged.writeStream.foreachBatch(batch_writer(f"{base}/readings", f"{base}/alerts"))
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
+    # state partitions are fixed by the shuffle setting when a checkpoint is new:
+    # size them to the cores for this one-off run, then restore the session value
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   str(min(int(before), max(spark.sparkContext.defaultParallelism, 1))))
+    try:
+        flagged = flag_stream(src, extra_fields={"event_id": "bigint"},
+                              order=("reading_ts", "event_id"))
+        q = (flagged.writeStream.foreachBatch(batch_writer(f"{base}/readings", f"{base}/alerts"))
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+             .start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     _stream_runs[key] = (f"{base}/readings", f"{base}/alerts")
     return _stream_runs[key]
 
