@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import lines, mixing, quality
+from . import lines, mixing, quality, simhash, tokens
 
 
 def _docs(spark, sf_dir):
@@ -27,7 +27,18 @@ def op10_line_dedup(spark, sf_dir):
     return d.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op6_mixing, op10_line_dedup)}
+def op4_token_output(spark, sf_dir):
+    import public_tokenizers
+
+    return tokens.token_round_trip(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_simhash(spark, sf_dir):
+    c = simhash.simhash_classes(_docs(spark, sf_dir))
+    return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_token_output, op6_mixing, op7_simhash, op10_line_dedup)}
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 ORACLE = {
