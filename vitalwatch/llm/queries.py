@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import lines, mixing, quality, simhash, tokens
+from . import lines, mixing, pieces, quality, simhash, tokens, topk
 
 
 def _docs(spark, sf_dir):
@@ -38,7 +38,18 @@ def op7_simhash(spark, sf_dir):
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_token_output, op6_mixing, op7_simhash, op10_line_dedup)}
+def op1_pieces(spark, sf_dir):
+    import public_tokenizers
+
+    return pieces.encode_documents(_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_top_k(spark, sf_dir):
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op4_token_output, op6_mixing, op7_simhash,
+                                   op9_top_k, op10_line_dedup)}
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 ORACLE = {
@@ -59,6 +70,14 @@ SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND word_chars BETWEEN 2 * n_words AND 15 * n_words
   AND n_symbols <= 0.1::DOUBLE * n_words AND n_dup_lines <= 0.3::DOUBLE * greatest(n_lines, 1)
   AND n_stop_words >= 0.02::DOUBLE * n_words AS kept FROM m""",
+    "op9_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, v AS w FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT query_id, vec_id, list_sum(list_transform(range(1, len(v) + 1), lambda i: v[i] * w[i]))::BIGINT AS score
+      FROM q JOIN v ON vec_id <> query_id)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10""",
     "op10_line_dedup": r"""
 WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS x FROM documents),
 b AS (SELECT doc_id, source, regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS k FROM l),
