@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import lines, mixing, pieces, quality, simhash, tokens, topk
+from . import licenses, lines, mixing, pieces, quality, simhash, tokens, topk, urls
 
 
 def _docs(spark, sf_dir):
@@ -48,7 +48,30 @@ def op9_top_k(spark, sf_dir):
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op4_token_output, op6_mixing, op7_simhash,
+def op5_url_filters(spark, sf_dir):
+    """Captures are the pages, fetched on a day made from the id; the lists are made from the pages' hosts."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    captures = pages.select(F.col("page_id").alias("id"), "url", ((F.col("page_id") * 7919) % 365).alias("day"))
+    hosts = pages.groupBy(urls.host(F.col("url")).alias("key")).agg(F.min("page_id").alias("p"), F.count("*").alias("n"))
+    hosts = hosts.where("key <> ''")
+    since = (F.col("p") * 31) % 300
+    entry = lambda name, day, blocks: hosts.select(F.lit(name).alias("list"), "key", day.alias("day"), F.lit(blocks).alias("blocks"))
+    entries = (entry("spam", since, True).unionByName(entry("spam", since + 20 + F.col("n") % 40, False))
+               .unionByName(entry("phishing", (since + 150) % 300, True))
+               .unionByName(entry("phishing", (since + 150) % 300 + 10, False)))
+    return urls.url_filter(captures, entries, 365).withColumnRenamed("id", "page_id")
+
+
+def op8_license_scan(spark, sf_dir):
+    """Files are the documents, at source/thousand/hundred/id; those of ids ending in 0 are licence files."""
+    docs = _docs(spark, sf_dir).where("doc_id is not null")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000).cast("string"),
+                       F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    return licenses.license_scan(docs.select(path.alias("path"), "text", (F.col("doc_id") % 10 == 0).alias("is_file")))
+
+
+QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op4_token_output, op5_url_filters, op6_mixing,
+                                   op7_simhash, op8_license_scan,
                                    op9_top_k, op10_line_dedup)}
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
@@ -70,6 +93,17 @@ SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND word_chars BETWEEN 2 * n_words AND 15 * n_words
   AND n_symbols <= 0.1::DOUBLE * n_words AND n_dup_lines <= 0.3::DOUBLE * greatest(n_lines, 1)
   AND n_stop_words >= 0.02::DOUBLE * n_words AS kept FROM m""",
+    "op5_url_filters": r"""
+WITH p AS (SELECT page_id, url, (page_id * 7919) % 365 AS day,
+       lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)) AS host,
+       regexp_extract(url, '^[^:]+://[^/?#]+/([^/?#]+)', 1) AS seg FROM pages),
+h AS (SELECT host, (min(page_id) * 31) % 300 AS d, count(*) AS n FROM p WHERE host <> '' GROUP BY host),
+e AS (SELECT host, 'spam' AS l, d AS a, d + 20 + n % 40 AS b FROM h
+      UNION ALL SELECT host, 'phishing', (d + 150) % 300, (d + 150) % 300 + 10 FROM h),
+hit AS (SELECT page_id, count(*) AS n, string_agg(DISTINCT l, ',' ORDER BY l) AS ls FROM p, e
+        WHERE (p.host = e.host OR p.host LIKE '%.' || e.host) AND a <= day AND day < b GROUP BY page_id)
+SELECT p.page_id, url, day, coalesce(n, 0)::BIGINT AS n_hits, coalesce(ls, '') AS lists, n IS NULL AS kept
+FROM p LEFT JOIN hit USING (page_id)""",
     "op9_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
