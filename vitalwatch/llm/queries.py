@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import licenses, lines, mixing, pieces, quality, simhash, tokens, topk, urls
+from . import licenses, lines, mixing, pieces, quality, simhash, suffixes, tokens, topk, urls
 
 
 def _docs(spark, sf_dir):
@@ -48,6 +48,10 @@ def op9_top_k(spark, sf_dir):
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0)
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    return suffixes.suffix_dedup(_docs(spark, sf_dir)).drop("kept")
+
+
 def op5_url_filters(spark, sf_dir):
     """Captures are the pages, fetched on a day made from the id; the lists are made from the pages' hosts."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
@@ -70,7 +74,7 @@ def op8_license_scan(spark, sf_dir):
     return licenses.license_scan(docs.select(path.alias("path"), "text", (F.col("doc_id") % 10 == 0).alias("is_file")))
 
 
-QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op4_token_output, op5_url_filters, op6_mixing,
+QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op3_suffix_dedup, op4_token_output, op5_url_filters, op6_mixing,
                                    op7_simhash, op8_license_scan,
                                    op9_top_k, op10_line_dedup)}
 
