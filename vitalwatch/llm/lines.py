@@ -12,13 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quality import SPACE
-
-ENDS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
-
-
 def _bare(line: Column) -> Column:
-    return F.regexp_replace(line, ENDS, "")
+    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def _hash(line: Column) -> Column:
@@ -42,16 +37,18 @@ def line_dedup(docs: DataFrame, text: str = "text", site: str = "source", doc_id
     """All columns of ``docs`` with boilerplate lines taken out of ``text``, and n_lines, n_removed
     (as ``_n_lines``, ``_n_removed``)."""
     t = docs.withColumn("_t", F.xxhash64(text))
-    judged = F.filter(F.split(F.col(text), "\n"), lambda x: F.size(F.split(_bare(x), SPACE)) >= min_words)
+    word, space = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
+    long_enough = space.join([word] * min_words)
+    judged = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(long_enough))
     rows = t.select(F.col(doc_id).alias("_d"), F.col("_t").alias("_u"), F.col(site).alias("site"),
                     F.explode(F.array_distinct(F.transform(judged, _hash))).alias("h"))
     bad = boilerplate(rows.where("site is not null").select("h", "site"), min_sites)
     per = (rows.join(bad, "h", "left_semi").groupBy("_d", "_u").agg(F.collect_set("h").alias("_bad")))
     j = t.join(per, t[doc_id].eqNullSafe(per["_d"]) & (t["_t"] == per["_u"]), "left")
     split = F.split(F.col(text), "\n")
-    # array_contains over at most the document's own lines
-    left = F.when(F.col("_bad").isNull(), split).otherwise(F.filter(
-        split, lambda x: ~((F.size(F.split(_bare(x), SPACE)) >= min_words) & F.array_contains("_bad", _hash(x)))))
+    # array_contains over at most the document's own lines, all of them judged
+    left = F.when(F.col("_bad").isNull(), split).otherwise(
+        F.filter(split, lambda x: ~F.array_contains("_bad", _hash(x))))
     out = j.withColumn("_left", left)
     n = lambda c: F.greatest(F.size(c), F.lit(0)).cast("long")
     return out.select(*[F.array_join("_left", "\n").alias(c) if c == text else t[c] for c in docs.columns],
