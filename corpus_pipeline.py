@@ -1,10 +1,10 @@
-"""Corpus pipeline: quality rules, line dedup (further stages follow)."""
+"""Corpus pipeline: quality rules, line dedup, SimHash near-dedup, mixing, SentencePiece."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitalwatch.llm import lines, quality
+from vitalwatch.llm import lines, mixing, pieces, quality, simhash
 from vitalwatch.llm.scratch import stored
 
 
@@ -19,7 +19,28 @@ def line_stage(spark, docs, sf_dir):
     return d.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
-STAGES = [("quality rules", quality_stage), ("line dedup", line_stage)]
+def simhash_stage(spark, docs, sf_dir):
+    """One document of each near-duplicate group stays, the one of the smallest id; rows without an
+    id all stay. Repeated ids keep one row."""
+    first = simhash.simhash_classes(docs).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def mixing_stage(spark, docs, sf_dir):
+    """The mix by target weights: repeats are rows, parts of documents are the words that the mix takes."""
+    return mixing.mixed_documents(docs)
+
+
+def pieces_stage(spark, docs, sf_dir):
+    """Piece ids of every document (the last stage)."""
+    import public_tokenizers
+
+    return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [("quality rules", quality_stage), ("line dedup", line_stage), ("simhash near-dedup", simhash_stage),
+          ("mixing sources", mixing_stage), ("sentencepiece", pieces_stage)]
 ORACLE_SQL = None
 
 
