@@ -146,3 +146,24 @@ def test_start_runs_detection_and_quarantine(spark, scratch):
     assert [a["subject"] for a in alerts] == ["Urgent Health Alert for d1"]
     bad = sorted(r["reason"] for r in spark.read.parquet(f"{scratch}/quarantine").collect())
     assert bad == ["bad_json", "missing_key"]
+
+
+def test_same_time_readings_are_all_stored(spark, scratch):
+    det = (detect(readings(spark, SF0001)).select("event_id", "device_id", "reading_ts", "heart_rate", "is_anomaly")
+           .withColumn("reading_ts", F.expr("TIMESTAMP_NTZ'2024-01-05 00:00:00'")))
+    path = os.path.join(scratch, "same")
+    append_new(det, path)
+    append_new(det, path)
+    assert spark.read.parquet(path).count() == 1000
+
+
+def test_stream_survives_a_calm_first_batch(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    line = '{"event_id": %d, "device_id": "d", "timestamp": "2024-01-01T00:0%d:00", "heart_rate": %d}\n'
+    for i, bpm in enumerate((70, 140)):
+        with open(os.path.join(src, f"f{i}.txt"), "w") as f:
+            f.write(line % (i, i, bpm))
+        _run(spark, src, scratch)
+    assert spark.read.parquet(f"{scratch}/readings").count() == 2
+    assert [r["event_id"] for r in spark.read.parquet(f"{scratch}/alerts").collect()] == [1]

@@ -92,11 +92,11 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _doubling(a: DataFrame, gap_us: int, key: str, tie: str, max_levels: int = 62) -> DataFrame:
+def _doubling(a: DataFrame, gap_us: int, key: str, tie: str) -> DataFrame:
     spark = a.sparkSession
     ensure_checkpoint_dir(spark)  # the cluster's folder; set only when none is configured
     g = F.lit(gap_us)
-    nodes = a.select(key, "_u", tie, F.floor(F.col("_u") / g).alias("_b"))
+    nodes = a.select(key, "_u", tie, F.floor(F.col("_u") / F.lit(max(gap_us, 1))).alias("_b"))
 
     # per bucket: first anomaly (fallback target) and last time (session test)
     buckets = nodes.groupBy(key, "_b").agg(
@@ -136,7 +136,7 @@ def _doubling(a: DataFrame, gap_us: int, key: str, tie: str, max_levels: int = 6
           .select(key, "_u", tie, F.when(F.col("_is_root").isNull(), F.col("_nx")).alias("_nx")))
 
     levels = [_cut(j0)]
-    while len(levels) < max_levels:
+    while True:
         jk = levels[-1]
         if jk.where(F.col("_nx").isNotNull()).isEmpty():
             break

@@ -19,6 +19,7 @@ import uuid
 
 from ..operators.cooldown import cooldown
 from ..session import scratch_dir
+from ..operators.rules import add_rule_flags
 from ..sinks.parquet import append_new, overwrite_days
 from ..streaming.job import batch_writer, flag_stream
 from ..operators.detect import check_hot, detect
@@ -66,8 +67,9 @@ def flagged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rule(metric: str) -> Query:
     def q(spark, sf_dir):
-        return _detected(spark, sf_dir).select("event_id", "device_id", "reading_ts", metric,
-                                               f"rule_{metric}")
+        # a rule looks at one row: scan and project, no shuffle
+        return add_rule_flags(readings(spark, sf_dir)).select(
+            "event_id", "device_id", "reading_ts", metric, f"rule_{metric}")
     return q
 
 
@@ -113,7 +115,7 @@ def spark_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for qid, m in RULE_IDS.items():
         q[qid] = _rule(m)
-    q["rule_any"] = lambda s, d: _detected(s, d).select("event_id", "rule_any")
+    q["rule_any"] = lambda s, d: add_rule_flags(readings(s, d)).select("event_id", "rule_any")
     for qid, m in TREND_IDS.items():
         q[qid] = _trend(m)
     q["trend_any"] = lambda s, d: _detected(s, d).select("event_id", "trend_any")

@@ -62,9 +62,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def append_new(df: DataFrame, path: str, key: tuple[str, ...] = KEY) -> None:
-    """Append the rows whose key is not stored yet (exactly-once by key)."""
+def identity(columns: list[str]) -> tuple[str, ...]:
+    """What tells readings apart: the event id or the topic position, with (device, time);
+    (device, time) alone only where a table has neither."""
+    more = next((c for c in (("event_id",), ("topic", "partition", "offset"), ("partition", "offset"))
+                 if set(c) <= set(columns)), ())
+    return (*KEY, *more)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """A micro-batch in a folder of its own, overwritten on a replay: every reading is kept,
+    nothing stored is read again."""
+    (_layout(with_sink_columns(df)).write.mode("overwrite").partitionBy(DATE)
+     .parquet(f"{path}/batch_id={batch_id}"))
+
+
+def append_new(df: DataFrame, path: str, key: tuple[str, ...] | None = None) -> None:
+    """Append the rows whose key is not stored yet (exactly-once by key, see ``identity``)."""
     spark = df.sparkSession
+    key = key or identity(df.columns)
     # de-duplicate and anti-join on the same key: one hash partitioning serves both
     batch = with_sink_columns(df).dropDuplicates(list(key))
     if _exists(spark, path):
@@ -72,7 +88,7 @@ def append_new(df: DataFrame, path: str, key: tuple[str, ...] = KEY) -> None:
         # literals so that only those date folders are listed and read
         days = [r[0] for r in with_sink_columns(df.select(*key)).select(DATE).distinct().collect()]
         if days:
-            stored = spark.read.parquet(path).where(F.col(DATE).isin(days)).select(*key)
+            stored = spark.read.schema(batch.schema).parquet(path).where(F.col(DATE).isin(days)).select(*key)
             batch = batch.join(stored, list(key), "left_anti")
     _layout(batch).write.mode("append").partitionBy(DATE).parquet(path)
 

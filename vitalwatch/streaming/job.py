@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.messages import alert_rows
 from ..functions.parse import forward, parse_messages
 from ..operators.rules import add_rule_flags
-from ..sinks.parquet import append_new
+from ..sinks.parquet import identity, write_batch
 from ..thresholds import DEFAULT, Thresholds
 from .processor import DetectProcessor, output_schema
 
@@ -58,8 +58,10 @@ def flag_stream(raw: DataFrame, th: Thresholds = DEFAULT, gap_seconds: float | N
     """Good readings with rule, trend, ``is_anomaly`` and ``alert`` columns.
 
     ``extra_fields`` reads more JSON fields (name -> type) to carry along, for
-    instance an event id used as the order tie. ``dedupe_delay`` drops replays
-    of a (device, time) key within that delay before they reach the state.
+    instance an event id used as the order tie. ``dedupe_delay`` keeps replays of a
+    reading (device, time and event id or topic position) out of the state; rows later
+    than the delay are then dropped by the watermark, so leave it unset where devices
+    may send late. Without it no reading is dropped.
     """
     spark = raw.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -69,7 +71,7 @@ def flag_stream(raw: DataFrame, th: Thresholds = DEFAULT, gap_seconds: float | N
     if dedupe_delay:
         good = (good.withColumn("_event_time", F.col("reading_ts").cast("timestamp"))
                 .withWatermark("_event_time", dedupe_delay)
-                .dropDuplicatesWithinWatermark(["device_id", "reading_ts"]).drop("_event_time"))
+                .dropDuplicatesWithinWatermark(list(identity(good.columns))).drop("_event_time"))
     ruled = add_rule_flags(good, th)
     out_schema = output_schema(ruled.schema, th)
     proc = DetectProcessor(out_schema, th, gap_seconds, order, state_ttl_ms)
@@ -117,9 +119,9 @@ def batch_writer(readings_path: str, alerts_path: str, th: Thresholds = DEFAULT)
         try:
             readings = batch.drop("alert", *[c for c in batch.columns
                                              if c.startswith(("cnt_", "avg_"))])
-            append_new(readings, readings_path)
+            write_batch(readings, readings_path, batch_id)
             alerts = alert_rows(batch.where(F.col("alert")), th, filter_anomalies=False)
-            append_new(alerts, alerts_path)
+            write_batch(alerts, alerts_path, batch_id)
         finally:
             batch.unpersist()
     return write

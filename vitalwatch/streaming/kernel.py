@@ -31,10 +31,13 @@ def trend_step(values: np.ndarray, history: np.ndarray, size: int, rule: TrendRu
     seq = np.concatenate([lead, new])
     pos = np.arange(len(lead), len(seq))  # index of each new value in seq
     start = np.maximum(pos - (size - 1), 0)
-    csum = np.concatenate([[0.0], np.cumsum(seq)])
     c = pos - start + 1
-    # exact whenever the values are (whole numbers, quarters); ulp-level otherwise
-    a = (csum[pos + 1] - csum[start]) / c
+    # plain sum of the window, oldest value first, as the batch window adds it
+    total = np.zeros(len(pos))
+    for back in range(size - 1, -1, -1):
+        at = pos - back
+        total = np.where(at >= start, total + seq[np.maximum(at, 0)], total)
+    a = total / c
     x = new
     if rule.kind == "mul_above":
         hit = x > a * rule.amount
