@@ -148,8 +148,12 @@ def _ranges(ok: np.ndarray, run: np.ndarray, pos: np.ndarray):
     return run[i[new]], pos[i[new]], np.diff(np.r_[new, len(i)])
 
 
-def repeated_spans(docs: DataFrame, length: int, hot: int = 2000, bucket_bytes: int = 4 << 20) -> DataFrame:
-    """(d, t, s, n): windows s .. s + n - 1 of a document whose bytes occur elsewhere too."""
+def repeated_spans(docs: DataFrame, length: int, hot: int | None = None, bucket_bytes: int = 4 << 20) -> DataFrame:
+    """(d, t, s, n): windows s .. s + n - 1 of a document whose bytes occur elsewhere too.
+
+    ``hot``: different runs of one q-gram beyond which they are split by window hash; by default
+    those that would fill a bucket of ``bucket_bytes`` alone."""
+    hot = bucket_bytes // length if hot is None else hot
     r = runs(docs, length)
     twice = r.groupBy("h").count().where("count > 1").select("h")
     some = stored(r.join(twice, "h", "left_semi"), "suffix-runs")
