@@ -154,11 +154,11 @@ def test_top_k(spark):
 
 
 def test_line_dedup(spark):
-    texts = [f"own {i} words here\n common line of all \nshort x" for i in range(12)] + [None, ""]
+    texts = [f"own {i} words here\n common line of all \nshort x" for i in range(12)] + [None, "", "w" * 200_000]
     d = docs(spark, texts, tuple(f"s{i}" for i in range(12)))
     got = {r["doc_id"]: r for r in lines.line_dedup(d).collect()}
     assert got[3]["text"] == "own 3 words here\nshort x" and got[3]["_n_removed"] == 1
-    assert got[12]["text"] is None and got[13]["text"] == ""
+    assert got[12]["text"] is None and got[13]["text"] == "" and got[14]["text"] == "w" * 200_000
 
 
 def test_pieces_best_path():

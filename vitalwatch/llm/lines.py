@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def _bare(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
@@ -37,8 +38,9 @@ def line_dedup(docs: DataFrame, text: str = "text", site: str = "source", doc_id
     """All columns of ``docs`` with boilerplate lines taken out of ``text``, and n_lines, n_removed
     (as ``_n_lines``, ``_n_removed``)."""
     t = docs.withColumn("_t", F.xxhash64(text))
-    word, space = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
-    long_enough = space.join([word] * min_words)
+    # anchored and possessive: linear also in a line that is one very long word
+    word, space = r"[^\x20\x09-\x0D]++", r"[\x20\x09-\x0D]"
+    long_enough = f"^{space}*+{word}(?:{space}++{word}){{{min_words - 1}}}"
     judged = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(long_enough))
     rows = t.select(F.col(doc_id).alias("_d"), F.col("_t").alias("_u"), F.col(site).alias("site"),
                     F.explode(F.array_distinct(F.transform(judged, _hash))).alias("h"))
