@@ -190,7 +190,8 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
                                            pa.array(n_tokens), pa.array(crc, pa.int64())],
                                           names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return (placed.select("file", "base").repartition(F.xxhash64("file"))
+    # a task per file: a count given outright is not coalesced, however few bytes the manifest has
+    return (placed.select("file", "base", "shard").repartitionByRange(max(1, manifest.count()), "shard")
             .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
