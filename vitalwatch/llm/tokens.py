@@ -41,15 +41,19 @@ class Encoder:
     """Whole texts through the tokenizers library; parts seen before come from a table.
 
     The tokenizer drops white space and never joins over it, so a text's ids are
-    those of its words; both tables are emptied at ``most`` entries (bounded memory)."""
+    those of its words; both tables are emptied at ``most`` entries (bounded memory).
+    The file is read at first use, so an encoder travels as a path and a worker
+    that takes several tasks reads it once."""
 
     def __init__(self, path: str, most: int = 400_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.t, self.most, self.words, self.parts = Tokenizer.from_file(path), most, {}, {}
+        self.path, self.t, self.most, self.words, self.parts = path, None, most, {}, {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
+        if self.t is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.t = Tokenizer.from_file(self.path)
         return [np.array(e.ids, "<u4").tobytes() for e in self.t.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, text: str) -> bytes:
@@ -143,8 +147,10 @@ class ShardReader:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, bits: int,
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Writes the shards and returns the manifest (shard, file, n_docs, n_ids), one row per file."""
+    held = docs.sparkSession.sparkContext.broadcast(Encoder(tokenizer))  # a path and empty tables
+
     def run(batches):
-        encoder, writer, shard = Encoder(tokenizer), None, None
+        encoder, writer, shard = held.value, None, None
         end = np.array([end_id], "<u4").tobytes()
         store, root = pafs.FileSystem.from_uri(path)
         for b in batches:
