@@ -186,10 +186,11 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text", doc_i
     model = Model(read_pieces(model_path))
     if sum(x.nbytes for x in (model.base, model.check, model.leaf)) > max_model_bytes:
         raise ValueError("the model is larger than max_model_bytes")
-    held = docs.sparkSession.sparkContext.broadcast(model)  # its size is that of the vocabulary, checked above
+    # its size is that of the vocabulary, checked above; a worker keeps its words from task to task
+    held = docs.sparkSession.sparkContext.broadcast(Codec(model))
 
     def run(batches):
-        codec = Codec(held.value)
+        codec = held.value
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 b = whole.slice(k, 1000)
