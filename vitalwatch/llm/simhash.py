@@ -55,13 +55,14 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wo
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def top_nodes(distinct: DataFrame, n_nodes: int) -> list[tuple[int, int]]:
-    """Trie nodes (prefix, depth), in order, that hold about 1/n_nodes of the rows each or are leaves.
+def top_nodes(distinct: DataFrame, n_nodes: int, node_rows: int) -> list[tuple[int, int]]:
+    """Trie nodes (prefix, depth), in order, that hold about 1/n_nodes of the rows each, at most
+    node_rows, or are leaves.
 
-    The driver gets counts per prefix: 2^12 at first, then 2^6 for each heavy node (under n_nodes)."""
+    The driver gets counts per prefix: 2^12 at first, then 2^6 for each node that is still too heavy."""
     u = lambda depth: F.shiftrightunsigned("fp", WIDTH - depth)
     counts = {(r[0] & ((1 << 12) - 1), 12): r[1] for r in distinct.groupBy(u(12)).count().collect()}
-    cap, depth = max(16, sum(counts.values()) // n_nodes), 12
+    cap, depth = max(16, min(node_rows, sum(counts.values()) // n_nodes)), 12
     while heavy := [p for (p, d), c in counts.items() if d == depth and c > cap and depth < WIDTH]:
         deeper = min(WIDTH, depth + 6)
         mask = (1 << deeper) - 1
@@ -88,12 +89,14 @@ def top_nodes(distinct: DataFrame, n_nodes: int) -> list[tuple[int, int]]:
 def node_pairs(nodes: list[tuple[int, int]], max_bits: int) -> list[tuple[int, int]]:
     """Index pairs (i <= j) of nodes whose common prefixes differ in at most max_bits."""
     out = []
-    for i, (p, d) in enumerate(nodes):
-        for j in range(i, len(nodes)):
-            q, e = nodes[j]
-            m = min(d, e)
-            if ((p >> (d - m)) ^ (q >> (e - m))).bit_count() <= max_bits:
-                out.append((i, j))
+    first = np.array([p << (WIDTH - d) for p, d in nodes], np.uint64)
+    depth = np.array([d for _, d in nodes], np.uint64)
+    for i in range(len(nodes)):
+        common = np.minimum(depth[i], depth[i:])
+        # a common prefix of no bits differs in none
+        shift = np.where(common > 0, np.uint64(WIDTH) - common, np.uint64(0))
+        differ = np.where(common > 0, (first[i] ^ first[i:]) >> shift, np.uint64(0))
+        out += [(i, i + j) for j in np.flatnonzero(np.bitwise_count(differ) <= max_bits).tolist()]
     return out
 
 
@@ -165,9 +168,11 @@ def _forest(n: int, links) -> list[tuple[int, int]]:
     return out
 
 
-def links(distinct: DataFrame, max_bits: int = 2, n_nodes: int = 128) -> DataFrame:
-    """(a, b): a spanning set of the links between distinct fingerprints ``fp``."""
-    nodes = top_nodes(distinct, n_nodes)
+def links(distinct: DataFrame, max_bits: int = 2, n_nodes: int = 128, node_rows: int = 250_000) -> DataFrame:
+    """(a, b): a spanning set of the links between distinct fingerprints ``fp``.
+
+    A group holds two nodes, so at most 2 * node_rows fingerprints at any size of the input."""
+    nodes = top_nodes(distinct, n_nodes, node_rows)
     if not nodes:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
     first = np.array([p << (WIDTH - d) for p, d in nodes], np.uint64)
