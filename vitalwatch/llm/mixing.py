@@ -90,12 +90,13 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
                      F.pmod(F.xxhash64(F.lit(seed), "doc_id", "key"), F.col("n")).cast("int").alias("shard")))
     lines = dealt.groupBy("source_no", "shard").agg(F.sum("size").alias("words")).collect()
     lines.sort(key=lambda r: (r["source_no"], r["shard"]))
+    of = [[] for _ in goal]
+    for r in lines:
+        of[r["source_no"]].append(r)
     quota = apportion(goal, round(goal.sum() / block), 2 * np.array(
-        [sum(-(-r["words"] // block) for r in lines if r["source_no"] == i) for i in range(len(goal))],
-        dtype=np.int64)) if len(goal) else []
+        [sum(-(-r["words"] // block) for r in own) for own in of], dtype=np.int64)) if len(goal) else []
     rows = []
-    for i in range(len(goal)):
-        own = [r for r in lines if r["source_no"] == i]
+    for i, own in enumerate(of):
         size = np.array([r["words"] for r in own], np.int64)
         n = -(-size // block)
         for r, k, q in zip(own, n.tolist(), apportion(size, int(quota[i]), 2 * n).tolist(), strict=True):
