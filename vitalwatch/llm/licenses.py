@@ -6,8 +6,9 @@ template of the highest cosine of at least ``least``. A licence file (``is_file`
 names its directory; a file without a header takes the licence of the nearest
 directory above that has one.
 
-Null texts have no header; ties go to the template first by name; repeated
-paths count once per row; an empty table gives an empty result.
+Null texts have no header; null paths have no licence; ties go to the template
+first by name; rows of one path share its headers; an empty table gives an
+empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Short notices of public licences.
@@ -61,15 +62,16 @@ def headers(files: DataFrame, least: float = 0.75) -> DataFrame:
     norm = bags.groupBy("path", "h").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     dots = bags.join(known, "token").groupBy("path", "h", "license").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
     scored = dots.join(norm, ["path", "h"]).select("path", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    best = Window.partitionBy("path").orderBy(F.desc("score"), "license")
-    return (scored.where(F.col("score") >= least).withColumn("r", F.row_number().over(best)).where("r = 1").drop("r"))
+    return (scored.where(F.col("score") >= least).groupBy("path")
+            .agg(F.min(F.struct((-F.col("score")).alias("below"), "license")).alias("best"))
+            .select("path", "best.license", (-F.col("best.below")).alias("score")))
 
 
 def _parents(path: Column) -> Column:
-    """Directories of a path, the nearest first."""
+    """Directories of a path, the nearest first, up to the root (empty text)."""
     parts = F.split(path, "/")
-    n = F.size(parts)
-    return F.transform(F.sequence(n - 1, F.lit(1), F.lit(-1)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    steps = F.when(path.isNotNull(), F.sequence(F.size(parts) - 1, F.lit(0), F.lit(-1)))
+    return F.transform(steps, lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
 
 
 def license_scan(files: DataFrame, least: float = 0.75) -> DataFrame:

@@ -67,10 +67,12 @@ def op5_url_filters(spark, sf_dir):
 
 
 def op8_license_scan(spark, sf_dir):
-    """Files are the documents, at source/thousand/hundred/id; those of ids ending in 0 are licence files."""
+    """Files are the documents, at source/thousand/hundred/id; those of ids ending in 0 are licence files,
+    and of them those of ids ending in 00 lie a directory higher."""
     docs = _docs(spark, sf_dir).where("doc_id is not null")
+    hundred = F.when(F.col("doc_id") % 100 != 0, F.floor(F.col("doc_id") / 100).cast("string"))
     path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000).cast("string"),
-                       F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+                       hundred, F.col("doc_id").cast("string"))
     return licenses.license_scan(docs.select(path.alias("path"), "text", (F.col("doc_id") % 10 == 0).alias("is_file")))
 
 
@@ -78,6 +80,9 @@ QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op3_suffix_ded
                                    op7_simhash, op8_license_scan,
                                    op9_top_k, op10_line_dedup)}
 
+_ROWS, _IDF, _OTHER = licenses.weights()
+_KNOWN = ", ".join(f"('{n}', '{t}', {w!r}::DOUBLE)" for n, t, w in _ROWS)
+_SCALE = ", ".join(f"('{t}', {w!r}::DOUBLE)" for t, w in sorted(_IDF.items()))
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
 ORACLE = {
     "op2_quality_rules": f"""
@@ -108,6 +113,28 @@ hit AS (SELECT page_id, count(*) AS n, string_agg(DISTINCT l, ',' ORDER BY l) AS
         WHERE (p.host = e.host OR p.host LIKE '%.' || e.host) AND a <= day AND day < b GROUP BY page_id)
 SELECT p.page_id, url, day, coalesce(n, 0)::BIGINT AS n_hits, coalesce(ls, '') AS lists, n IS NULL AS kept
 FROM p LEFT JOIN hit USING (page_id)""",
+    "op8_license_scan": f"""
+WITH f AS (SELECT concat_ws('/', coalesce(source, 'none'), floor(doc_id / 1000)::BIGINT,
+                  CASE WHEN doc_id % 100 <> 0 THEN floor(doc_id / 100)::BIGINT END, doc_id) AS path,
+                  text, doc_id % 10 = 0 AS is_file FROM documents WHERE doc_id IS NOT NULL),
+known(license, token, w) AS (VALUES {_KNOWN}),
+scale(token, idf) AS (VALUES {_SCALE}),
+l AS (SELECT DISTINCT path, x FROM (SELECT path, unnest(string_split(text, chr(10))) AS x FROM f)
+      WHERE regexp_matches(x, '{licenses.MARKS}')),
+t AS (SELECT path, x, unnest(regexp_extract_all(lower(x), '{licenses.TOKEN}')) AS token FROM l),
+b AS (SELECT path, x, token, count(*) * coalesce(any_value(idf), {_OTHER!r}::DOUBLE) AS v
+      FROM t LEFT JOIN scale USING (token) GROUP BY path, x, token),
+n AS (SELECT path, x, sqrt(sum(v * v)) AS norm FROM b GROUP BY path, x),
+s AS (SELECT path, license, round(sum(v * w) / any_value(norm), 6) AS score
+      FROM b JOIN known USING (token) JOIN n USING (path, x) GROUP BY path, x, license),
+own AS (SELECT * FROM s WHERE score >= 0.75
+        QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
+m AS (SELECT f.path, is_file, license, score, regexp_replace(f.path, '/[^/]*$', '') AS leaf FROM f LEFT JOIN own USING (path)),
+named AS (SELECT leaf AS dir, min(license) AS dl FROM m WHERE is_file AND license IS NOT NULL GROUP BY leaf),
+near AS (SELECT leaf, arg_max(dl, length(dir)) AS dl FROM (SELECT DISTINCT leaf FROM m) JOIN named
+         ON leaf = dir OR starts_with(leaf, dir || '/') GROUP BY leaf)
+SELECT path, coalesce(license, dl) AS license, score, CASE WHEN license IS NOT NULL THEN 'header'
+       WHEN dl IS NOT NULL THEN 'directory' ELSE 'none' END AS origin FROM m LEFT JOIN near USING (leaf)""",
     "op9_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
