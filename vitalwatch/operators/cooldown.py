@@ -53,7 +53,7 @@ def cooldown(anomalies: DataFrame, gap_seconds: float, key: str = "device_id",
         tie = "_tie"
         a = a.withColumn(tie, F.monotonically_increasing_id())
     if hot is None:
-        hot = hot_keys(anomalies, key, ts, chunk_rows)
+        hot = hot_keys(anomalies, key, chunk_rows)
     if not hot:
         return _grouped(a, gap_us, key, tie).select(*cols)
     hot_df, n_hot = hot.table, hot.n_keys
@@ -61,11 +61,13 @@ def cooldown(anomalies: DataFrame, gap_seconds: float, key: str = "device_id",
     # the anomalies feed four branches below (cold walk, doubling nodes, roots,
     # final semi-join): write them once instead of re-running their upstream
     ensure_checkpoint_dir(anomalies.sparkSession)
-    a = _cut(a)
-    cold = _grouped(a.join(keys, key, "left_anti"), gap_us, key, tie)
+    # the row id, fixed by the checkpoint, tells rows of equal time and tie apart
+    a = _cut(a.withColumn("_node", F.struct(F.col(tie).alias("tie"),
+                                            F.monotonically_increasing_id().alias("row"))))
+    cold = _grouped(a.drop("_node").join(keys, key, "left_anti"), gap_us, key, tie)
     hot_rows = a.join(keys, key, "left_semi")
-    alerts = _doubling(hot_rows.select(key, "_u", tie), gap_us, key, tie)
-    kept = hot_rows.join(alerts, [key, "_u", tie], "left_semi")
+    alerts = _doubling(hot_rows.select(key, "_u", "_node"), gap_us, key, "_node")
+    kept = hot_rows.join(alerts, [key, "_u", "_node"], "left_semi")
     return cold.select(*cols).unionByName(kept.select(*cols))
 
 

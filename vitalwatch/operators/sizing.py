@@ -24,12 +24,12 @@ def micros(df: DataFrame, col: str):
 
 
 class HotKeys:
-    """Keys with more than ``chunk_rows`` rows, cut into equal time chunks.
+    """Keys with more than ``chunk_rows`` rows, and in how many chunks they go.
 
-    ``table`` has ``key, _t0, _width`` (microseconds); it is only built when
-    ``n_keys > 0``. A key set found on a table is also valid for any subset
-    of its rows (for instance the anomalies of the same readings), since a
-    subset holds no more rows per key.
+    ``table`` has the key column; it is only built when ``n_keys > 0``. A key
+    set found on a table is also valid for any subset of its rows (for
+    instance the anomalies of the same readings), since a subset holds no
+    more rows per key.
     """
 
     def __init__(self, table: DataFrame | None, n_keys: int, n_chunks: int, chunk_rows: int):
@@ -39,22 +39,18 @@ class HotKeys:
         return self.n_keys > 0
 
 
-def hot_keys(df: DataFrame, key: str, ts: str, chunk_rows: int) -> HotKeys:
+def hot_keys(df: DataFrame, key: str, chunk_rows: int) -> HotKeys:
     """One aggregate job: how many keys exceed ``chunk_rows`` and in how many chunks."""
-    us = micros(df, ts)
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_t0"),
-                                F.max(us).alias("_t1"))
+    stats = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = (stats.where(F.col("_n") > F.lit(chunk_rows))
-           .select(key, "_t0", "_t1", F.ceil(F.col("_n") / F.lit(chunk_rows)).alias("_k")))
+           .select(key, F.ceil(F.col("_n") / F.lit(chunk_rows)).alias("_k")))
     row = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_k").alias("k")).first()
     if not row or not row["n"]:
         return HotKeys(None, 0, 0, chunk_rows)
     # hot keys exist: write the (small, bounded) table once, so the branches
     # that join it do not each re-run the aggregate over the whole input
     ensure_checkpoint_dir(df.sparkSession)
-    table = hot.select(key, "_t0",
-                       (F.floor((F.col("_t1") - F.col("_t0")) / F.col("_k")) + 1).alias("_width"))
-    return HotKeys(table.checkpoint(), int(row["n"]), int(row["k"]), chunk_rows)
+    return HotKeys(hot.select(key).checkpoint(), int(row["n"]), int(row["k"]), chunk_rows)
 
 
 def broadcast_if_small(df: DataFrame, bound_rows: int, limit_rows: int) -> DataFrame:

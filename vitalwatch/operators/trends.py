@@ -10,12 +10,12 @@ never take a frame slot).
 
 Hot devices. One device may hold a large share of all rows; a window
 partitioned by device would then run in one task. A cheap aggregate counts
-rows per device first. Devices above ``chunk_rows`` are cut into time chunks
-of about ``chunk_rows`` rows each, and the window runs per (device, chunk).
-Only the first ``history - 1`` values of a metric in a chunk see a short
-frame; they are repaired from the tails of the preceding chunks in a small
-table (at most ``2 * (history - 1)`` rows per chunk and metric) that is
-joined back. The repair is exact: the lead-in of a chunk is taken from the
+rows per device first. Only the devices above ``chunk_rows`` are cut, into ranges
+of (device, order) of at most about ``chunk_rows`` rows each, and the window
+runs per (device, chunk). Only the first ``history - 1`` values of a metric
+in a chunk see a short frame; they are repaired from the tails of the
+preceding chunks in a small table (one row per chunk) that is joined back by
+chunk and read by position. The repair is exact: the lead-in of a chunk is taken from the
 last ``history - 1`` chunks that hold a value of the metric, which together
 hold at least ``history - 1`` values.
 """
@@ -27,17 +27,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..thresholds import DEFAULT, Thresholds, TrendRule
-from .sizing import HotKeys, broadcast_if_small, hot_keys, micros
+from .sizing import HotKeys, broadcast_if_small, hot_keys
 
 # Rows per window task for one device before it is cut into chunks.
 DEFAULT_CHUNK_ROWS = 1_000_000
 _CHUNK = "_chunk"
 
 
-ts_micros = micros
-
-
 def trend_condition(t: TrendRule, value: Column, avg: Column) -> Column:
     if t.kind == "mul_above":
         return value > avg * F.lit(t.amount)
@@ -83,39 +81,48 @@ def _windows(df: DataFrame, th: Thresholds, part: list[str], order: list[str],
 
 def add_trend_columns(df: DataFrame, th: Thresholds = DEFAULT,
                       order: tuple[str, ...] = ("reading_ts", "event_id"),
-                      key: str = "device_id", ts: str = "reading_ts",
-                      chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                      key: str = "device_id", chunk_rows: int = DEFAULT_CHUNK_ROWS,
                       broadcast_rows: int = 2_000_000, hot: HotKeys | None = None) -> DataFrame:
     """Append ``cnt_<m>``, ``avg_<m>``, ``trend_<m>`` and ``trend_any``.
 
     ``hot`` may carry a hot-key check already made on this input.
     """
+    # the metrics end the order, so that only rows of equal values tie
     order = [c for c in order if c in df.columns]
+    order += [t.metric for t in th.trends if t.metric not in order]
     if hot is None:
-        hot = hot_keys(df, key, ts, chunk_rows)
+        hot = hot_keys(df, key, chunk_rows)
     if not hot:
         # no device is big enough to matter: one exchange on the key, 8 sorts
         rep = df.repartition(key)
         return _flags(_windows(rep, th, [key], order, edges=False), th)
-    return _flags(_chunked(df, th, order, key, ts, hot, broadcast_rows), th)
+    keys = broadcast_if_small(hot.table, hot.n_keys, broadcast_rows)
+    cold = df.join(keys, key, "left_anti").repartition(key)
+    whole = _windows(cold, th, [key], order, edges=False)
+    cut = _repaired(chunks(df.join(keys, key, "left_semi"), key, order, hot), th, order, key,
+                    hot, broadcast_rows)
+    return _flags(whole.unionByName(cut), th)
+
+
+def chunks(rows: DataFrame, key: str, order: list[str], hot: HotKeys) -> DataFrame:
+    """Rows of hot devices with ``_chunk``: ranges of (device, order) of about equal row counts.
+
+    Ranges are cut by sampled row counts, so neither bursts nor wrong clocks make a
+    large one; half as many again as needed keep the sampling error below
+    ``chunk_rows``. Written once, as several branches read the same cut.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    parts = hot.n_chunks + hot.n_chunks // 2 + 1
+    return (rows.repartitionByRange(parts, key, *order)
+            .withColumn(_CHUNK, F.spark_partition_id()).checkpoint())
 
 
-def _chunked(df, th, order, key, ts, hot, broadcast_rows) -> DataFrame:
-    hot_df, n_hot, n_chunks = hot.table, hot.n_keys, hot.n_chunks
+def _repaired(rep, th, order, key, hot, broadcast_rows) -> DataFrame:
     h = th.history
-    us = ts_micros(df, ts)
-    small = broadcast_if_small(hot_df, n_hot, broadcast_rows)
-    tagged = (df.join(small, key, "left")
-              .withColumn(_CHUNK, F.when(F.col("_t0").isNull(), F.lit(-1)).otherwise(
-                  F.floor((us - F.col("_t0")) / F.col("_width")).cast("int")))
-              .drop("_t0", "_width"))
-    rep = tagged.repartition(key, _CHUNK)
-    part = [key, _CHUNK]
-    win = _windows(rep, th, part, order, edges=True)
-
-    # edge values of hot chunks: first and last h-1 non-null values per metric,
-    # taken in ONE pass over the windowed rows (one branch, exploded per metric;
-    # the chunk filter is on a window partition column, so only hot rows are read)
+    win = _windows(rep, th, [key, _CHUNK], order, edges=True)
+
+    # edge values of chunks: first and last h-1 non-null values per metric, taken
+    # in ONE pass over the windowed rows (one branch, exploded per metric)
     edge_of = []
     for t in th.trends:
         m = t.metric
@@ -124,12 +131,10 @@ def _chunked(df, th, order, key, ts, hot, broadcast_rows) -> DataFrame:
         edge_of.append(F.when(is_edge, F.struct(F.lit(m).alias("_metric"),
                                                 F.col(m).cast("double").alias("_v"),
                                                 pos.alias("_pos"), tot.alias("_tot"))))
-    edges = (win.where(F.col(_CHUNK) >= 0)
-             .select(key, _CHUNK, *order, F.explode(F.filter(F.array(*edge_of),
-                                                              lambda x: x.isNotNull())).alias("_e"))
-             .select(key, _CHUNK, *order, "_e._metric", "_e._v", "_e._pos", "_e._tot"))
-    okey = F.struct(*[F.col(c) for c in order])
-    kv = F.struct(okey.alias("k"), F.col("_v").alias("v"))
+    edges = (win.select(key, _CHUNK, F.explode(F.filter(F.array(*edge_of),
+                                                        lambda x: x.isNotNull())).alias("_e"))
+             .select(key, _CHUNK, "_e._metric", "_e._v", "_e._pos", "_e._tot"))
+    kv = F.struct(F.col("_pos").alias("k"), F.col("_v").alias("v"))
     # one small aggregate per (device, metric, chunk): the first and the last
     # h-1 values, each in order (collect_list skips the NULLs of `when`)
     ends = (edges.groupBy(key, "_metric", _CHUNK)
@@ -144,34 +149,29 @@ def _chunked(df, th, order, key, ts, hot, broadcast_rows) -> DataFrame:
             .select(key, "_metric", _CHUNK, "_head",
                     F.expr("transform(flatten(transform(_prev, x -> x._tail)), y -> y.v)")
                     .alias("_lead_all"))
-            .where(F.col(_CHUNK) > 0)
             .select(key, "_metric", _CHUNK, "_head",
                     F.expr(f"slice(_lead_all, greatest(size(_lead_all) - {h - 2}, 1), {h - 1})")
                     .alias("_lead")))
     # the i-th head value sees the lead-in, then head values 1..i
-    heads = ends.select(key, "_metric", _CHUNK, "_lead", "_head",
-                        F.posexplode("_head").alias("_i", "_e"))
-    win_vals = F.expr(f"""slice(concat(_lead, transform(slice(_head, 1, _i + 1), x -> x.v)),
-                              greatest(size(_lead) + _i + 1 - {h - 1}, 1), {h})""")
-    fixed = (heads.select(key, _CHUNK, *[F.col("_e.k")[c].alias(c) for c in order], "_metric",
-                          win_vals.alias("_w"))
-             .select(key, _CHUNK, *order, "_metric",
-                     F.size("_w").cast("long").alias("_cnt"),
-                     F.expr("aggregate(_w, 0D, (a, x) -> a + x) / size(_w)").alias("_avg")))
-    fixmap = (fixed.groupBy(key, _CHUNK, *order)
-              .agg(F.map_from_entries(F.collect_list(F.struct(
-                  "_metric", F.struct(F.col("_cnt").alias("c"), F.col("_avg").alias("a")))))
-                  .alias("_fix")))
-    # bound: at most (h-1) head rows per hot chunk and metric, whatever the data size
-    fix_small = broadcast_if_small(fixmap, n_chunks * (h - 1) * len(th.trends), broadcast_rows)
-    out = win.join(fix_small, [key, _CHUNK, *order], "left")
+    seen = F.expr(f"""transform(_head, (x, i) -> slice(
+        concat(_lead, transform(slice(_head, 1, i + 1), y -> y.v)),
+        greatest(size(_lead) + i + 1 - {h - 1}, 1), {h}))""")
+    fixed = F.expr("""transform(_w, w -> struct(cast(size(w) AS long) AS c,
+        aggregate(w, 0D, (a, x) -> a + x) / size(w) AS a))""")
+    # one row per chunk, holding per metric what its first h-1 values see
+    fix = (ends.select(key, _CHUNK, "_metric", seen.alias("_w"))
+           .select(key, _CHUNK, F.struct("_metric", fixed.alias("f")).alias("_p"))
+           .groupBy(key, _CHUNK).agg(F.map_from_entries(F.collect_list("_p")).alias("_fix")))
+    # bound: a chunk row per range, and one more where a range holds the end of a device
+    out = win.join(broadcast_if_small(fix, 2 * hot.n_chunks + hot.n_keys + 1, broadcast_rows // 64),
+                   [key, _CHUNK], "left")
     repl = []
     for t in th.trends:
         m = t.metric
-        repl += [F.coalesce(F.col("_fix")[m]["c"], F.col(f"cnt_{m}")).alias(f"cnt_{m}"),
-                 F.coalesce(F.col("_fix")[m]["a"], F.col(f"avg_{m}")).alias(f"avg_{m}")]
+        at = F.when(F.col(m).isNotNull(), F.get(F.col("_fix")[m], F.col(f"_pos_{m}") - 1))
+        repl += [F.coalesce(at["c"], F.col(f"cnt_{m}")).alias(f"cnt_{m}"),
+                 F.coalesce(at["a"], F.col(f"avg_{m}")).alias(f"avg_{m}")]
     drop = {"_fix", _CHUNK} | {f"{p}_{t.metric}" for t in th.trends
                                 for p in ("cnt", "avg", "_pos", "_tot")}
     keep = [c for c in out.columns if c not in drop]
     return out.select(*keep, *repl)
-

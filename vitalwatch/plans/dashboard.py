@@ -82,12 +82,10 @@ def series(df: DataFrame, metric: str, start, end) -> DataFrame:
 
 def series_overlay(df: DataFrame, start, end, metrics=SERIES) -> DataFrame:
     """All series of the vitals panel from one scan, long form ``time, metric, value``."""
-    out = time_filter(df, start, end)
-    pairs = ", ".join(f"'{m}', cast(`{m}` AS double)" for m in metrics)
-    keys = [TS] + ([TIE] if TIE in df.columns else [])
-    return (out.select(*keys, F.expr(f"stack({len(metrics)}, {pairs}) AS (metric, value)"))
-            .orderBy(*keys, "metric")
-            .select(F.col(TS).alias("time"), "metric", "value"))
+    # the wide rows are sorted; stack then gives each row's metrics in name order
+    out = time_filter(df, start, end).transform(_ordered)
+    pairs = ", ".join(f"'{m}', cast(`{m}` AS double)" for m in sorted(metrics))
+    return out.select(F.col(TS).alias("time"), F.expr(f"stack({len(metrics)}, {pairs}) AS (metric, value)"))
 
 
 def top_recent(flagged: DataFrame, start, end, limit: int = RECENT_LIMIT) -> DataFrame:

@@ -8,7 +8,8 @@ thresholds, so a changed bound changes both sides.
 from __future__ import annotations
 
 from ..sources.tables import readings_sql, skewed_readings_sql
-from ..thresholds import CLAMP_BOUNDS, DEFAULT, FLAG_RED_FROM, HOUR_BANDS, METRIC_RED_FROM, RECENT_LIMIT, Thresholds
+from ..thresholds import (ALERT_BODY_HEAD, ALERT_BODY_TAIL, ALERT_BULLET, ALERT_SUBJECT, CLAMP_BOUNDS, DEFAULT,
+                          FLAG_RED_FROM, HOUR_BANDS, METRIC_RED_FROM, RECENT_LIMIT, Thresholds)
 
 SERIES = ("heart_rate", "temperature", "systolic_pressure", "diastolic_pressure",
           "oxygen_saturation", "respiration_rate", "blood_glucose", "stress_level")
@@ -98,8 +99,12 @@ def _range(start: str, end: str) -> str:
     return f"reading_ts BETWEEN TIMESTAMP '{start}' AND TIMESTAMP '{end}'"
 
 
-def cooldown_sql(gap_seconds: int, th: Thresholds = DEFAULT, base: str | None = None) -> str:
-    return f"""WITH RECURSIVE {detected_cte(th, base)},
+ALERTS = "SELECT a.device_id, a.reading_ts, a.event_id FROM chain JOIN a USING (device_id, rn)"
+
+
+def cooldown_sql(gap_seconds: int, th: Thresholds = DEFAULT, base: str | None = None,
+                 tail: str | None = ALERTS) -> str:
+    text = f"""WITH RECURSIVE {detected_cte(th, base)},
 a AS (SELECT device_id, reading_ts, event_id,
              row_number() OVER (PARTITION BY device_id ORDER BY reading_ts, event_id) AS rn
       FROM detected WHERE is_anomaly),
@@ -110,8 +115,47 @@ nx AS (SELECT p.device_id, p.rn, min(q.rn) AS nrn
 chain AS (SELECT device_id, rn FROM a WHERE rn = 1
           UNION ALL
           SELECT n.device_id, n.nrn FROM chain c JOIN nx n ON n.device_id = c.device_id AND n.rn = c.rn
-          WHERE n.nrn IS NOT NULL)
-SELECT a.device_id, a.reading_ts, a.event_id FROM chain JOIN a USING (device_id, rn)"""
+          WHERE n.nrn IS NOT NULL)"""
+    return text if tail is None else f"{text}\n{tail}"
+
+
+def _one_digit(x: str) -> str:
+    """``%.1f`` of a number, half up, from its six-digit decimal."""
+    return f"CAST(CAST(CAST({x} AS DECIMAL(18, 6)) AS DECIMAL(18, 1)) AS VARCHAR)"
+
+
+def _text(pattern: str, values: list[str]) -> str:
+    """A message pattern as SQL concatenation."""
+    parts = pattern.split("%.1f")
+    out = []
+    for i, part in enumerate(parts):
+        out.append("'" + part.replace("%%", "%").replace("'", "''") + "'")
+        out += [_one_digit(values[i])] if i < len(values) else []
+    return " || ".join(out)
+
+
+def alert_text_sql(th: Thresholds = DEFAULT) -> str:
+    """Alerts with subject, body and messages (joined by line ends)."""
+    msgs = [f"CASE WHEN rule_{r.metric} THEN "
+            + _text(r.message, [r.metric] + [_num(b) for b in (r.lo, r.hi) if b is not None]) + " END"
+            for r in th.rules]
+    msgs += [f"CASE WHEN trend_{t.metric} THEN {_text(t.message, [t.metric, f'avg_{t.metric}'])} END"
+             for t in th.trends]
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    head_a, head_b = ALERT_BODY_HEAD.split("{ts}")
+    pre, post = ALERT_BULLET.split("{msg}")
+    iso = ("strftime(reading_ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(reading_ts) % 1000000 = 0 "
+           "THEN '' ELSE strftime(reading_ts, '.%f') END")
+    return f"""{cooldown_sql(th.cooldown_seconds, th, tail=None)},
+kept AS (SELECT a.event_id FROM chain JOIN a USING (device_id, rn)),
+texts AS (SELECT event_id, device_id, reading_ts,
+                 list_filter([{', '.join(msgs)}], lambda x: x IS NOT NULL) AS ms
+          FROM detected JOIN kept USING (event_id))
+SELECT event_id, device_id, reading_ts, {quoted(ALERT_SUBJECT)} || device_id AS subject,
+       {quoted(head_a)} || {iso} || {quoted(head_b)}
+       || list_aggregate(list_transform(ms, lambda x: {quoted(pre)} || x || {quoted(post)}), 'string_agg', '')
+       || {quoted(ALERT_BODY_TAIL)} AS body,
+       list_aggregate(ms, 'string_agg', chr(10)) AS messages FROM texts"""
 
 
 def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
@@ -169,8 +213,13 @@ def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
     out["stream_cooldown"] = cooldown_sql(th.cooldown_seconds, th)
     out["sink_idempotent"] = out["is_anomaly"]
     skew = skewed_readings_sql("duckdb")
-    out["is_anomaly_hot_device"] = (f"WITH {detected_cte(th, skew)} SELECT event_id, device_id, "
-                                    f"reading_ts, cnt_heart_rate, trend_any, is_anomaly FROM detected")
+    hot_cols = ", ".join(f"{p}_{t.metric}" for t in th.trends for p in ("cnt", "avg", "trend"))
+    early = (f"SELECT * REPLACE (CASE WHEN event_id = 300 THEN TIMESTAMP '1970-01-01 00:00:00' "
+             f"ELSE reading_ts END AS reading_ts) FROM ({skew}) s")
+    for name, base in (("is_anomaly_hot_device", skew), ("is_anomaly_time_skew", early)):
+        out[name] = (f"WITH {detected_cte(th, base)} SELECT event_id, device_id, reading_ts, "
+                     f"{hot_cols}, trend_any, is_anomaly FROM detected")
+    out["alert_text"] = alert_text_sql(th)
     out["alert_cooldown_hot_device"] = cooldown_sql(th.cooldown_seconds, th, skew)
     rcte = "WITH " + f"readings AS ({readings_sql('duckdb')})"
     clamps = ", ".join(f"CASE WHEN {m} IS NULL THEN NULL ELSE greatest({_num(lo)}, least({_num(hi)}, {m})) "

@@ -9,6 +9,7 @@ gives.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -59,17 +60,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder in shared storage: under the checkpoint folder, else the warehouse."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir")
-    base = base.removeprefix("file:")
-    return os.path.join(base, "vitalwatch", name)
+    """A folder for ``name`` under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vitalwatch/{name}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only when none is set, one under the warehouse."""
+    """The cluster's checkpoint folder; where none is set, a temporary one in local mode only."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
         return checkpoint_dir(spark)
-    return checkpoint_dir(spark, scratch_dir(spark, "checkpoints"))
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        return checkpoint_dir(spark)  # raises: executors would not share a folder of this machine
+    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="vitalwatch-"))

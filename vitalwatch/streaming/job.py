@@ -22,7 +22,7 @@ from ..functions.parse import forward, parse_messages
 from ..operators.rules import add_rule_flags
 from ..sinks.parquet import identity, write_batch
 from ..thresholds import DEFAULT, Thresholds
-from .processor import DetectProcessor, output_schema
+from .processor import DetectProcessor, has_value, output_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -75,7 +75,9 @@ def flag_stream(raw: DataFrame, th: Thresholds = DEFAULT, gap_seconds: float | N
     ruled = add_rule_flags(good, th)
     out_schema = output_schema(ruled.schema, th)
     proc = DetectProcessor(out_schema, th, gap_seconds, order, state_ttl_ms)
-    return ruled.groupBy("device_id").transformWithStateInPandas(
+    told = ruled.select("*", *[F.col(t.metric).isNotNull().alias(has_value(t.metric))
+                               for t in th.trends])
+    return told.groupBy("device_id").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=out_schema, outputMode="Append", timeMode="None")
 
 
@@ -129,8 +131,15 @@ def batch_writer(readings_path: str, alerts_path: str, th: Thresholds = DEFAULT)
 
 def start(raw: DataFrame, readings_path: str, alerts_path: str, quarantine_path: str,
           checkpoint: str, trigger: dict | None = None, **kw):
-    """Start the detection query and the quarantine query; returns both handles."""
+    """Start the detection query and the quarantine query; returns both handles.
+
+    A topic's (partition, offset) is carried along and orders equal times, unless
+    ``keep`` or ``order`` say otherwise.
+    """
     trigger = trigger or {"processingTime": "5 seconds"}
+    position = tuple(c for c in ("partition", "offset") if c in raw.columns)
+    kw.setdefault("keep", position)
+    kw.setdefault("order", ("reading_ts", *(c for c in position if c in kw["keep"])))
     flagged = flag_stream(raw, **kw)
     q1 = (flagged.writeStream.foreachBatch(batch_writer(readings_path, alerts_path))
           .option("checkpointLocation", f"{checkpoint}/detect").trigger(**trigger).start())

@@ -12,18 +12,20 @@ import numpy as np
 from ..thresholds import TrendRule
 
 
-def trend_step(values: np.ndarray, history: np.ndarray, size: int, rule: TrendRule):
+def trend_step(values: np.ndarray, history: np.ndarray, size: int, rule: TrendRule,
+               present: np.ndarray | None = None):
     """Windows over the last ``size`` non-null values, current one included.
 
-    ``values`` holds the batch's values in order (NaN = missing), ``history``
-    the last ``size`` values seen before. Returns (count, mean, flag, new
-    history); count and mean are 0 / NaN on rows without a value.
+    ``values`` holds the batch's values in order, ``present`` tells which rows have
+    one (by default those that are not NaN; a NaN that is present is a value, as in
+    the batch window), ``history`` the last ``size`` values seen before. Returns
+    (count, mean, flag, new history); count and mean are 0 / NaN on rows without a value.
     """
     n = len(values)
     cnt = np.zeros(n, dtype=np.int64)
     avg = np.full(n, np.nan)
     flag = np.zeros(n, dtype=bool)
-    present = ~np.isnan(values)
+    present = ~np.isnan(values) if present is None else present
     new = values[present]
     if len(new) == 0:
         return cnt, avg, flag, history

@@ -38,6 +38,11 @@ def output_schema(input_schema: T.StructType, th: Thresholds) -> T.StructType:
     return T.StructType(fields)
 
 
+def has_value(metric: str) -> str:
+    """Input column that tells a missing value from a NaN (pandas holds both as NaN)."""
+    return f"_has_{metric}"
+
+
 class DetectProcessor(StatefulProcessor):
     def __init__(self, out_schema: T.StructType, th: Thresholds = DEFAULT,
                  gap_seconds: float | None = None, order: tuple[str, ...] = ("reading_ts",),
@@ -65,7 +70,9 @@ class DetectProcessor(StatefulProcessor):
             hist = np.asarray(prev[i] if prev is not None and prev[i] is not None else [],
                               dtype=float)
             vals = cols[t.metric].astype(float)
-            cnt, avg, flag, hist = trend_step(vals, hist, h, t)
+            has = cols.get(has_value(t.metric))
+            cnt, avg, flag, hist = trend_step(vals, hist, h, t,
+                                              None if has is None else has.astype(bool))
             cols[f"cnt_{t.metric}"] = cnt
             cols[f"avg_{t.metric}"] = avg  # NaN where no value: written as NULL
             cols[f"trend_{t.metric}"] = flag
