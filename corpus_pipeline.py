@@ -14,8 +14,8 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def line_stage(spark, docs, sf_dir):
-    """Boilerplate lines go; documents stay."""
-    d = lines.line_dedup(docs)
+    """Boilerplate lines of any length go; documents stay."""
+    d = lines.line_dedup(docs, min_words=1)
     return d.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
 
 

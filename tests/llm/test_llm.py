@@ -161,6 +161,13 @@ def test_line_dedup(spark):
     assert got[12]["text"] is None and got[13]["text"] == "" and got[14]["text"] == "w" * 200_000
 
 
+def test_line_dedup_of_short_lines(spark):
+    texts = [f"own {i}\n Les. \n\nAnd ornd.\n{'few' if i < 9 else i}" for i in range(12)]
+    d = docs(spark, texts, tuple(f"s{i}" for i in range(12)))
+    got = {r["doc_id"]: r for r in lines.line_dedup(d, min_words=1).collect()}
+    assert got[3]["text"] == "own 3\n\nfew" and got[3]["_n_removed"] == 2
+
+
 def test_pieces_best_path():
     m = pieces.Model([("<unk>", 0.0, 2), *[(f"<0x{i:02X}>", 0.0, 6) for i in range(256)],
                       ("▁", -3.0, 1), ("a", -2.0, 1), ("b", -2.5, 1), ("ab", -3.0, 1), ("▁a", -2.2, 1), ("ba", -4.0, 1), ("▁ab", -4.1, 1)])

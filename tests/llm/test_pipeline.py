@@ -103,3 +103,9 @@ def test_pipeline_of_no_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
         str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_line_stage_judges_short_lines(spark):
+    rows = [(i, f"own words of {i}\nLes.", "en", SOURCES[i], 0) for i in range(12)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["text"] for r in corpus_pipeline.line_stage(spark, d, "").collect()} == {f"own words of {i}" for i in range(12)}

@@ -27,6 +27,12 @@ def op10_line_dedup(spark, sf_dir):
     return d.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 
 
+def op10_line_dedup_every_line(spark, sf_dir):
+    """Every line that is not blank is judged, also lines of one or two words."""
+    d = lines.line_dedup(_docs(spark, sf_dir).select("doc_id", "source", "text"), min_words=1)
+    return d.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
+
+
 def op4_token_output(spark, sf_dir):
     import public_tokenizers
 
@@ -78,7 +84,7 @@ def op8_license_scan(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op3_suffix_dedup, op4_token_output, op5_url_filters, op6_mixing,
                                    op7_simhash, op8_license_scan,
-                                   op9_top_k, op10_line_dedup)}
+                                   op9_top_k, op10_line_dedup, op10_line_dedup_every_line)}
 
 _ROWS, _IDF, _OTHER = licenses.weights()
 _KNOWN = ", ".join(f"('{n}', '{t}', {w!r}::DOUBLE)" for n, t, w in _ROWS)
@@ -156,3 +162,5 @@ SELECT doc_id, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '')
        count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed FROM k GROUP BY doc_id
 """,
 }
+# the same statement without the word floor
+ORACLE["op10_line_dedup_every_line"] = ORACLE["op10_line_dedup"].replace(">= 3\n", ">= 1\n")
