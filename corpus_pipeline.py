@@ -9,8 +9,8 @@ from vitalwatch.llm.scratch import stored
 
 
 def quality_stage(spark, docs, sf_dir):
-    """Documents that the rules reject go."""
-    return quality.quality_rules(docs).where("q_kept").select(*docs.columns)
+    """Documents that the rules reject go; repeated lines count by their words, as the line stage comes later."""
+    return quality.quality_rules(docs, rules=quality.WORD_RULES).where("q_kept").select(*docs.columns)
 
 
 def line_stage(spark, docs, sf_dir):

@@ -47,6 +47,17 @@ def test_quality_measures(spark):
     assert quality.quality_rules(docs(spark, [])).count() == 0
 
 
+def test_quality_weighs_repeated_lines_by_words(spark):
+    words = " ".join(f"the w{chr(97 + i // 26)}{chr(97 + i % 26)}x" for i in range(60))
+    own = [" ".join(words.split()[i : i + 40]) for i in (0, 40, 80)]
+    # one short line four times in a text of seven lines; a long line four times
+    texts = ["\n".join([*own, *["Les pages"] * 4]), "\n".join([*own, *[" ".join(own[0].split()[:20])] * 4])]
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs(spark, texts), rules=quality.WORD_RULES).collect()}
+    assert (got[0]["q_n_dup_lines"], got[0]["q_n_dup_words"], got[0]["q_kept"]) == (3, 6, True)
+    assert (got[1]["q_n_dup_lines"], got[1]["q_n_dup_words"], got[1]["q_kept"]) == (3, 60, False)
+    assert not quality.quality_rules(docs(spark, texts)).where("doc_id = 0").first()["q_kept"]
+
+
 def test_suffix_dedup(spark):
     rng = random.Random(2)
     text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))

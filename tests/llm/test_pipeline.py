@@ -109,3 +109,9 @@ def test_line_stage_judges_short_lines(spark):
     rows = [(i, f"own words of {i}\nLes.", "en", SOURCES[i], 0) for i in range(12)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert {r["text"] for r in corpus_pipeline.line_stage(spark, d, "").collect()} == {f"own words of {i}" for i in range(12)}
+
+
+def test_quality_stage_keeps_clean_text_with_a_short_repeated_line(spark):
+    text = "\n".join([*(" ".join(f"the w{a}{b}x" for b in "abcdefghijklmnopqrst") for a in "abc"), *["Les pages"] * 4])
+    d = spark.createDataFrame([(1, text, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.quality_stage(spark, d, "").count() == 1

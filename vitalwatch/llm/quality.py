@@ -25,6 +25,8 @@ RULES = (
     ("repeats", "n_repeat_words", "n_words", None, 0.5),
     ("stop_words", "n_stop_words", "n_words", 0.02, None),
 )
+# Repeated lines by their share of the words: a short boilerplate line that repeats in a text of few lines stays
+WORD_RULES = tuple(("dup_lines", "n_dup_words", "n_words", None, 0.3) if r[0] == "dup_lines" else r for r in RULES)
 
 
 def _let(value: Column, body) -> Column:
@@ -60,6 +62,7 @@ def measures(text: Column) -> dict[str, Column]:
     t = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(t, SPACE), lambda w: w != "")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    once = F.filter(F.split(F.array_join(F.array_distinct(lines), "\n"), SPACE), lambda w: w != "")
     bare = F.regexp_replace(t, r"[#*$%&|<>]+", "")
     counts = {
         "n_words": F.size(words),
@@ -67,6 +70,7 @@ def measures(text: Column) -> dict[str, Column]:
         "n_symbols": F.octet_length(t) - F.octet_length(bare),
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_dup_words": F.size(words) - F.size(once),
         "n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))),
         "n_repeat_words": _repeat_words(words),
     }

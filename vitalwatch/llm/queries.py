@@ -18,6 +18,14 @@ def op2_quality_rules(spark, sf_dir):
         "n_lines", "n_stop_words")])
 
 
+def op2_quality_rules_by_words(spark, sf_dir):
+    """Repeated lines are judged by their share of the words."""
+    q = quality.quality_rules(_docs(spark, sf_dir).select("doc_id", "text"), rules=quality.WORD_RULES)
+    return q.select("doc_id", *[F.col(f"q_{c}").alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_dup_words", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_stop_words")])
+
+
 def op6_mixing(spark, sf_dir):
     return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -82,7 +90,7 @@ def op8_license_scan(spark, sf_dir):
     return licenses.license_scan(docs.select(path.alias("path"), "text", (F.col("doc_id") % 10 == 0).alias("is_file")))
 
 
-QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op3_suffix_dedup, op4_token_output, op5_url_filters, op6_mixing,
+QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op2_quality_rules_by_words, op3_suffix_dedup, op4_token_output, op5_url_filters, op6_mixing,
                                    op7_simhash, op8_license_scan,
                                    op9_top_k, op10_line_dedup, op10_line_dedup_every_line)}
 
@@ -164,3 +172,9 @@ SELECT doc_id, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '')
 }
 # the same statement without the word floor
 ORACLE["op10_line_dedup_every_line"] = ORACLE["op10_line_dedup"].replace(">= 3\n", ">= 1\n")
+# the same statement with repeated lines weighed by their words
+ORACLE["op2_quality_rules_by_words"] = (
+    ORACLE["op2_quality_rules"]
+    .replace("AS n_dup_lines,", "AS n_dup_lines, (len(ws) - len(regexp_extract_all(array_to_string(list_distinct(ls), chr(10)), "
+             "'[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_dup_words,")
+    .replace("n_dup_lines <= 0.3::DOUBLE * greatest(n_lines, 1)", "n_dup_words <= 0.3::DOUBLE * n_words"))
