@@ -20,11 +20,15 @@ def line_stage(spark, docs, sf_dir):
 
 
 def simhash_stage(spark, docs, sf_dir):
-    """One document of each near-duplicate group stays, the one of the smallest id; rows without an
-    id all stay. Repeated ids keep one row."""
-    first = simhash.simhash_classes(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.where("doc_id is null"))
+    """One row of each near-duplicate group stays, the one of the smallest id; rows without an id come
+    last. Rows are told apart by id and text, so repeated ids replace each other within a group only."""
+    rows = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = simhash.simhash_classes(rows, doc_id="_key").select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    first = (rows.select("_key", "doc_id").distinct().join(groups, "_key").groupBy("component_id")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key")).alias("f"))
+             .select("f._key", F.col("f.doc_id").alias("_d")))
+    kept = rows.join(first, (rows["_key"] == first["_key"]) & rows["doc_id"].eqNullSafe(first["_d"]), "left_semi")
+    return kept.dropDuplicates(["_key", "doc_id"]).select(*docs.columns)
 
 
 def mixing_stage(spark, docs, sf_dir):

@@ -115,3 +115,13 @@ def test_quality_stage_keeps_clean_text_with_a_short_repeated_line(spark):
     text = "\n".join([*(" ".join(f"the w{a}{b}x" for b in "abcdefghijklmnopqrst") for a in "abc"), *["Les pages"] * 4])
     d = spark.createDataFrame([(1, text, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     assert corpus_pipeline.quality_stage(spark, d, "").count() == 1
+
+
+def test_simhash_stage_chooses_one_row_of_each_group(spark):
+    rng = random.Random(12)
+    a, b, c, d = (" ".join("".join(rng.choice("abcdeio") for _ in range(5)) for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (7, a), (7, b), (7, b), (9, b), (None, a), (None, c), (None, c), (None, d), (3, d)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.simhash_stage(spark, docs, "").collect())
+    assert got == Counter([(1, a), (7, b), (None, c), (3, d)])
