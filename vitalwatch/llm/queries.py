@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from pyspark.sql import functions as F
 
-from . import licenses, lines, mixing, pieces, quality, simhash, suffixes, tokens, topk, urls
+from . import audit, clusters, licenses, lines, mixing, neighbours, pieces, quality, simhash, suffixes, tokens, topk, urls
 
 
 def _docs(spark, sf_dir):
@@ -90,9 +92,23 @@ def op8_license_scan(spark, sf_dir):
     return licenses.license_scan(docs.select(path.alias("path"), "text", (F.col("doc_id") % 10 == 0).alias("is_file")))
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    return clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0)
+
+
+def op13_filter_audit(spark, sf_dir):
+    a = audit.filter_audit(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return a.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
 QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op2_quality_rules_by_words, op3_suffix_dedup, op4_token_output, op5_url_filters, op6_mixing,
                                    op7_simhash, op8_license_scan,
-                                   op9_top_k, op10_line_dedup, op10_line_dedup_every_line)}
+                                   op9_top_k, op10_line_dedup, op10_line_dedup_every_line, op11_centroid_clustering,
+                                   op12_nearest_neighbours, op13_filter_audit)}
 
 _ROWS, _IDF, _OTHER = licenses.weights()
 _KNOWN = ", ".join(f"('{n}', '{t}', {w!r}::DOUBLE)" for n, t, w in _ROWS)
@@ -178,3 +194,54 @@ ORACLE["op2_quality_rules_by_words"] = (
     .replace("AS n_dup_lines,", "AS n_dup_lines, (len(ws) - len(regexp_extract_all(array_to_string(list_distinct(ls), chr(10)), "
              "'[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_dup_words,")
     .replace("n_dup_lines <= 0.3::DOUBLE * greatest(n_lines, 1)", "n_dup_words <= 0.3::DOUBLE * n_words"))
+
+
+def _rounds(rounds: int = 10, k: int = 8) -> str:
+    """The plain loop: every vector against every centroid, round by round."""
+    whole = "list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)"
+    parts = [f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {whole} AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v FROM v WHERE vec_id IS NOT NULL
+  QUALIFY c < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+  SELECT r, c, list_sum(list_transform(range(1, 65), lambda j: (v.v[j] - k.v[j]) * (v.v[j] - k.v[j])))::BIGINT AS d
+  FROM v, c{i} k) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT k.c, coalesce(m, k.v) AS v FROM c{i} k LEFT JOIN (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS m FROM (
+    SELECT c, j, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (
+      SELECT a{i}.c, unnest(range(1, 65)) AS j, unnest(v.v) AS x FROM a{i} JOIN v USING (r)) GROUP BY c, j) GROUP BY c) USING (c))""")
+    last = f"a{rounds}"
+    return ",\n".join(parts) + f"""
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(k.v, ',')) AS centroid_sha256
+FROM {last} a JOIN v USING (r) JOIN c{rounds} k ON k.c = a.c"""
+
+
+def _every_order() -> str:
+    """Every document of every order, step by step, from the failing sets as counted rows."""
+    rows = ", ".join(f"('{''.join(o)}')" for o in permutations("ABCDE"))
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+  || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM t LEFT JOIN l USING (doc_id)),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+s AS (SELECT o, i, o[i] AS x, left(o, i - 1) AS before FROM (VALUES {rows}) v(o), range(1, 6) r(i)),
+m AS (SELECT part, o, i, x, n, good, toxic, contains(fails, x) AS own, fails = x AS alone,
+             translate(fails, before, '') <> fails AS gone FROM g, s),
+c AS (SELECT part, o, i, x, sum(n) FILTER (NOT gone AND NOT own) AS kept, sum(n) FILTER (NOT gone AND own) AS removed,
+             sum(n) FILTER (gone AND own) AS redundant, sum(n) FILTER (alone) AS unique_fails,
+             sum(good) FILTER (NOT gone AND own) AS good_lost, sum(toxic) FILTER (NOT gone AND own) AS toxic_lost FROM m GROUP BY ALL)
+SELECT part, o AS filter_order, i::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+  coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, x), 0)::BIGINT AS shapley FROM c"""
+
+
+ORACLE["op11_centroid_clustering"] = _rounds()
+ORACLE["op13_filter_audit"] = _every_order()
