@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from vitalwatch.operators.cooldown import cooldown
 from vitalwatch.operators.detect import detect
-from vitalwatch.sinks.parquet import append_new, overwrite_days
+from vitalwatch.sinks import commits
+from vitalwatch.sinks.parquet import append_new, compact, overwrite_days, read_table
 from vitalwatch.sources.messages import raw_messages
 from vitalwatch.sources.tables import readings
 from vitalwatch.streaming.job import batch_writer, flag_stream
@@ -61,11 +62,11 @@ def test_stream_equals_batch_and_restarts(spark, scratch):
     for i in (1, 2):  # more files arrive; restart from the checkpoint
         shutil.copytree(parts[i], os.path.join(src, f"part{i}"))
     _run(spark, src, scratch)
-    got = spark.read.parquet(f"{scratch}/readings")
+    got = read_table(spark, f"{scratch}/readings")
     flags, alerts = _batch(spark)
     assert got.count() == 1000 and got.select("event_id").distinct().count() == 1000
     assert _same(got.select(*flags.columns), flags)  # history carried over the restart
-    assert _same(spark.read.parquet(f"{scratch}/alerts").select("event_id"), alerts)
+    assert _same(read_table(spark, f"{scratch}/alerts").select("event_id"), alerts)
 
 
 def test_replayed_file_adds_no_rows(spark, scratch):
@@ -78,7 +79,7 @@ def test_replayed_file_adds_no_rows(spark, scratch):
     _run(spark, src, scratch, dedupe="30 days")
     shutil.copytree(parts[2], os.path.join(src, "part2-again"))  # the same file, read twice
     _run(spark, src, scratch, dedupe="30 days")
-    got = spark.read.parquet(f"{scratch}/readings")
+    got = read_table(spark, f"{scratch}/readings")
     assert got.count() == 1000
     flags, _ = _batch(spark)
     assert _same(got.select(*flags.columns), flags)
@@ -122,7 +123,7 @@ def test_forward_bridge_splits_valid_and_bad(spark, scratch):
     q.awaitTermination()
     topic = sorted((r["key"], r["value"]) for r in spark.read.parquet(valid_path).collect())
     assert [k for k, _ in topic] == ["d1", "d2"] and '"heart_rate":80' in topic[0][1]
-    bad = spark.read.parquet(os.path.join(scratch, "bad")).collect()
+    bad = commits.read_table(spark, os.path.join(scratch, "bad")).collect()
     assert [(r["raw"], r["reason"]) for r in bad] == [("not json", "bad_json")]
 
 
@@ -140,9 +141,9 @@ def test_start_runs_detection_and_quarantine(spark, scratch):
                    f"{scratch}/quarantine", f"{scratch}/ck", trigger={"availableNow": True})
     q1.awaitTermination()
     q2.awaitTermination()
-    got = spark.read.parquet(f"{scratch}/readings")
+    got = read_table(spark, f"{scratch}/readings")
     assert sorted(r["is_anomaly"] for r in got.collect()) == [False, True]
-    alerts = spark.read.parquet(f"{scratch}/alerts").collect()
+    alerts = read_table(spark, f"{scratch}/alerts").collect()
     assert [a["subject"] for a in alerts] == ["Urgent Health Alert for d1"]
     bad = sorted(r["reason"] for r in spark.read.parquet(f"{scratch}/quarantine").collect())
     assert bad == ["bad_json", "missing_key"]
@@ -165,5 +166,5 @@ def test_stream_survives_a_calm_first_batch(spark, scratch):
         with open(os.path.join(src, f"f{i}.txt"), "w") as f:
             f.write(line % (i, i, bpm))
         _run(spark, src, scratch)
-    assert spark.read.parquet(f"{scratch}/readings").count() == 2
-    assert [r["event_id"] for r in spark.read.parquet(f"{scratch}/alerts").collect()] == [1]
+    assert read_table(spark, f"{scratch}/readings").count() == 2
+    assert [r["event_id"] for r in read_table(spark, f"{scratch}/alerts").collect()] == [1]

@@ -69,7 +69,9 @@ def alert_rows(detected: DataFrame, th: Thresholds = DEFAULT, ts: str = "reading
     the cooldown): a filter over the sixteen message expressions makes
     Catalyst's constraint inference very slow.
     """
-    text = F.col(ts_text) if ts_text else iso_text(F.col(ts))
+    text = iso_text(F.col(ts))
+    if ts_text and ts_text in detected.columns:
+        text = F.coalesce(F.col(ts_text), text)
     msgs = message_list(th)
     src = detected.where(F.col("is_anomaly")) if filter_anomalies else detected
     out = src.select("*", msgs.alias("messages"), text.alias("_ts_text"))

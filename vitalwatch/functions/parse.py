@@ -54,15 +54,16 @@ def _metric(name: str, mode: str) -> Column:
 
 def parse_messages(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = (),
                    mode: str = "strict", source_zone: str | None = None,
-                   extra_fields: dict[str, str] | None = None) -> DataFrame:
+                   extra_fields: dict[str, str] | None = None, time_text: str | None = None) -> DataFrame:
     """``keep`` columns, ``raw``, device_id, reading_ts, the metrics and ``reason``.
 
     ``reason`` is NULL for a good reading, else ``bad_json``, ``missing_key``
     or ``bad_timestamp``. ``reading_ts`` is TIMESTAMP_NTZ (the producer writes
     naive local time); with ``source_zone`` it is converted to a UTC TIMESTAMP.
     ``extra_fields`` (name -> SQL type) reads more fields, e.g. an event id.
+    ``time_text`` names a column for the time as it was received.
     """
-    extra = dict(extra_fields or {})
+    extra, told = dict(extra_fields or {}), [time_text] if time_text else []
     if mode not in ("strict", "lenient"):
         raise ValueError("mode is 'strict' or 'lenient'")
     text = F.col(value).cast("string")
@@ -82,14 +83,14 @@ def parse_messages(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
     # try_cast alone would take "2024" as a timestamp: check the shape first
     ts = F.when(F.col("_ts").rlike(TS_SHAPE), F.expr("try_cast(_ts AS timestamp_ntz)"))
     out = out.select(*keep, "raw", "_bad", "device_id", "_ts", ts.alias("reading_ts"), *METRICS,
-                     *extra)
+                     *extra, *[F.col("_ts").alias(c) for c in told])
     if source_zone:
         out = out.withColumn("reading_ts", F.to_utc_timestamp(F.col("reading_ts").cast("timestamp"),
                                                               source_zone))
     reason = (F.when(F.col("_bad"), F.lit(BAD_JSON))
               .when(F.col("device_id").isNull() | F.col("_ts").isNull(), F.lit(MISSING_KEY))
               .when(F.col("reading_ts").isNull(), F.lit(BAD_TIMESTAMP)))
-    return out.select(*keep, "raw", "device_id", "reading_ts", *METRICS, *extra,
+    return out.select(*keep, "raw", "device_id", "reading_ts", *METRICS, *extra, *told,
                       reason.alias("reason"))
 
 

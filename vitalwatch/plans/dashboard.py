@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,11 +62,24 @@ def preset_range(preset: str, anchor: dt.datetime) -> tuple[dt.datetime, dt.date
     return anchor - delta, anchor
 
 
-def latest_ts(df: DataFrame, col: str = TS) -> dt.datetime:
+def latest_ts(df: DataFrame, col: str = TS) -> dt.datetime | None:
     """The anchor used when ``now`` is the newest reading (one aggregate)."""
     return df.agg(F.max(col)).first()[0]
 
 
+def newest_from_footers(spark: SparkSession, path: str | list[str], col: str = TS) -> DataFrame:
+    """The newest ``col`` of a Parquet table as one row, from the minima and maxima in its footers.
+
+    The aggregate is pushed into Spark's Parquet reader of the newer kind, which only a session of its own is
+    told to use; no row is read. Times without a zone only: Spark keeps none of the others in footers.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    paths = [path] if isinstance(path, str) else path
+    return own.read.parquet(*paths).agg(F.max(col).alias("newest"))
+
+
 def _ordered(df: DataFrame, desc: bool = False) -> DataFrame:
     keys = [TS] + ([TIE] if TIE in df.columns else [])
     return df.orderBy(*[F.col(k).desc() if desc else F.col(k).asc() for k in keys])
@@ -132,5 +145,7 @@ def no_value(flagged: DataFrame, start, end) -> DataFrame:
 def range_preset(flagged: DataFrame, preset: str, anchor: dt.datetime | None = None) -> DataFrame:
     """The flag series over ``now-<preset> .. now``; ``now`` defaults to the newest reading."""
     anchor = anchor or latest_ts(flagged)
+    if anchor is None:  # an empty table has no newest reading
+        return flag_series(flagged.where(F.lit(False)), dt.datetime.min, dt.datetime.max)
     start, end = preset_range(preset, anchor)
     return flag_series(flagged, start, end)

@@ -7,6 +7,7 @@ thresholds, so a changed bound changes both sides.
 
 from __future__ import annotations
 
+from ..sources.messages import ARRIVAL_SECONDS
 from ..sources.tables import readings_sql, skewed_readings_sql
 from ..thresholds import (ALERT_BODY_HEAD, ALERT_BODY_TAIL, ALERT_BULLET, ALERT_SUBJECT, CLAMP_BOUNDS, DEFAULT,
                           FLAG_RED_FROM, HOUR_BANDS, METRIC_RED_FROM, RECENT_LIMIT, Thresholds)
@@ -22,6 +23,11 @@ def _num(x: float) -> str:
     return repr(float(x))
 
 
+def _rule_sql(r) -> str:
+    parts = [f"{r.metric} {op} {_num(b)}" for op, b in (("<", r.lo), (">", r.hi)) if b is not None]
+    return f"coalesce({' OR '.join(parts)}, false)"
+
+
 def detected_cte(th: Thresholds = DEFAULT, base: str | None = None) -> str:
     h = th.history
     wins = []
@@ -30,14 +36,7 @@ def detected_cte(th: Thresholds = DEFAULT, base: str | None = None) -> str:
         w = (f"(PARTITION BY device_id, {m} IS NOT NULL ORDER BY reading_ts, event_id "
              f"ROWS BETWEEN {h - 1} PRECEDING AND CURRENT ROW)")
         wins.append(f"count({m}) OVER {w} AS cnt_{m}, avg({m}) OVER {w} AS avg_{m}")
-    rules = []
-    for r in th.rules:
-        parts = []
-        if r.lo is not None:
-            parts.append(f"{r.metric} < {_num(r.lo)}")
-        if r.hi is not None:
-            parts.append(f"{r.metric} > {_num(r.hi)}")
-        rules.append(f"coalesce({' OR '.join(parts)}, false) AS rule_{r.metric}")
+    rules = [f"{_rule_sql(r)} AS rule_{r.metric}" for r in th.rules]
     trends = []
     for t in th.trends:
         m = t.metric
@@ -64,6 +63,35 @@ def _dmg(kind: str) -> str:
     return f"(event_type = '{kind}' AND k < 10)"
 
 
+ISO = ("strftime(reading_ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(reading_ts) % 1000000 = 0 "
+       "THEN '' ELSE strftime(reading_ts, '.%f') END")
+
+
+def _message(by_name: bool = False) -> str:
+    """The message text of a row: fields as sent, or by name as the bridge writes them again.
+
+    A missing value is left out as sent, or written as null by the messages that are damaged that way. Sent
+    again, a number has no end zeros; a text cut short lacks its last character.
+    """
+    spaced = "(event_type = 'view' AND k >= 10 AND k < 20)"
+    time = f"CASE WHEN {spaced} THEN replace({ISO}, 'T', ' ') ELSE {ISO} END"
+    nulls, text = _dmg("view"), _dmg("click")
+    quote = lambda x: f"'\"' || {x} || '\"'"
+    fields = {"device_id": f"CASE WHEN {_dmg('signup')} THEN NULL ELSE {quote('device_id')} END",
+              "timestamp": f"CASE WHEN {_dmg('purchase')} THEN '\"2024\"' ELSE {quote(time)} END"}
+    for m in ALL_METRICS:
+        plain = f"CAST({m} AS VARCHAR)"
+        number = f"regexp_replace({plain}, '\\.0$', '')" if by_name else plain
+        if m == "heart_rate":
+            number = f"CASE WHEN {text} THEN {quote(plain)} WHEN {nulls} THEN NULL ELSE {number} END"
+        fields[m] = f"coalesce({number}, CASE WHEN {nulls} THEN 'null' END)"
+    fields["event_id"] = "CAST(event_id AS VARCHAR)"
+    names = sorted(fields) if by_name else list(fields)
+    parts = ", ".join(f"'\"{n}\":' || {fields[n]}" for n in names)
+    whole = "'{' || concat_ws(',', " + parts + ") || '}'"
+    return whole if by_name else f"CASE WHEN {_dmg('error')} THEN left({whole}, length({whole}) - 1) ELSE {whole} END"
+
+
 def parse_queries() -> dict[str, str]:
     cte = "WITH " + _raw_cte()
     out = {}
@@ -82,16 +110,18 @@ def parse_queries() -> dict[str, str]:
             lcols.append(m)
         else:
             lcols.append(f"CASE WHEN {_dmg('view')} THEN coalesce({m}, 0.0) ELSE {m} END AS {m}")
-    out["parse_lenient"] = f"{cte} SELECT event_id, {', '.join(lcols)} FROM raw_src WHERE {good}"
+    out["parse_lenient"] = f"{cte} SELECT event_id, device_id, reading_ts, {', '.join(lcols)} FROM raw_src WHERE {good}"
     out["quarantine_split"] = (f"{cte} SELECT event_id, CASE WHEN {_dmg('error')} THEN 'bad_json' "
                                f"WHEN {_dmg('signup')} THEN 'missing_key' "
-                               f"WHEN {_dmg('purchase')} THEN 'bad_timestamp' END AS reason "
+                               f"WHEN {_dmg('purchase')} THEN 'bad_timestamp' END AS reason, "
+                               f"CASE WHEN {_dmg('error')} OR {_dmg('signup')} OR {_dmg('purchase')} THEN {_message()} END AS raw "
                                f"FROM raw_src")
     out["prj_timestamp"] = (f"{cte} SELECT event_id, CASE WHEN {_dmg('error')} OR {_dmg('purchase')} "
                             f"THEN NULL ELSE reading_ts END AS reading_ts FROM raw_src")
     out["forward_split"] = (f"{cte} SELECT event_id, CASE WHEN {_dmg('error')} OR {_dmg('signup')} "
                             f"THEN NULL ELSE device_id END AS key, "
-                            f"CASE WHEN {_dmg('error')} THEN 'bad_json' END AS reason FROM raw_src")
+                            f"CASE WHEN {_dmg('error')} THEN 'bad_json' END AS reason, "
+                            f"CASE WHEN NOT {_dmg('error')} THEN {_message(by_name=True)} END AS value FROM raw_src")
     return out
 
 
@@ -209,8 +239,34 @@ def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
                            f"(SELECT max(reading_ts) FROM readings) - INTERVAL 7 DAY "
                            f"AND (SELECT max(reading_ts) FROM readings) ORDER BY reading_ts, event_id")
     out.update(parse_queries())
-    out["stream_detect"] = f"{cte} SELECT event_id, rule_any, trend_any, is_anomaly FROM detected"
-    out["stream_cooldown"] = cooldown_sql(th.cooldown_seconds, th)
+    flags = ", ".join([*(f"rule_{r.metric}" for r in th.rules), "rule_any",
+                       *(f"{p}_{t.metric}" for t in th.trends for p in ("cnt", "avg", "trend")), "trend_any", "is_anomaly"])
+    out["stream_detect"] = f"{cte} SELECT event_id, device_id, reading_ts, {', '.join(ALL_METRICS)}, {flags} FROM detected"
+    out["stream_cooldown"] = f"SELECT device_id, reading_ts, event_id, subject, body FROM ({alert_text_sql(th)}) t"
+    out["stream_two_runs"] = out["is_anomaly"]
+    out["device_history"] = out["is_anomaly"] + " WHERE device_id = (SELECT min(device_id) FROM readings)"
+    out["refresh_top_recent"] = (f"{cte} SELECT reading_ts AS time, device_id, {', '.join(SERIES)}, is_anomaly FROM detected "
+                                 f"WHERE is_anomaly ORDER BY reading_ts DESC, event_id DESC LIMIT {RECENT_LIMIT}")
+    out["refresh_last_flag"] = (f"{cte} SELECT CAST(is_anomaly AS INTEGER) AS last_flag FROM detected "
+                                f"ORDER BY reading_ts DESC, event_id DESC LIMIT 1")
+    out["refresh_per_day"] = (f"{cte} SELECT CAST(CAST(reading_ts AS DATE) AS VARCHAR) AS day, count(*) AS n_readings, "
+                              f"count(*) FILTER (is_anomaly) AS n_anomalies FROM detected GROUP BY 1")
+    sent = f"({readings_sql('duckdb')})"
+    seq = f"reading_ts + to_seconds({ARRIVAL_SECONDS})"
+    told = (f"SELECT *, coalesce(reading_ts < max(reading_ts) OVER (PARTITION BY device_id ORDER BY seq, event_id "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 HOUR, false) AS late "
+            f"FROM (SELECT *, {seq} AS seq FROM {sent} r) s")
+    out["stream_out_of_order"] = (f"WITH told AS ({told}), {detected_cte(th, 'SELECT * FROM told WHERE NOT late')} "
+                                  f"SELECT event_id, rule_any, trend_any, is_anomaly, NULL::VARCHAR AS reason FROM detected "
+                                  f"UNION ALL SELECT event_id, NULL, NULL, NULL, 'late' FROM told WHERE late")
+    out["stream_resumed"] = (f"{cooldown_sql(7200, th, tail=None)}, kept AS ({ALERTS}) SELECT event_id, trend_any, is_anomaly, "
+                             f"event_id IN (SELECT event_id FROM kept) AS alert FROM detected")
+    out["sink_constraints"] = f"""WITH {_raw_cte()}, d AS (SELECT event_id,
+  CASE WHEN {_dmg('error')} THEN rpad(device_id, 300, 'x') WHEN NOT {_dmg('signup')} THEN device_id END AS device_id,
+  CASE WHEN NOT {_dmg('purchase')} THEN reading_ts END AS reading_ts,
+  CASE WHEN {_dmg('view')} THEN false ELSE {' OR '.join(_rule_sql(r) for r in th.rules)} END AS is_anomaly FROM raw_src)
+SELECT *, CASE WHEN device_id IS NULL THEN 'device_id_not_null' WHEN length(device_id) > 255 THEN 'device_id_length'
+  WHEN reading_ts IS NULL THEN 'time_not_null' END AS broken FROM d"""
     out["sink_idempotent"] = out["is_anomaly"]
     skew = skewed_readings_sql("duckdb")
     hot_cols = ", ".join(f"{p}_{t.metric}" for t in th.trends for p in ("cnt", "avg", "trend"))

@@ -5,15 +5,17 @@ time, so Parquet row-group min/max statistics answer "one device" and "a time
 range" lookups the way the four B-tree indexes of the SQL table did, and a
 time filter prunes whole date folders.
 
-Idempotence. The key of a reading is (device_id, reading_ts). Two ways to
-write, both safe to re-run:
+Three ways to write, all safe to re-run:
 
+* :func:`write_batch` for micro-batches: a folder of its own, committed under the
+  query's run and the batch (:mod:`vitalwatch.sinks.commits`). A replay adds nothing,
+  a second run over the same input stands beside the first, and the reader or a
+  compaction keeps one row per reading.
 * :func:`overwrite_days` for batch jobs that recompute whole days: dynamic
   partition overwrite replaces exactly the days present in the output.
-* :func:`append_new` for micro-batches: rows are de-duplicated within the
-  batch and anti-joined against the keys already stored for the batch's days
-  (only those date folders and only the key columns are read), then
-  appended. A replayed batch, or the same file read twice, adds nothing.
+* :func:`append_new` for batch appends to a plain table: rows are de-duplicated and
+  anti-joined against the keys already stored for their days (only those date
+  folders and only the key columns are read), then appended.
 """
 
 from __future__ import annotations
@@ -23,8 +25,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import commits
+
 KEY = ("device_id", "reading_ts")
 DATE = "reading_date"
+# a lookup of one device skips row groups by the filter where min and max cannot
+WRITER = {"parquet.bloom.filter.enabled#device_id": "true"}
 
 
 def with_sink_columns(df: DataFrame, ts: str = "reading_ts") -> DataFrame:
@@ -51,7 +57,7 @@ def _layout(df: DataFrame) -> DataFrame:
 def overwrite_days(df: DataFrame, path: str) -> None:
     """Replace the date folders present in ``df``; other days stay as they are."""
     out = _layout(with_sink_columns(df))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**WRITER)
      .partitionBy(DATE).parquet(path))
 
 
@@ -70,11 +76,21 @@ def identity(columns: list[str]) -> tuple[str, ...]:
     return (*KEY, *more)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """A micro-batch in a folder of its own, overwritten on a replay: every reading is kept,
-    nothing stored is read again."""
-    (_layout(with_sink_columns(df)).write.mode("overwrite").partitionBy(DATE)
-     .parquet(f"{path}/batch_id={batch_id}"))
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str) -> bool:
+    """A micro-batch as a commit of (run, batch): every reading is kept, nothing stored is read again."""
+    return commits.commit(with_sink_columns(df), path, run, batch_id, DATE, KEY, options=WRITER)
+
+
+def compact(spark: SparkSession, path: str) -> int:
+    """Each reading once, that of the earliest commit; rewrites only days that may hold one twice."""
+    columns = [f.name for f in commits.read_table(spark, path, DATE).schema.fields]
+    return commits.compact(spark, path, identity(columns), DATE, KEY, WRITER)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The committed table, each reading once (see ``identity``)."""
+    columns = commits.read_table(spark, path, DATE).columns
+    return commits.read_table(spark, path, DATE, identity(columns))
 
 
 def append_new(df: DataFrame, path: str, key: tuple[str, ...] | None = None) -> None:
@@ -90,8 +106,4 @@ def append_new(df: DataFrame, path: str, key: tuple[str, ...] | None = None) ->
         if days:
             stored = spark.read.schema(batch.schema).parquet(path).where(F.col(DATE).isin(days)).select(*key)
             batch = batch.join(stored, list(key), "left_anti")
-    _layout(batch).write.mode("append").partitionBy(DATE).parquet(path)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    _layout(batch).write.mode("append").options(**WRITER).partitionBy(DATE).parquet(path)

@@ -61,3 +61,16 @@ def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = True,
              .when(_damage("view"), nulls)
              .otherwise(F.col("_plain")))
     return r.withColumn("_plain", plain).select("event_id", value.alias("value"), *extra)
+
+
+# Arrival of the out-of-order fixture: every reading is under way for up to two hours, one in 97 for eight.
+ARRIVAL_SECONDS = "(event_id * 7919) % 7200 + CASE WHEN event_id % 97 = 0 THEN 28800 ELSE 0 END"
+
+
+def disordered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value, arrival`` of every event: undamaged messages with their arrival as field ``seq`` (microseconds)."""
+    r = readings(spark, sf_dir)
+    arrival = F.expr(f"timestampadd(SECOND, {ARRIVAL_SECONDS}, reading_ts)")
+    seq = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', arrival)")
+    text = F.to_json(F.struct("device_id", iso_text(F.col("reading_ts")).alias("timestamp"), *METRICS, "event_id", "seq"))
+    return r.withColumn("arrival", arrival).withColumn("seq", seq).select(text.alias("value"), "arrival")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from ..thresholds import TrendRule
+from ..thresholds import Thresholds, TrendRule
 
 
 def trend_step(values: np.ndarray, history: np.ndarray, size: int, rule: TrendRule,
@@ -67,3 +67,51 @@ def cooldown_step(times_us: np.ndarray, last_us: int | None, gap_us: int):
         last = int(times_us[i])
         i = int(np.searchsorted(times_us, last + gap_us, side="right"))
     return keep, last
+
+
+NEVER = -(2**62)  # no alert yet, no reading yet
+
+
+class Past:
+    """What a device carries from batch to batch: histories, last alert, newest event time (microseconds)."""
+
+    def __init__(self, history: list[np.ndarray], last_us: int, clock_us: int):
+        self.history, self.last_us, self.clock_us = history, last_us, clock_us
+
+    @classmethod
+    def new(cls, th: Thresholds) -> Past:
+        return cls([np.zeros(0) for _ in th.trends], NEVER, NEVER)
+
+    def dump(self) -> bytes:
+        n = np.array([self.last_us, self.clock_us, *map(len, self.history)], "<i8")
+        return n.tobytes() + np.concatenate(self.history).astype("<f8").tobytes()
+
+    @classmethod
+    def load(cls, data: bytes, th: Thresholds) -> Past:
+        k = len(th.trends)
+        n = np.frombuffer(data, "<i8", 2 + k)
+        values = np.frombuffer(data, "<f8", offset=8 * (2 + k))
+        return cls(np.split(values, np.cumsum(n[2:])[:-1]), int(n[0]), int(n[1]))
+
+
+def flag_rows(cols: dict[str, np.ndarray], past: Past, th: Thresholds, gap_us: int) -> dict[str, np.ndarray]:
+    """Rows of one device in their final order, with means, packed counts (8 bits a trend) and
+    flags (a bit a trend), and alerts; ``past`` moves on."""
+    n = len(cols["vw_us"])
+    counts, flags = np.zeros(n, np.int64), np.zeros(n, np.int32)
+    has = cols["vw_has"].astype(np.int64)
+    out = dict(cols)
+    for i, t in enumerate(th.trends):
+        cnt, avg, flag, past.history[i] = trend_step(cols[t.metric].astype(float), past.history[i], th.history, t,
+                                                     (has >> i & 1).astype(bool))
+        out[f"avg_{t.metric}"] = avg  # NaN where no value: NULL by the count afterwards
+        counts |= cnt << (8 * i)
+        flags |= flag.astype(np.int32) << i
+    anomalous = np.flatnonzero(cols["rule_any"].astype(bool) | (flags != 0))
+    times = cols["vw_us"][anomalous]
+    # greedy over running event times: a row out of order never lies a gap after the last alert
+    keep, last = cooldown_step(np.maximum.accumulate(times), None if past.last_us == NEVER else past.last_us, gap_us)
+    past.last_us = NEVER if last is None else last
+    alert = np.zeros(n, bool)
+    alert[anomalous[keep]] = True
+    return out | {"vw_counts": counts, "vw_trends": flags, "alert": alert}

@@ -1,95 +1,166 @@
-"""The keyed stateful step of the stream: trend histories and alert cooldown.
-
-State per device: one value holding the last ``history`` values of every
-trend metric and the time of the last alert (microseconds). Rows of a
-micro-batch arrive in no set order, so they are sorted by the order columns
-first (event time, then the tie column such as the source offset).
-
-Range rules are computed before this step with built-in expressions; only
-what needs the device's past lives here.
+"""The keyed stateful step of the stream: trend histories, alert cooldown, event order.
+
+Only what needs a device's past passes through Python: the time, the arrival order, the
+eight trend metrics, whether a rule fired, and everything else of the row as one text
+(``payload``). Rules, flags per metric and the final columns are built-in expressions
+before and after (:mod:`vitalwatch.streaming.job`).
+
+State of a device: one binary value (:class:`Past`): the last values of every trend
+metric, the time of the last alert and the newest event time; and, with ``wait_us``,
+a list of binary chunks of rows that still wait.
+
+Order. A micro-batch's rows come in no set order, so they are sorted by arrival
+(topic position, or whatever the job names) first.
+
+* Without ``wait_us`` rows are processed in arrival order, as they were delivered; with
+  the event time as first arrival column, in event order within a micro-batch only.
+* With ``wait_us`` rows are processed in event order, whatever the micro-batches: a
+  device's clock is its newest event time so far in arrival order, a row older than the
+  clock by more than ``wait_us`` is late (returned with ``late``, never processed), and
+  rows wait until the clock has passed them by ``wait_us``. No row that is not late can
+  come before a released one, so neither flags nor late rows depend on batch bounds.
+  Rows of a device that falls silent wait in the state until it sends again, until
+  ``idle_ms`` of processing time have passed, or until the stream is drained.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..thresholds import DEFAULT, Thresholds
-from .kernel import cooldown_step, trend_step
+from .kernel import NEVER, Past, flag_rows
+
+# Names that begin with an underscore reach Python as positions, so these begin with vw_.
+STATE = T.StructType([T.StructField("past", T.BinaryType())])
+CHUNK = T.StructType([T.StructField("rows", T.BinaryType())])
+
+
+def step_schema(th: Thresholds) -> T.StructType:
+    """What comes out: the rows, counts and flags of the trends packed into two numbers."""
+    return T.StructType(
+        [T.StructField("device_id", T.StringType()), T.StructField("vw_us", T.LongType()), T.StructField("vw_payload", T.StringType()),
+         T.StructField("vw_has", T.IntegerType())]
+        + [T.StructField(t.metric, T.DoubleType()) for t in th.trends]
+        + [T.StructField(f"avg_{t.metric}", T.DoubleType()) for t in th.trends]
+        + [T.StructField("vw_counts", T.LongType()), T.StructField("vw_trends", T.IntegerType()),
+           T.StructField("alert", T.BooleanType()), T.StructField("late", T.BooleanType())])
+
+
+def pack_rows(cols: dict[str, np.ndarray]) -> bytes:
+    table = pa.table({k: pa.array(v, from_pandas=False) for k, v in cols.items()})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
-def state_schema(th: Thresholds) -> T.StructType:
-    return T.StructType([T.StructField(f"h_{t.metric}", T.ArrayType(T.DoubleType()))
-                         for t in th.trends]
-                        + [T.StructField("last_alert_us", T.LongType())])
+def unpack_rows(data: bytes) -> dict[str, np.ndarray]:
+    table = pa.ipc.open_stream(data).read_all()
+    return {k: table.column(k).to_numpy() for k in table.column_names}
 
 
-def output_schema(input_schema: T.StructType, th: Thresholds) -> T.StructType:
-    fields = list(input_schema.fields)
-    for t in th.trends:
-        fields += [T.StructField(f"cnt_{t.metric}", T.LongType()),
-                   T.StructField(f"avg_{t.metric}", T.DoubleType()),
-                   T.StructField(f"trend_{t.metric}", T.BooleanType())]
-    fields += [T.StructField("trend_any", T.BooleanType()),
-               T.StructField("is_anomaly", T.BooleanType()),
-               T.StructField("alert", T.BooleanType())]
-    return T.StructType(fields)
+def join_rows(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return parts[0] if len(parts) == 1 else {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
 
 
-def has_value(metric: str) -> str:
-    """Input column that tells a missing value from a NaN (pandas holds both as NaN)."""
-    return f"_has_{metric}"
+def take(cols: dict[str, np.ndarray], rows: np.ndarray) -> dict[str, np.ndarray]:
+    return {k: v[rows] for k, v in cols.items()}
 
 
 class DetectProcessor(StatefulProcessor):
-    def __init__(self, out_schema: T.StructType, th: Thresholds = DEFAULT,
-                 gap_seconds: float | None = None, order: tuple[str, ...] = ("reading_ts",),
-                 ttl_ms: int | None = None):
-        self.th = th
+    def __init__(self, arrival: list[str], th: Thresholds = DEFAULT, gap_seconds: float | None = None, wait_us: int | None = None,
+                 ttl_ms: int | None = None, idle_ms: int | None = None):
+        self.th, self.arrival, self.wait_us, self.ttl_ms, self.idle_ms = th, arrival, wait_us, ttl_ms, idle_ms
         self.gap_us = int(round((th.cooldown_seconds if gap_seconds is None else gap_seconds) * 1e6))
-        self.order = list(order)
-        self.out_schema = out_schema
-        self.ttl_ms = ttl_ms
+        self.names = [f.name for f in step_schema(th).fields]
+        self.kept = ["vw_us", "vw_payload", "vw_has", "rule_any", *arrival, *(t.metric for t in th.trends)]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("device", state_schema(self.th), self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("device", STATE, self.ttl_ms)
+        self.waiting = handle.getListState("waiting", CHUNK, self.ttl_ms) if self.wait_us is not None else None
+
+    def _past(self) -> Past:
+        got = self.state.get()
+        return Past.new(self.th) if got is None else Past.load(got[0], self.th)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Take over a device's past from a stored table (see ``handover``)."""
+        r = initialState.iloc[0]
+        past = Past.new(self.th)
+        past.history = [np.asarray([] if r[f"h_{t.metric}"] is None else r[f"h_{t.metric}"], float)[-self.th.history:] for t in self.th.trends]
+        past.last_us = NEVER if pd.isna(r["last_alert_us"]) else int(r["last_alert_us"])
+        past.clock_us = NEVER if pd.isna(r["clock_us"]) else int(r["clock_us"])
+        self.state.update((past.dump(),))
+
+    def frame(self, key, cols: dict[str, np.ndarray], late: bool) -> pd.DataFrame:
+        n = len(cols["vw_us"])
+        out = {"device_id": np.full(n, key[0], object), "late": np.full(n, late), **cols}
+        if late:
+            out |= {f"avg_{t.metric}": np.full(n, np.nan) for t in self.th.trends}
+            out |= {"vw_counts": np.zeros(n, np.int64), "vw_trends": np.zeros(n, np.int32), "alert": np.zeros(n, bool)}
+        return pd.DataFrame({c: out[c] for c in self.names}, copy=False)
 
     def handleInputRows(self, key, rows, timerValues):
         frames = list(rows)
         pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        # one sort of the group, then plain numpy arrays (no per-column pandas work)
-        order = np.lexsort([pdf[c].to_numpy() for c in reversed(self.order)])
-        cols = {c: pdf[c].to_numpy()[order] for c in pdf.columns}
-        prev = self.state.get()  # None for a device seen for the first time
-        h = self.th.history
-        new_state = []
-        trend_any = np.zeros(len(order), dtype=bool)
-        for i, t in enumerate(self.th.trends):
-            hist = np.asarray(prev[i] if prev is not None and prev[i] is not None else [],
-                              dtype=float)
-            vals = cols[t.metric].astype(float)
-            has = cols.get(has_value(t.metric))
-            cnt, avg, flag, hist = trend_step(vals, hist, h, t,
-                                              None if has is None else has.astype(bool))
-            cols[f"cnt_{t.metric}"] = cnt
-            cols[f"avg_{t.metric}"] = avg  # NaN where no value: written as NULL
-            cols[f"trend_{t.metric}"] = flag
-            trend_any |= flag
-            new_state.append(hist.tolist())
-        cols["trend_any"] = trend_any
-        anomalous = cols["rule_any"].astype(bool) | trend_any
-        cols["is_anomaly"] = anomalous
-        last = prev[-1] if prev is not None else None
-        idx = np.flatnonzero(anomalous)
-        times = cols["reading_ts"][idx].astype("datetime64[us]").astype(np.int64)
-        keep, last = cooldown_step(times, last, self.gap_us)
-        alert = np.zeros(len(order), dtype=bool)
-        alert[idx[keep]] = True
-        cols["alert"] = alert
-        self.state.update(tuple(new_state) + (last,))
-        yield pd.DataFrame({f.name: cols[f.name] for f in self.out_schema.fields}, copy=False)
+        order = np.lexsort([pdf[c].to_numpy() for c in reversed(self.arrival)])
+        cols = {c: pdf[c].to_numpy()[order] for c in self.kept}
+        past = self._past()
+        if self.wait_us is not None:
+            ts = cols["vw_us"]
+            before = np.maximum.accumulate(np.r_[past.clock_us, ts[:-1]])
+            late = ts < before - self.wait_us
+            past.clock_us = max(past.clock_us, int(ts.max()))
+            if late.any():
+                yield self.frame(key, take(cols, np.flatnonzero(late)), True)
+            cols = self._released(take(cols, np.flatnonzero(~late)), past.clock_us - self.wait_us)
+            self._wake(timerValues)
+        if len(cols["vw_us"]):
+            yield self.frame(key, flag_rows(cols, past, self.th, self.gap_us), False)
+        self.state.update((past.dump(),))
+
+    def event_order(self, cols: dict[str, np.ndarray]) -> np.ndarray:
+        return np.lexsort([cols[c] for c in [*reversed(self.arrival), "vw_us"]])
+
+    def _released(self, new: dict[str, np.ndarray], bound: int) -> dict[str, np.ndarray]:
+        """Rows before ``bound`` in event order, equal times by arrival; the others wait on."""
+        held = [unpack_rows(c[0]) for c in self.waiting.get()] if self.waiting.exists() else []
+        cols = join_rows([*held, new])
+        cols = take(cols, self.event_order(cols))
+        ready = cols["vw_us"] < bound
+        rest = np.flatnonzero(~ready)
+        if len(rest):
+            self.waiting.put([(pack_rows(take(cols, rest)),)])
+        elif held:
+            self.waiting.clear()
+        return take(cols, np.flatnonzero(ready))
+
+    def _wake(self, timerValues) -> None:
+        """One timer per device: the last input plus ``idle_ms``."""
+        if self.idle_ms is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t[0])
+            if self.waiting.exists():
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        """The device has been silent for ``idle_ms``: nothing waits any longer."""
+        if self.waiting is None or not self.waiting.exists():
+            return
+        past = self._past()
+        cols = join_rows([unpack_rows(c[0]) for c in self.waiting.get()])
+        cols = take(cols, self.event_order(cols))
+        self.waiting.clear()
+        # what comes later and is older than these rows is late
+        past.clock_us = max(past.clock_us, int(cols["vw_us"].max()) + self.wait_us)
+        out = self.frame(key, flag_rows(cols, past, self.th, self.gap_us), False)
+        self.state.update((past.dump(),))
+        yield out
 
     def close(self) -> None:
         pass
