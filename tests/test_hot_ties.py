@@ -13,7 +13,7 @@ from vitalwatch.operators.cooldown import cooldown
 from vitalwatch.operators.detect import check_hot, detect
 from vitalwatch.operators.trends import chunks
 from vitalwatch.session import ensure_checkpoint_dir
-from vitalwatch.streaming.kernel import trend_step
+from vitalwatch.streaming.kernel import trend_steps
 from vitalwatch.thresholds import DEFAULT
 
 COLS = ["reading_ts", "heart_rate", "cnt_heart_rate", "avg_heart_rate", "trend_heart_rate", "is_anomaly"]
@@ -50,10 +50,10 @@ def test_chunks_go_by_rows(spark):
 
 
 def test_a_nan_is_a_value_in_the_stream_step():
-    values = np.array([70.0] * 9 + [np.nan] + [70.0] * 3 + [100.0])
-    rule = DEFAULT.trends[0]
-    assert not trend_step(values, np.array([]), 10, rule, np.ones(14, bool))[2].any()
-    assert trend_step(values, np.array([]), 10, rule)[2][-1]
+    values = np.array([[70.0] * 9 + [np.nan] + [70.0] * 3 + [100.0]])
+    rule = DEFAULT.trends[:1]
+    assert not trend_steps(values, np.ones((1, 14), bool), [np.array([])], 10, rule)[2].any()
+    assert trend_steps(values, ~np.isnan(values), [np.array([])], 10, rule)[2][0, -1]
 
 
 def test_scratch_folder_needs_a_shared_one_on_a_cluster(spark):

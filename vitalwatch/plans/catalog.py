@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.cleaning import clamp, hour_band, round_half_even, truncate
 from ..functions.messages import alert_rows, message_codes
@@ -20,7 +21,7 @@ from ..operators.detect import check_hot, detect
 from ..operators.rules import add_rule_flags
 from ..session import scratch_dir
 from ..sinks import commits, constraints, layout
-from ..sinks.parquet import append_new, compact, overwrite_days, read_table
+from ..sinks.parquet import OWN_COLUMNS, append_new, compact, overwrite_days, read_table
 from ..sources.messages import disordered_messages, raw_messages
 from ..sources.tables import readings, skewed_readings
 from ..streaming import refresh
@@ -135,7 +136,7 @@ def range_preset(spark: SparkSession, sf_dir: str) -> DataFrame:
 def device_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All readings of the first device (by name), from a copy of the table along a Z curve of device and time."""
     path = scratch_dir(spark, f"clustered-{uuid.uuid4().hex}")
-    flagged = flagged_table(spark, sf_dir).drop("reading_date", "created_at")
+    flagged = flagged_table(spark, sf_dir).drop(*OWN_COLUMNS)
     layout.write_clustered(flagged, path, CLUSTER_FILES)
     first = spark.read.parquet(path).agg(F.min("device_id")).first()[0]
     rows = layout.device_history(spark, path, first) if first is not None else spark.read.parquet(path)
@@ -304,7 +305,7 @@ def disordered_run(spark: SparkSession, sf_dir: str, slices_per_batch: int = 1)
     flags = ["event_id", "rule_any", "trend_any", "is_anomaly"]
     done = read_table(spark, f"{base}/readings").select(*flags)
     held = drain(spark, f"{base}/checkpoint", source, **DISORDER).select(*flags)
-    late = commits.read_table(spark, f"{base}/late").select("event_id", *[F.lit(None).cast("boolean").alias(c) for c in flags[1:]], "reason")
+    late = commits.read_table(spark, f"{base}/late", empty=T.StructType.fromDDL("event_id bigint, reason string")).select("event_id", *[F.lit(None).cast("boolean").alias(c) for c in flags[1:]], "reason")
     return done.unionByName(held).withColumn("reason", F.lit(None).cast("string")).unionByName(late)
 
 
@@ -347,7 +348,7 @@ def sink_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, f"constraints-{uuid.uuid4().hex}")
     constraints.write_checked(faulty_rows(spark, sf_dir), f"{path}/rows", f"{path}/rejected", "once", 0)
     stored = read_table(spark, f"{path}/rows").withColumn(constraints.BROKEN, F.lit(None).cast("string"))
-    rejected = commits.read_table(spark, f"{path}/rejected")
+    rejected = commits.read_table(spark, f"{path}/rejected", empty=stored.schema)
     columns = ["event_id", "device_id", "reading_ts", "is_anomaly", constraints.BROKEN]
     return stored.select(*columns).unionByName(rejected.select(*columns))
 
@@ -359,7 +360,7 @@ def sink_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               *ALL_METRICS, "is_anomaly")
     append_new(flagged, path)
     append_new(flagged, path)
-    return spark.read.parquet(path).drop("reading_date", "created_at")
+    return spark.read.parquet(path).drop(*OWN_COLUMNS)
 
 
 # Rows per window task / cooldown group in the skew queries: small enough that

@@ -32,7 +32,7 @@ def ts_literal(df: DataFrame, value, col: str = TS) -> Column:
     return F.expr(f"TIMESTAMP'{text}'")
 
 
-DATE = "reading_date"
+DATE, MICROS = "reading_date", "reading_us"
 
 
 def time_filter(df: DataFrame, start, end, col: str = TS) -> DataFrame:
@@ -67,17 +67,20 @@ def latest_ts(df: DataFrame, col: str = TS) -> dt.datetime | None:
     return df.agg(F.max(col)).first()[0]
 
 
-def newest_from_footers(spark: SparkSession, path: str | list[str], col: str = TS) -> DataFrame:
-    """The newest ``col`` of a Parquet table as one row, from the minima and maxima in its footers.
+def newest_from_footers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The newest time of a stored table as one row, from the minima and maxima in its footers: no row is read.
 
     The aggregate is pushed into Spark's Parquet reader of the newer kind, which only a session of its own is
-    told to use; no row is read. Times without a zone only: Spark keeps none of the others in footers.
+    told to use. Spark pushes whole numbers, not times, so the table keeps its times in microseconds too.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.sources.useV1SourceList", "")
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    paths = [path] if isinstance(path, str) else path
-    return own.read.parquet(*paths).agg(F.max(col).alias("newest"))
+    table = own.read.parquet(*([path] if isinstance(path, str) else path))
+    newest = table.agg(F.max(MICROS).alias("us"))
+    if isinstance(table.schema[TS].dataType, T.TimestampNTZType):
+        return newest.select(F.expr("timestampadd(MICROSECOND, us, TIMESTAMP_NTZ'1970-01-01 00:00:00')").alias("newest"))
+    return newest.select(F.timestamp_micros("us").alias("newest"))
 
 
 def _ordered(df: DataFrame, desc: bool = False) -> DataFrame:
@@ -146,6 +149,6 @@ def range_preset(flagged: DataFrame, preset: str, anchor: dt.datetime | None = N
     """The flag series over ``now-<preset> .. now``; ``now`` defaults to the newest reading."""
     anchor = anchor or latest_ts(flagged)
     if anchor is None:  # an empty table has no newest reading
-        return flag_series(flagged.where(F.lit(False)), dt.datetime.min, dt.datetime.max)
+        return flag_series(flagged.where(F.lit(False)), dt.datetime(1970, 1, 1), dt.datetime(1970, 1, 1))
     start, end = preset_range(preset, anchor)
     return flag_series(flagged, start, end)

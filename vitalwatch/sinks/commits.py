@@ -177,14 +177,18 @@ def _once(df: DataFrame, parts: dict[str, int], key: tuple[str, ...]) -> DataFra
 
 
 def read_table(spark: SparkSession, path: str, by: str | None = None, key: tuple[str, ...] | None = None,
-               run: str | None = None) -> DataFrame:
+               run: str | None = None, empty: T.StructType | None = None) -> DataFrame:
     """The rows of all live commits (of one run); with ``key`` one row per key, as after a compaction.
 
+    A table without a commit has no columns yet: it has those of ``empty``, or is an error.
+
     Days that one commit wrote with that key need no second look.
     """
     found = entries(spark, path)
     own = {p for e in found if run is None or e.run == run for p in e.parts}
     if not any(run is None or e.run == run for e in found):
+        if empty is not None:
+            return spark.createDataFrame([], empty)
         raise FileNotFoundError(f"no committed table at {path}")
     parts = {p: s for p, s in live_parts(found).items() if p in own}
     if key is None:

@@ -39,22 +39,18 @@ def write_checked(df: DataFrame, path: str, rejected: str, run: str, batch_id: i
                   rules: dict[str, Column] | None = None) -> dict[str, int] | None:
     """Commit the rows that meet every constraint to ``path`` and the others to ``rejected``.
 
-    Returns the counts (``stored`` and one per constraint), or None where (run, batch) is committed already.
+    Returns the counts (``stored`` and one per constraint), or None where (run, batch) is stored already: then
+    only rejected rows that a stop between the two commits left out are added.
     """
-    spark, names = df.sparkSession, list(rules or constraints())
-    if commits.is_committed(spark, path, run, batch_id) and commits.is_committed(spark, rejected, run, batch_id):
-        return None
+    names = list(rules or constraints())
     seen = Observation()
     told = with_broken(df, rules)
     watched = told.observe(seen, F.count_if(F.col(BROKEN).isNull()).alias("stored"),
                            *[F.count_if(F.col(BROKEN) == n).alias(n) for n in names])
+    bad = with_sink_columns(told).drop(DATE).where(F.col(BROKEN).isNotNull())
+    counts = None
     if write_batch(watched.where(F.col(BROKEN).isNull()).drop(BROKEN), path, batch_id, run):
         counts = {k: int(v) for k, v in seen.get.items()}
-    else:  # a replay after a stop between the two commits
-        row = told.groupBy().agg(F.count_if(F.col(BROKEN).isNull()).alias("stored"),
-                                 *[F.count_if(F.col(BROKEN) == n).alias(n) for n in names]).first()
-        counts = row.asDict()
-    bad = with_sink_columns(told).drop(DATE)
-    rows = bad.where(F.col(BROKEN).isNotNull()) if any(counts[n] for n in names) else spark.createDataFrame([], bad.schema)
-    commits.commit(rows, rejected, run, batch_id)
+    if any(counts[n] for n in names) if counts else not bad.isEmpty():
+        commits.commit(bad, rejected, run, batch_id)
     return counts

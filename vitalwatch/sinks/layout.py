@@ -46,13 +46,17 @@ def cuts(df: DataFrame, column: str, n: int, sample: int) -> list[Column]:
 
 
 def write_clustered(df: DataFrame, path: str, files: int, device: str = "device_id", ts: str = "reading_ts", bits: int = 5,
-                    sample: int = 10000, row_group_bytes: int = ROW_GROUP) -> None:
-    """Write ``df`` as about ``files`` files along the Z curve (pick files for some hundred MB each)."""
+                    sample: int = 10000, row_group_bytes: int = ROW_GROUP, options: dict | None = None) -> None:
+    """Write ``df`` as about ``files`` files along the Z curve (pick files for some hundred MB each).
+
+    A row group with few devices lists them in a dictionary, which lookups use like a bloom filter; Parquet
+    writes the filter where the dictionary grows too large.
+    """
     rows = with_sink_columns(df, ts)
     d, t = (_rank(F.col(c), cuts(df.select(device, ts), c, 1 << bits, sample)) for c in (device, ts))
     ranked = rows.withColumn("_d", d).withColumn("_t", t).withColumn("_z", z_value(F.col("_d"), F.col("_t"), bits)).drop("_d", "_t")
     out = ranked.repartitionByRange(files, "_z", device, ts).sortWithinPartitions("_z", device, ts).drop("_z")
-    out.write.mode("overwrite").options(**WRITER).option("parquet.block.size", row_group_bytes).parquet(path)
+    out.write.mode("overwrite").options(**(WRITER | (options or {}))).option("parquet.block.size", row_group_bytes).parquet(path)
 
 
 def device_history(spark: SparkSession, path: str, device_id: str, start=None, end=None, device: str = "device_id",

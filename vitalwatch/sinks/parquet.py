@@ -25,18 +25,21 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sizing import micros
 from . import commits
 
 KEY = ("device_id", "reading_ts")
-DATE = "reading_date"
+DATE, MICROS = "reading_date", "reading_us"
+OWN_COLUMNS = (DATE, MICROS, "created_at")
 # a lookup of one device skips row groups by the filter where min and max cannot
 WRITER = {"parquet.bloom.filter.enabled#device_id": "true"}
 
 
 def with_sink_columns(df: DataFrame, ts: str = "reading_ts") -> DataFrame:
-    """The table's own columns: date partition, ``created_at`` (write time) and
-    ``is_anomaly`` kept non-null (default false)."""
-    out = df.withColumn(DATE, F.to_date(F.col(ts)))
+    """The table's own columns: date partition, the time in microseconds (whole numbers have minima and maxima
+    in the footers that aggregates can be pushed to), ``created_at`` (write time) and ``is_anomaly`` kept
+    non-null (default false)."""
+    out = df.withColumn(DATE, F.to_date(F.col(ts))).withColumn(MICROS, micros(df, ts))
     if "created_at" not in out.columns:
         out = out.withColumn("created_at", F.current_timestamp())
     if "is_anomaly" in out.columns:

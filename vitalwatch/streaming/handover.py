@@ -18,7 +18,7 @@ from ..operators.sizing import micros
 from ..thresholds import DEFAULT, Thresholds
 from .job import TIME_TEXT, from_step, to_step
 from .kernel import Past, flag_rows
-from .processor import DetectProcessor, join_rows, step_schema, take, unpack_rows
+from .processor import PACKED, DetectProcessor, join_rows, take, unpack_rows
 
 TIES = ("partition", "offset", "event_id")
 
@@ -69,14 +69,15 @@ def drain(spark: SparkSession, checkpoint: str, raw: DataFrame, th: Thresholds =
     rows = state("waiting", F.col("list_element.rows").alias("rows")).withColumn("past", F.lit(None).cast("binary"))
     step = DetectProcessor(arrival, th, gap_seconds)
 
-    def finish(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def finish(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         held = [unpack_rows(bytes(r)) for r in pdf["rows"] if r is not None]
         if not held:
-            return pd.DataFrame({c: [] for c in step.names})
+            return pd.DataFrame({"device_id": [], "rows": []})
         cols = join_rows(held)
         known = [bytes(p) for p in pdf["past"] if p is not None]
         cols = take(cols, step.event_order(cols))
-        return step.frame(key, flag_rows(cols, Past.load(known[0], th) if known else Past.new(th), th, step.gap_us), False)
+        past = Past.load(known[0], th) if known else Past.new(th)
+        return pd.DataFrame({"device_id": [key[0]], "rows": [step.packed(flag_rows(cols, past, th, step.gap_us))]})
 
-    out = past.unionByName(rows).groupBy("device_id").applyInPandas(finish, step_schema(th))
+    out = past.unionByName(rows).groupBy("device_id").applyInPandas(finish, PACKED)
     return from_step(out, payload, good.schema["reading_ts"].dataType, th)

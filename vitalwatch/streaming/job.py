@@ -28,9 +28,11 @@ from ..functions.parse import forward, parse_messages, to_message
 from ..operators.rules import add_rule_flags
 from ..operators.sizing import micros
 from ..sinks.commits import commit, query_run
+from ..sinks.constraints import write_checked
 from ..sinks.parquet import identity, write_batch
 from ..thresholds import DEFAULT, Thresholds
-from .processor import DetectProcessor, step_schema
+from .accounting import counted
+from .processor import PACKED, DetectProcessor, spread_out, step_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -89,9 +91,10 @@ def to_step(good: DataFrame, arrival: tuple[str, ...], th: Thresholds) -> tuple[
 
 
 def from_step(out: DataFrame, payload: T.StructType, reading_ts: T.DataType, th: Thresholds) -> DataFrame:
-    """The rows of the step with all their columns: rules again, counts, means and flags of each trend, ``is_anomaly``."""
+    """The rows of the step (``PACKED``) with all their columns: rules again, counts, means and flags of each trend, ``is_anomaly``."""
     ts = (F.expr("timestampadd(MICROSECOND, vw_us, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
           if isinstance(reading_ts, T.TimestampNTZType) else F.timestamp_micros("vw_us"))
+    out = out.mapInArrow(spread_out(th), step_schema(th))
     had = lambda i: F.col("vw_has").bitwiseAND(F.lit(1 << i)) != 0
     wide = out.select("device_id", ts.alias("reading_ts"), F.from_json("vw_payload", payload).alias("_p") if payload.fields else F.lit(None).alias("_p"),
                       *[F.when(had(i), F.col(t.metric)).alias(t.metric) for i, t in enumerate(th.trends)],
@@ -143,7 +146,7 @@ def flag_stream(raw: DataFrame, th: Thresholds = DEFAULT, gap_seconds: float | N
     proc = DetectProcessor(arrival, th, gap_seconds, wait, state_ttl_ms, idle_ms)
     timed = state_ttl_ms is not None or idle_ms is not None
     out = narrow.groupBy("device_id").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=step_schema(th), outputMode="Append",
+        statefulProcessor=proc, outputStructType=PACKED, outputMode="Append",
         timeMode="ProcessingTime" if timed else "None",
         initialState=None if initial is None else initial.groupBy("device_id"))
     return from_step(out, payload, good.schema["reading_ts"].dataType, th)
@@ -185,8 +188,9 @@ def run_of(batch: DataFrame) -> str:
     return run
 
 
-def quarantine_stream(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    parsed = parse_messages(raw, keep=keep)
+def quarantine_stream(raw: DataFrame, keep: tuple[str, ...] = (), mode: str = "strict") -> DataFrame:
+    """Bad messages with their text and reason; every message is counted by reason on the way (``accounting``)."""
+    parsed = counted(parse_messages(raw, keep=keep, mode=mode))
     return parsed.where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
 
 
@@ -203,7 +207,8 @@ def batch_writer(readings_path: str, alerts_path: str, th: Thresholds = DEFAULT,
                  with_means: bool = False, then=None):
     """``foreachBatch`` function: readings, alerts and late rows, committed under (run, batch).
 
-    A replay adds nothing and another run overwrites nothing. Late rows go to ``late_path`` (default:
+    A replay adds nothing and another run overwrites nothing. Rows that break a constraint of the table
+    (:mod:`vitalwatch.sinks.constraints`) go beside the readings as rejected, with its name. Late rows go to ``late_path`` (default:
     beside the readings). ``with_means`` keeps the counts and means of the trends in the table.
     ``then(readings, run, batch_id)`` sees the readings of the batch, for instance ``refresh.Refresher``.
     """
@@ -216,12 +221,14 @@ def batch_writer(readings_path: str, alerts_path: str, th: Thresholds = DEFAULT,
             means = () if with_means else [c for c in batch.columns if c.startswith(("cnt_", "avg_"))]
             on_time = batch.where(~F.col(LATE))
             readings = on_time.drop("alert", LATE, TIME_TEXT, *means)
-            if not write_batch(readings, readings_path, batch_id, own):
+            if write_checked(readings, readings_path, f"{readings_path.rstrip('/')}_rejected", own, batch_id) is None:
                 # a replay of what is stored: the state of the step still needs every row of the batch
                 batch.write.format("noop").mode("overwrite").save()
             alerts = alert_rows(on_time.where(F.col("alert")), th, filter_anomalies=False, ts_text=TIME_TEXT)
             write_batch(alerts, alerts_path, batch_id, own)
-            commit(late_rows(batch), aside, own, batch_id)
+            late = late_rows(batch)
+            if not late.isEmpty():
+                commit(late, aside, own, batch_id)
             if then is not None:
                 then(readings, own, batch_id)
         finally:
@@ -244,7 +251,7 @@ def start(raw: DataFrame, readings_path: str, alerts_path: str, quarantine_path:
     flagged = flag_stream(raw, **kw)
     q1 = (flagged.writeStream.foreachBatch(batch_writer(readings_path, alerts_path))
           .option("checkpointLocation", f"{checkpoint}/detect").trigger(**trigger).start())
-    q2 = (quarantine_stream(raw, keep=kw.get("keep", ())).writeStream.format("parquet")
+    q2 = (quarantine_stream(raw, keep=kw.get("keep", ()), mode=kw.get("mode", "strict")).writeStream.format("parquet")
           .option("path", quarantine_path)
           .option("checkpointLocation", f"{checkpoint}/quarantine").trigger(**trigger).start())
     return q1, q2

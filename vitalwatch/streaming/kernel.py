@@ -12,45 +12,40 @@ import numpy as np
 from ..thresholds import Thresholds, TrendRule
 
 
-def trend_step(values: np.ndarray, history: np.ndarray, size: int, rule: TrendRule,
-               present: np.ndarray | None = None):
-    """Windows over the last ``size`` non-null values, current one included.
-
-    ``values`` holds the batch's values in order, ``present`` tells which rows have
-    one (by default those that are not NaN; a NaN that is present is a value, as in
-    the batch window), ``history`` the last ``size`` values seen before. Returns
-    (count, mean, flag, new history); count and mean are 0 / NaN on rows without a value.
+def trend_steps(values: np.ndarray, present: np.ndarray, history: list[np.ndarray], size: int, rules: tuple[TrendRule, ...]):
+    """Windows over the last ``size`` non-null values of every metric, current one included.
+
+    ``values`` (metric x row) holds the batch's rows in order, ``present`` tells which have a value (a NaN that
+    is present is a value, as in the batch window), ``history`` the last ``size`` values of each metric seen
+    before. Returns (counts, means, flags, new history); counts and means are 0 and NaN on rows without a value.
     """
-    n = len(values)
-    cnt = np.zeros(n, dtype=np.int64)
-    avg = np.full(n, np.nan)
-    flag = np.zeros(n, dtype=bool)
-    present = ~np.isnan(values) if present is None else present
-    new = values[present]
-    if len(new) == 0:
-        return cnt, avg, flag, history
-    lead = history[-(size - 1):] if size > 1 else history[:0]
-    seq = np.concatenate([lead, new])
-    pos = np.arange(len(lead), len(seq))  # index of each new value in seq
-    start = np.maximum(pos - (size - 1), 0)
-    c = pos - start + 1
+    k, n = values.shape
+    new = [values[i, present[i]] for i in range(k)]
+    longest, lead = max(map(len, new)), size - 1
+    # values of a metric without gaps, new ones from column ``lead`` on; what is missing adds zero
+    line = np.zeros((k, lead + longest))
+    had = np.zeros(k, np.int64)
+    for i, (old, more) in enumerate(zip(history, new, strict=True)):
+        old = old[len(old) - lead:] if len(old) > lead else old
+        had[i] = len(old)
+        line[i, lead - len(old):lead], line[i, lead:lead + len(more)] = old, more
     # plain sum of the window, oldest value first, as the batch window adds it
-    total = np.zeros(len(pos))
-    for back in range(size - 1, -1, -1):
-        at = pos - back
-        total = np.where(at >= start, total + seq[np.maximum(at, 0)], total)
-    a = total / c
-    x = new
-    if rule.kind == "mul_above":
-        hit = x > a * rule.amount
-    elif rule.kind == "add_above":
-        hit = x > a + rule.amount
-    else:
-        hit = x < a * rule.amount
-    cnt[present] = c
-    avg[present] = a
-    flag[present] = (c == size) & hit
-    return cnt, avg, flag, seq[-size:]
+    total = line[:, :longest].copy()
+    for j in range(1, size):
+        total += line[:, j:j + longest]
+    count = np.minimum(had[:, None] + np.arange(1, longest + 1), size)
+    mean = total / count
+    x = line[:, lead:]
+    amount = np.array([r.amount for r in rules])[:, None]
+    times, above = (np.array([r.kind in kinds for r in rules])[:, None] for kinds in (("mul_above", "mul_below"), ("mul_above", "add_above")))
+    bound = np.where(times, mean * amount, mean + amount)
+    hit = np.where(above, x > bound, x < bound) & (count == size)
+    counts, means, flags = np.zeros((k, n), np.int64), np.full((k, n), np.nan), np.zeros((k, n), bool)
+    # the j-th value of a metric, in row order, back on its row
+    filled = np.arange(longest)[None, :] < np.array([len(v) for v in new])[:, None]
+    counts[present], means[present], flags[present] = count[filled], mean[filled], hit[filled]
+    after = [np.concatenate([old, more])[-size:] if len(more) else old for old, more in zip(history, new, strict=True)]
+    return counts, means, flags, after
 
 
 def cooldown_step(times_us: np.ndarray, last_us: int | None, gap_us: int):
@@ -97,21 +92,19 @@ class Past:
 def flag_rows(cols: dict[str, np.ndarray], past: Past, th: Thresholds, gap_us: int) -> dict[str, np.ndarray]:
     """Rows of one device in their final order, with means, packed counts (8 bits a trend) and
     flags (a bit a trend), and alerts; ``past`` moves on."""
-    n = len(cols["vw_us"])
-    counts, flags = np.zeros(n, np.int64), np.zeros(n, np.int32)
-    has = cols["vw_has"].astype(np.int64)
-    out = dict(cols)
-    for i, t in enumerate(th.trends):
-        cnt, avg, flag, past.history[i] = trend_step(cols[t.metric].astype(float), past.history[i], th.history, t,
-                                                     (has >> i & 1).astype(bool))
-        out[f"avg_{t.metric}"] = avg  # NaN where no value: NULL by the count afterwards
-        counts |= cnt << (8 * i)
-        flags |= flag.astype(np.int32) << i
+    k = len(th.trends)
+    values = np.stack([cols[t.metric] for t in th.trends]).astype(float)
+    present = (cols["vw_has"].astype(np.int64)[None, :] >> np.arange(k)[:, None] & 1).astype(bool)
+    count, mean, hit, past.history = trend_steps(values, present, past.history, th.history, th.trends)
+    place = np.arange(k)[:, None]
+    counts, flags = (count << 8 * place).sum(0), (hit.astype(np.int64) << place).sum(0)
+    # a mean is NaN where there is no value: NULL by the count afterwards
+    out = cols | {f"avg_{t.metric}": mean[i] for i, t in enumerate(th.trends)}
     anomalous = np.flatnonzero(cols["rule_any"].astype(bool) | (flags != 0))
     times = cols["vw_us"][anomalous]
     # greedy over running event times: a row out of order never lies a gap after the last alert
     keep, last = cooldown_step(np.maximum.accumulate(times), None if past.last_us == NEVER else past.last_us, gap_us)
     past.last_us = NEVER if last is None else last
-    alert = np.zeros(n, bool)
+    alert = np.zeros(len(flags), bool)
     alert[anomalous[keep]] = True
     return out | {"vw_counts": counts, "vw_trends": flags, "alert": alert}

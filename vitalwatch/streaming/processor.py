@@ -39,8 +39,14 @@ STATE = T.StructType([T.StructField("past", T.BinaryType())])
 CHUNK = T.StructType([T.StructField("rows", T.BinaryType())])
 
 
+# What leaves the step: one value per device and call. A data frame of two dozen columns for a few
+# rows costs several times the work on them, so rows are spread out for many devices at once afterwards.
+PACKED = T.StructType([T.StructField("device_id", T.StringType()), T.StructField("rows", T.BinaryType())])
+WHOLE = ("vw_us", "vw_has", "vw_counts", "vw_trends", "alert", "late")
+
+
 def step_schema(th: Thresholds) -> T.StructType:
-    """What comes out: the rows, counts and flags of the trends packed into two numbers."""
+    """The rows after the step, counts and flags of the trends packed into two numbers."""
     return T.StructType(
         [T.StructField("device_id", T.StringType()), T.StructField("vw_us", T.LongType()), T.StructField("vw_payload", T.StringType()),
          T.StructField("vw_has", T.IntegerType())]
@@ -50,6 +56,41 @@ def step_schema(th: Thresholds) -> T.StructType:
            T.StructField("alert", T.BooleanType()), T.StructField("late", T.BooleanType())])
 
 
+def pack_out(cols: dict[str, np.ndarray], th: Thresholds) -> bytes:
+    """Whole numbers, doubles and payloads (JSON texts hold no line end) of one device's rows."""
+    n = len(cols["vw_us"])
+    numbers = np.stack([cols[c].astype("<i8") for c in WHOLE])
+    doubles = np.stack([cols[f"{p}{t.metric}"].astype("<f8") for p in ("", "avg_") for t in th.trends])
+    return np.int64(n).tobytes() + numbers.tobytes() + doubles.tobytes() + "\n".join(cols["vw_payload"].tolist()).encode()
+
+
+def spread_out(th: Thresholds):
+    """Arrow batches of packed devices to batches of rows (``step_schema``)."""
+    metrics = [f"{p}{t.metric}" for p in ("", "avg_") for t in th.trends]
+    names = [f.name for f in step_schema(th).fields]
+    kinds = {"vw_has": pa.int32(), "vw_trends": pa.int32(), "alert": pa.bool_(), "late": pa.bool_()}
+
+    def run(batches):
+        for b in batches:
+            sizes, numbers, doubles, texts = [], [], [], []
+            for data in b.column(1).to_pylist():
+                n = int(np.frombuffer(data, "<i8", 1)[0])
+                a, e = 8 + 8 * n * len(WHOLE), 8 + 8 * n * (len(WHOLE) + len(metrics))
+                sizes.append(n)
+                numbers.append(np.frombuffer(data[8:a], "<i8").reshape(-1, n))
+                doubles.append(np.frombuffer(data[a:e], "<f8").reshape(-1, n))
+                texts += data[e:].decode().split("\n")
+            if not sizes:
+                continue
+            whole, real = np.concatenate(numbers, axis=1), np.concatenate(doubles, axis=1)
+            out = {"device_id": b.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))), "vw_payload": pa.array(texts, pa.string())}
+            out |= {c: pa.array(whole[i]).cast(kinds.get(c, pa.int64())) for i, c in enumerate(WHOLE)}
+            out |= {c: pa.array(real[i]) for i, c in enumerate(metrics)}
+            yield pa.RecordBatch.from_arrays([out[c] for c in names], names=names)
+
+    return run
+
+
 def pack_rows(cols: dict[str, np.ndarray]) -> bytes:
     table = pa.table({k: pa.array(v, from_pandas=False) for k, v in cols.items()})
     sink = pa.BufferOutputStream()
@@ -74,9 +115,10 @@ def take(cols: dict[str, np.ndarray], rows: np.ndarray) -> dict[str, np.ndarray]
 class DetectProcessor(StatefulProcessor):
     def __init__(self, arrival: list[str], th: Thresholds = DEFAULT, gap_seconds: float | None = None, wait_us: int | None = None,
                  ttl_ms: int | None = None, idle_ms: int | None = None):
+        if th.history > 255 or len(th.trends) > 8:
+            raise ValueError("counts leave the step as a byte for each of at most eight trends")
         self.th, self.arrival, self.wait_us, self.ttl_ms, self.idle_ms = th, arrival, wait_us, ttl_ms, idle_ms
         self.gap_us = int(round((th.cooldown_seconds if gap_seconds is None else gap_seconds) * 1e6))
-        self.names = [f.name for f in step_schema(th).fields]
         self.kept = ["vw_us", "vw_payload", "vw_has", "rule_any", *arrival, *(t.metric for t in th.trends)]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -97,32 +139,37 @@ class DetectProcessor(StatefulProcessor):
         past.clock_us = NEVER if pd.isna(r["clock_us"]) else int(r["clock_us"])
         self.state.update((past.dump(),))
 
-    def frame(self, key, cols: dict[str, np.ndarray], late: bool) -> pd.DataFrame:
+    def packed(self, cols: dict[str, np.ndarray], late: bool = False) -> bytes:
         n = len(cols["vw_us"])
-        out = {"device_id": np.full(n, key[0], object), "late": np.full(n, late), **cols}
+        out = cols | {"late": np.full(n, late)}
         if late:
             out |= {f"avg_{t.metric}": np.full(n, np.nan) for t in self.th.trends}
-            out |= {"vw_counts": np.zeros(n, np.int64), "vw_trends": np.zeros(n, np.int32), "alert": np.zeros(n, bool)}
-        return pd.DataFrame({c: out[c] for c in self.names}, copy=False)
+            out |= {c: np.zeros(n, np.int64) for c in ("vw_counts", "vw_trends", "alert")}
+        return pack_out(out, self.th)
+
+    def _told(self, key, rows: list[bytes]) -> pd.DataFrame:
+        return pd.DataFrame({"device_id": [key[0]] * len(rows), "rows": rows})
 
     def handleInputRows(self, key, rows, timerValues):
         frames = list(rows)
         pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         order = np.lexsort([pdf[c].to_numpy() for c in reversed(self.arrival)])
         cols = {c: pdf[c].to_numpy()[order] for c in self.kept}
-        past = self._past()
+        past, out = self._past(), []
         if self.wait_us is not None:
             ts = cols["vw_us"]
             before = np.maximum.accumulate(np.r_[past.clock_us, ts[:-1]])
             late = ts < before - self.wait_us
             past.clock_us = max(past.clock_us, int(ts.max()))
             if late.any():
-                yield self.frame(key, take(cols, np.flatnonzero(late)), True)
+                out.append(self.packed(take(cols, np.flatnonzero(late)), True))
             cols = self._released(take(cols, np.flatnonzero(~late)), past.clock_us - self.wait_us)
             self._wake(timerValues)
         if len(cols["vw_us"]):
-            yield self.frame(key, flag_rows(cols, past, self.th, self.gap_us), False)
+            out.append(self.packed(flag_rows(cols, past, self.th, self.gap_us)))
         self.state.update((past.dump(),))
+        if out:
+            yield self._told(key, out)
 
     def event_order(self, cols: dict[str, np.ndarray]) -> np.ndarray:
         return np.lexsort([cols[c] for c in [*reversed(self.arrival), "vw_us"]])
@@ -158,9 +205,9 @@ class DetectProcessor(StatefulProcessor):
         self.waiting.clear()
         # what comes later and is older than these rows is late
         past.clock_us = max(past.clock_us, int(cols["vw_us"].max()) + self.wait_us)
-        out = self.frame(key, flag_rows(cols, past, self.th, self.gap_us), False)
+        out = self.packed(flag_rows(cols, past, self.th, self.gap_us))
         self.state.update((past.dump(),))
-        yield out
+        yield self._told(key, [out])
 
     def close(self) -> None:
         pass
