@@ -106,6 +106,59 @@ def test_token_files(spark):
         at += len(ids)
 
 
+def test_token_files_at_the_edges(spark, monkeypatch):
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    long = " ".join(f"w{i % 977}" for i in range(90_000))  # ids beyond two blocks
+    rows = [(None, "null id"), (None, long), (3, "same id"), (3, "same id"), (3, "other text"), (4, None), (5, "")]
+    d = spark.createDataFrame([(i, x, 1, "y") for i, x in rows], "doc_id long, text string, shard int, h string")
+    got = tokens.token_round_trip(d, path).collect()
+    want = Counter()
+    for i, x in rows:
+        ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4")
+        want[i, len(ids), zlib.crc32(ids.tobytes())] += 1
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+    by_start = sorted(got, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in by_start] == [None, None, 3, 3, 3, 4, 5]
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(by_start, by_start[1:], strict=False))
+    assert tokens.token_round_trip(d.limit(0), path).count() == 0
+    assert tokens.width(path, 2) == 16 and tokens.width(path, 70_000) == 17
+
+
+def test_random_access_and_width(tmp_path):
+    import pyarrow as pa
+
+    ids = np.random.default_rng(5).integers(0, 70_000, 200_000).astype("<u4")
+    lengths = np.array([1, 0, 150_000, 49_999])
+    w = tokens.ShardWriter(pa.OSFile(str(tmp_path / "x.tok"), "wb"), 17)
+    w.add([1, None], ids[:1], lengths[:2])
+    w.add([2, 3], ids[1:], lengths[2:])
+    w.close()
+    with pa.OSFile(str(tmp_path / "x.tok")) as f:
+        r = tokens.ShardReader(f)
+        assert r.ids.tolist() == [1, 0, 2, 3] and r.nulls.tolist() == [False, True, False, False]
+        for a, b in ((0, 0), (0, 1), (65_535, 65_537), (1, 200_000), (199_999, 200_000)):
+            assert (r.tokens(a, b) == ids[a:b]).all()
+    with pytest.raises(ValueError):
+        tokens.pack(np.array([70_000], "<u4"), 16)
+
+
+def test_encoder_equals_the_library_on_odd_texts():
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    rng = random.Random(12)
+    signs = "abÀé'!<|>/w &#1½٣漢\u0301\u200d\xa0\x0b\x1c\x85\t\n  ΣςİA_~`{}@[]^"
+    texts = ["", " ", "</w> a</w>b <w", "<|endoftext|>x", "İ ß ǅ", *["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(3000)]]
+    e = tokens.Encoder(path, most=500)  # the tables are emptied on the way
+    want = [x.ids for x in e.load().encode_batch(texts, add_special_tokens=False)]
+    got = []
+    for k in range(0, len(texts), 100):
+        ids, lengths = e.encode(texts[k : k + 100])
+        got += [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+    assert got == want
+
+
 def test_apportion_and_mix(spark):
     votes, most = np.array([53.0, 24, 23]), np.array([99, 99, 99])
     quotients = sorted(((v / (2 * k + 1), -i) for i, v in enumerate(votes) for k in range(99)), reverse=True)[:11]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
@@ -29,3 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept(key, make):
+    """One object per Python worker and key, kept from task to task: what a lost worker held is made anew.
+
+    Held by ``sys``, since a worker without this package gets its functions by value, with globals of their own.
+    """
+    held = sys.__dict__.setdefault("_vitalwatch_kept", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]

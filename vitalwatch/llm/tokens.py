@@ -10,7 +10,10 @@ table of documents and the offset of each block:
 Documents go to shards in ascending order of id (nulls first; repeated ids by
 the hash of the text). A task writes under a name of its own attempt and the
 manifest names the file, so what a lost executor leaves behind is never read.
-Null and empty texts hold the end id only. An empty table gives no rows.
+Null and empty texts hold the end id only; a text of any length goes through block by
+block; repeated rows and ids are documents like others; an empty table gives no rows;
+extra columns are not read. The width comes from the tokenizer's size and the end id,
+and an id that does not fit is an error.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import re
 import struct
 import uuid
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,57 +31,150 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import new_path, stored
+from .scratch import kept, new_path, stored
 
 MAGIC, HEAD, BLOCK = b"VWTOKS01", "<8sIIQQ", 65536
 HEAD_SIZE = struct.calcsize(HEAD)
 WORD = re.compile(r"[^ \n\t\r]+")
+# what str.split takes for white space besides: a text with any of it is cut by WORD
+MORE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # letters and ASCII marks whose runs the tokenizer's pattern always parts; no apostrophe, no "<"
 PLAIN = re.compile(r"(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:;=-@\[-`{-~]+)+")
 PART = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:;=-@\[-`{-~]+")
 
 
+class Places(dict):
+    """Text -> place in the order of first sight; a lookup of a new text gives it one."""
+
+    def __missing__(self, text: str) -> int:
+        place = self[text] = len(self)
+        return place
+
+
+class Pool:
+    """Id sequences one after another; sequence i is ids[start[i] : start[i + 1]]."""
+
+    def __init__(self):
+        self.ids, self.start = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids.astype("<u4")])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths, dtype=np.int64)])
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the sequences in this order, length of each)."""
+        lengths = self.start[places + 1] - self.start[places]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[places] - ends + lengths, lengths)
+        return self.ids[at], lengths
+
+
 class Encoder:
-    """Whole texts through the tokenizers library; parts seen before come from a table.
+    """Whole texts through the tokenizers library; words and parts seen before come from a table.
+
+    The tokenizer drops white space and never joins over it, so a text's ids are those of
+    its words, and those of a plain word are those of its runs of letters and of marks. Texts
+    are cut into words by place, new words of many texts are encoded at once, and the ids of
+    all are gathered by numpy. Where the tokenizer ends every run by a token of its own kind
+    (the end-of-word suffix), new runs go through the library as one long text.
+
+    Both tables are emptied at ``most`` entries (bounded memory). The file is read at first use."""
 
-    The tokenizer drops white space and never joins over it, so a text's ids are
-    those of its words; both tables are emptied at ``most`` entries (bounded memory).
-    The file is read at first use, so an encoder travels as a path and a worker
-    that takes several tasks reads it once."""
+    def __init__(self, path: str, most: int = 1_000_000):
+        self.path, self.most, self.t = path, most, None
+        self._empty()
 
-    def __init__(self, path: str, most: int = 400_000):
-        self.path, self.t, self.most, self.words, self.parts = path, None, most, {}, {}
+    def _empty(self) -> None:
+        self.words, self.word_ids, self.parts, self.part_ids = Places(), Pool(), Places(), Pool()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def load(self):
         if self.t is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             self.t = Tokenizer.from_file(self.path)
-        return [np.array(e.ids, "<u4").tobytes() for e in self.t.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        ws = WORD.findall(text)
-        if new := {w for w in ws if w not in self.words}:
-            if len(self.words) + len(new) > self.most:
-                self.words, new = {}, set(ws)
-            if len(self.parts) > self.most:
-                self.parts = {}
-            plain = {w: PART.findall(w.lower()) for w in new if PLAIN.fullmatch(w)}
-            odd = [w for w in new if w not in plain]
-            lack = list({p for ps in plain.values() for p in ps if p not in self.parts})
-            self.parts.update(zip(lack, self._library(lack), strict=True))
-            self.words.update(zip(odd, self._library(odd), strict=True))
-            self.words.update((w, b"".join([self.parts[p] for p in ps])) for w, ps in plain.items())
-        return b"".join(map(self.words.__getitem__, ws))
+            suffix = getattr(self.t.model, "end_of_word_suffix", None)
+            n = self.t.get_vocab_size()
+            self.ends = np.array([(self.t.id_to_token(i) or "").endswith(suffix) for i in range(n)]) if suffix else None
+        return self.t
+
+    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.load().encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
+
+    def _library(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, length of each run)."""
+        out = []
+        t = self.load()
+        for k in range(0, len(runs), 4096):
+            some = runs[k : k + 4096]
+            if self.ends is not None:
+                ids = np.array(t.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == len(some) and (not len(ids) or ends[-1] == len(ids)):
+                    out.append((ids, np.diff(ends, prepend=0)))
+                    continue
+            out.append(self._one_by_one(some))
+        return np.concatenate([i for i, _ in out] or [np.zeros(0, "<u4")]), np.concatenate([n for _, n in out] or [np.zeros(0, np.int64)])
+
+    def _learn(self) -> None:
+        """Ids of the words that have a place but no ids yet."""
+        new = list(islice(self.words, len(self.word_ids), None))
+        if not new:
+            return
+        plain = [PART.findall(w.lower()) if PLAIN.fullmatch(w) else None for w in new]
+        runs = [p for ps in plain if ps is not None for p in ps]
+        places = np.fromiter(map(self.parts.__getitem__, runs), np.int64, len(runs))
+        lack = list(islice(self.parts, len(self.part_ids), None))
+        if lack:
+            self.part_ids.add(*self._library(lack))
+        run_ids, run_lengths = self.part_ids.take(places)
+        odd = [w for w, ps in zip(new, plain, strict=True) if ps is None]
+        odd_ids, odd_lengths = self._one_by_one(odd) if odd else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        # lengths of the words in order; plain ones are sums over their runs
+        n_runs = np.array([-1 if ps is None else len(ps) for ps in plain])
+        is_odd = n_runs < 0
+        lengths = np.zeros(len(new), np.int64)
+        ends = np.cumsum(n_runs[~is_odd])
+        total = np.concatenate([[0], np.cumsum(run_lengths)])
+        lengths[~is_odd] = total[ends] - total[ends - n_runs[~is_odd]]
+        lengths[is_odd] = odd_lengths
+        owner = np.repeat(is_odd, lengths)
+        ids = np.zeros(len(owner), "<u4")
+        ids[~owner], ids[owner] = run_ids, odd_ids
+        self.word_ids.add(ids, lengths)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        if len(self.words) > self.most or len(self.parts) > self.most:
+            self._empty()
+        places, counts = [], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            ws = text.split() if MORE_SPACE.search(text) is None else WORD.findall(text)
+            counts[k] = len(ws)
+            places.append(np.fromiter(map(self.words.__getitem__, ws), np.int64, len(ws)))
+        self._learn()
+        ids, lengths = self.word_ids.take(np.concatenate(places) if places else np.zeros(0, np.int64))
+        total, ends = np.concatenate([[0], np.cumsum(lengths)]), np.cumsum(counts)
+        return ids, total[ends] - total[ends - counts]
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    """``bits`` bits for each id, highest first."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {ids.max()} needs more than {bits} bits")
+    if bits in (8, 16, 32):
+        return ids.astype(f">u{bits // 8}").tobytes()
     wide = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)[:, 32 - bits :]
     return np.packbits(wide.ravel()).tobytes()
 
 
 def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
+    if bits in (8, 16, 32):
+        return np.frombuffer(data, f">u{bits // 8}", n).astype("<u4")
     bit = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits).reshape(n, bits)
     wide = np.zeros((n, 32), np.uint8)
     wide[:, 32 - bits :] = bit
@@ -86,29 +183,34 @@ def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
 
 class ShardWriter:
     def __init__(self, out, bits: int):
-        self.out, self.bits, self.held, self.n_ids = out, bits, b"", 0
+        self.out, self.bits, self.held, self.n_held, self.n_ids = out, bits, [], 0, 0
         self.offsets, self.ids, self.nulls, self.starts, self.at = [HEAD_SIZE], [], [], [0], HEAD_SIZE
         out.write(struct.pack(HEAD, MAGIC, bits, BLOCK, 0, 0))
 
-    def _block(self, data: bytes) -> None:
-        packed = pack(np.frombuffer(data, "<u4"), self.bits)
+    def _block(self, ids: np.ndarray) -> None:
+        packed = pack(ids, self.bits)
         self.out.write(packed)
         self.at += len(packed)
         self.offsets.append(self.at)
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.held += ids
-        self.n_ids += len(ids) // 4
-        self.ids.append(doc_id or 0)
-        self.nulls.append(doc_id is None)
-        self.starts.append(self.n_ids)
-        while len(self.held) >= 4 * BLOCK:
-            self._block(self.held[: 4 * BLOCK])
-            self.held = self.held[4 * BLOCK :]
+    def add(self, doc_ids: list[int | None], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Documents one after another: ``lengths`` cuts ``ids``."""
+        self.starts += (self.n_ids + np.cumsum(lengths)).tolist()
+        self.n_ids += len(ids)
+        self.ids += [i or 0 for i in doc_ids]
+        self.nulls += [i is None for i in doc_ids]
+        self.held.append(ids)
+        self.n_held += len(ids)
+        if self.n_held >= BLOCK:
+            line = np.concatenate(self.held)
+            whole = len(line) // BLOCK * BLOCK
+            for k in range(0, whole, BLOCK):
+                self._block(line[k : k + BLOCK])
+            self.held, self.n_held = [line[whole:]], len(line) - whole
 
     def close(self) -> None:
-        if self.held:
-            self._block(self.held)
+        if self.n_held:
+            self._block(np.concatenate(self.held))
         for x, kind in ((self.offsets, "<u8"), (self.ids, "<i8"), (self.nulls, "u1"), (self.starts, "<u8")):
             self.out.write(np.array(x, kind).tobytes())
         self.out.write(struct.pack(HEAD, MAGIC, self.bits, BLOCK, self.n_ids, len(self.ids)))
@@ -147,20 +249,19 @@ class ShardReader:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, bits: int,
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Writes the shards and returns the manifest (shard, file, n_docs, n_ids), one row per file."""
-    held = docs.sparkSession.sparkContext.broadcast(Encoder(tokenizer))  # a path and empty tables
-
     def run(batches):
-        encoder, writer, shard = held.value, None, None
-        end = np.array([end_id], "<u4").tobytes()
+        encoder, writer, shard = kept(("tokens", tokenizer), lambda: Encoder(tokenizer)), None, None
         store, root = pafs.FileSystem.from_uri(path)
         for b in batches:
-            for no, i, t in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                if writer is None:
-                    shard = no
-                    store.create_dir(root, recursive=True)
-                    name = f"{shard:07d}-{uuid.uuid4().hex}.tok"
-                    writer = ShardWriter(store.open_output_stream(f"{root}/{name}"), bits)
-                writer.add(i, encoder.encode(t or "") + end)
+            numbers, texts = b.column(1).to_pylist(), b.column(2).to_pylist()
+            if writer is None and texts:
+                shard = b.column(0)[0].as_py()
+                store.create_dir(root, recursive=True)
+                name = f"{shard:07d}-{uuid.uuid4().hex}.tok"
+                writer = ShardWriter(store.open_output_stream(f"{root}/{name}"), bits)
+            for k in range(0, len(texts), 256):  # a few texts at a time: bounded memory
+                ids, lengths = encoder.encode([t or "" for t in texts[k : k + 256]])
+                writer.add(numbers[k : k + 256], np.insert(ids, np.cumsum(lengths), end_id), lengths + 1)
         if writer is not None:
             writer.close()
             yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([name]), pa.array([len(writer.ids)], pa.int64()),
@@ -201,9 +302,14 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
             .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
-def token_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2, vocabulary: int = 49408) -> DataFrame:
+def width(tokenizer: str, end_id: int) -> int:
+    """Bits for every id of the tokenizer and the end id."""
+    return max(1, max(Encoder(tokenizer).load().get_vocab_size() - 1, end_id).bit_length())
+
+
+def token_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     path = new_path(docs.sparkSession, "tokens")
     path = path if "://" in path or not path.startswith("file:") else "file://" + path[5:]
     path = path if ":" in path else "file://" + path
-    manifest = write_tokens(docs, path, tokenizer, end_id, max(1, (vocabulary - 1).bit_length()))
+    manifest = write_tokens(docs, path, tokenizer, end_id, width(tokenizer, end_id))
     return read_tokens(manifest, path)
