@@ -1,8 +1,8 @@
 """Quality rules: a threshold table compiled into one projection of built-in functions.
 
-Nulls and empty texts have no words and fail; ties and repeated rows are judged
-one by one; an empty table gives an empty result; extra columns pass through
-``quality_rules`` (measures are added under ``prefix``).
+Nulls and empty texts have no words and fail; a value on a bound is kept (but under 50 words
+fails); repeated rows are judged one by one; very long texts are measured whole; an empty
+table gives an empty result; extra columns pass through ``quality_rules`` whatever their names.
 """
 
 from __future__ import annotations
@@ -21,12 +21,13 @@ RULES = (
     ("length", "n_words", None, 50.0, None),
     ("mean_word", "word_chars", "n_words", 2.0, 15.0),
     ("symbols", "n_symbols", "n_words", None, 0.1),
-    ("dup_lines", "n_dup_lines", "n_lines", None, 0.3),
+    # repeated lines by their share of the words: a short boilerplate line that repeats in a text of few lines stays
+    ("dup_lines", "n_dup_words", "n_words", None, 0.3),
     ("repeats", "n_repeat_words", "n_words", None, 0.5),
     ("stop_words", "n_stop_words", "n_words", 0.02, None),
 )
-# Repeated lines by their share of the words: a short boilerplate line that repeats in a text of few lines stays
-WORD_RULES = tuple(("dup_lines", "n_dup_words", "n_words", None, 0.3) if r[0] == "dup_lines" else r for r in RULES)
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_dup_words", "n_stop_words", "n_repeat_words")
 
 
 def _let(value: Column, body) -> Column:
@@ -90,10 +91,31 @@ def verdict(measure, rules=RULES) -> Column:
     return kept
 
 
+def judged(text: Column, rules=RULES) -> Column:
+    """One row of all measures, ``base_failed`` and ``kept``, as an array for ``inline``.
+
+    They leave through a generator, so a later filter on the verdict is not pushed below it, where the text
+    would be measured once for each rule.
+    """
+    m = F.struct(*[c.alias(k) for k, c in measures(text).items()])
+
+    def row(x: Column) -> Column:
+        failed = (x["n_words"] < 50) | (F.lit(100) * x["n_repeat_words"] > F.lit(50) * x["n_words"])
+        return F.struct(*[x[k].alias(k) for k in MEASURES], failed.alias("base_failed"), (~failed & verdict(lambda k: x[k], rules)).alias("kept"))
+
+    return F.transform(F.array(m), row)
+
+
 def quality_rules(docs: DataFrame, text: str = "text", rules=RULES, prefix: str = "q_") -> DataFrame:
-    """All columns of ``docs``, the measures and ``base_failed``, ``kept`` under ``prefix``."""
-    m = docs.withColumns({prefix + k: v for k, v in measures(F.col(text)).items()})
-    col = lambda k: F.col(prefix + k)
-    failed = (col("n_words") < 50) | (F.lit(100) * col("n_repeat_words") > F.lit(50) * col("n_words"))
-    return m.withColumns({prefix + "base_failed": failed,
-                          prefix + "kept": ~failed & verdict(col, rules)})
+    """All columns of ``docs``, the measures and ``base_failed``, ``kept`` under ``prefix`` (which takes more
+    underscores in front until no column of ``docs`` begins with it)."""
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    m = docs.select(F.struct(*docs.columns).alias("row"), F.inline(judged(F.col(text), rules)))
+    return m.select("row.*", *[F.col(k).alias(prefix + k) for k in (*MEASURES, "base_failed", "kept")])
+
+
+def kept_documents(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects; columns may have any name."""
+    m = docs.select(F.struct(*docs.columns).alias("row"), F.inline(judged(F.col(text), rules)))
+    return m.where("kept").select("row.*")
