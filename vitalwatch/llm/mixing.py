@@ -130,13 +130,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     m = mix(docs, **options).select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "full", "spans", "size")
     m = m.groupBy("_d", "_k").agg(F.sum("full").alias("_full"), F.flatten(F.collect_list("spans")).alias("_spans"),
                                   F.first("size").alias("_size"), F.count("*").alias("_n"))
-    one = docs.withColumn("_t", F.xxhash64("text")).dropDuplicates(["doc_id", "_t"])
-    j = one.join(m, one["doc_id"].eqNullSafe(m["_d"]) & (one["_t"] == m["_k"]))
-    whole = F.filter(F.array_repeat(F.col("text"), F.col("_full").cast("int")), lambda x: x.isNotNull())
-    ws = F.filter(F.split("text", SPACE), lambda w: w != "")
-    parts = F.transform("_spans", lambda s: F.when((s["b"] - s["a"]) == F.col("_size"), F.col("text")).otherwise(
+    # the row travels as one value, so no column of it can meet a name used here
+    one = (docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.col("text").alias("t"), F.xxhash64("text").alias("u"))
+           .dropDuplicates(["doc_id", "u"]))
+    j = one.join(m, one["doc_id"].eqNullSafe(m["_d"]) & (one["u"] == m["_k"]))
+    whole = F.filter(F.array_repeat(F.col("t"), F.col("_full").cast("int")), lambda x: x.isNotNull())
+    ws = F.filter(F.split("t", SPACE), lambda w: w != "")
+    parts = F.transform("_spans", lambda s: F.when((s["b"] - s["a"]) == F.col("_size"), F.col("t")).otherwise(
         F.array_join(F.slice(ws, (s["a"] + 1).cast("int"), (s["b"] - s["a"]).cast("int")), " ")))
-    j = j.withColumn("_text", F.explode(F.concat(whole, parts)))
-    cols = [F.col("_text").alias("text") if c == "text" else
-            F.length("_text").cast("long").alias("n_chars") if c == "n_chars" else one[c] for c in docs.columns]
-    return j.select(*cols)
+    j = j.select("row", F.explode(F.concat(whole, parts)).alias("new"))
+    return j.select(*[F.col("new").alias("text") if c == "text" else
+                      F.length("new").cast("long").alias("n_chars") if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns])

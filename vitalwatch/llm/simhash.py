@@ -220,3 +220,15 @@ def simhash_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
     by_fp = named.join(least, "c").select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` of which one of each near-duplicate group stays: that of the smallest id, rows
+    without an id last. Rows are told apart by id and text, so repeated ids replace each other within a
+    group only. Columns may have any name."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(doc_id, text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    groups = simhash_classes(rows.select("key", "text"), doc_id="key", **options).select(F.col("doc_id").alias("key"), "component_id").distinct()
+    first = (rows.select("key", "id").distinct().join(groups, "key").groupBy("component_id")
+             .agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("f")).select("f.key", F.col("f.id").alias("kept_id")))
+    kept = rows.join(first, (rows["key"] == first["key"]) & rows["id"].eqNullSafe(first["kept_id"]), "left_semi")
+    return kept.dropDuplicates(["key", "id"]).select("row.*")
