@@ -52,10 +52,12 @@ def test_quality_weighs_repeated_lines_by_words(spark):
     own = [" ".join(words.split()[i : i + 40]) for i in (0, 40, 80)]
     # one short line four times in a text of seven lines; a long line four times
     texts = ["\n".join([*own, *["Les pages"] * 4]), "\n".join([*own, *[" ".join(own[0].split()[:20])] * 4])]
-    got = {r["doc_id"]: r for r in quality.quality_rules(docs(spark, texts), rules=quality.WORD_RULES).collect()}
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs(spark, texts)).collect()}
     assert (got[0]["q_n_dup_lines"], got[0]["q_n_dup_words"], got[0]["q_kept"]) == (3, 6, True)
     assert (got[1]["q_n_dup_lines"], got[1]["q_n_dup_words"], got[1]["q_kept"]) == (3, 60, False)
-    assert not quality.quality_rules(docs(spark, texts)).where("doc_id = 0").first()["q_kept"]
+    clash = docs(spark, texts).withColumn("q_kept", F.lit("mine")).withColumn("row", F.lit(7)).withColumn("kept", F.lit(8))
+    assert quality.kept_documents(clash).select("doc_id", "q_kept", "row", "kept").collect() == [(0, "mine", 7, 8)]
+    assert [r["_q_kept"] for r in quality.quality_rules(clash).orderBy("doc_id").collect()] == [True, False]
 
 
 def test_suffix_dedup(spark):
@@ -202,34 +204,68 @@ def test_trie_walk_equals_all_pairs():
     assert {(x, y) for i, j in simhash.walk(some, None, 2) for x, y in zip(i.tolist(), j.tolist(), strict=True)} == want
 
 
+def brute_top(rows, k=10):
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    cut = lambda x: max(-(2**63), min(2**63 - 1, x))
+    want = Counter()
+    for n, (q, v) in enumerate(whole):
+        if q is not None and q % 100 == 0:
+            best = sorted((-cut(sum(x * y for x, y in zip(v, w, strict=False))), i is None, i or 0) for m, (i, w) in enumerate(whole) if m != n)[:k]
+            want.update((q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(best))
+    return want
+
+
+def found_top(spark, rows, **how):
+    v = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, row int, block int")
+    return Counter(tuple(r) for r in topk.top_k(v, F.col("id") % 100 == 0, **how).collect())
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
     rows += [(300 + i, rows[0][1]) for i in range(40)] + [(900, None), (901, [1.0, float("nan")]), (902, [None, 1.0]), (903, [])]
-    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = Counter(tuple(r) for r in topk.top_k(v, F.col("id") % 100 == 0, block=32).collect())
-    whole = {i: [int(np.floor(1024 * x)) for x in e] for i, e in rows if i not in (900, 901, 902)}
-    dot = lambda a, b: sum(x * y for x, y in zip(whole[a], whole[b], strict=False))
-    want = Counter()
-    for q in (i for i in whole if i % 100 == 0):
-        best = sorted((-dot(q, c), c) for c in whole if c != q)[:10]
-        want.update((q, n + 1, c, -s) for n, (s, c) in enumerate(best))
-    assert got == want
+    rows += [(100, rows[7][1]), (100, rows[100][1]), (5, rows[3][1]), (None, rows[0][1]), (None, [2.0] * 6)]
+    assert found_top(spark, rows, block=32, max_edges=3) == found_top(spark, rows) == brute_top(rows)
 
 
-def test_line_dedup(spark):
-    texts = [f"own {i} words here\n common line of all \nshort x" for i in range(12)] + [None, "", "w" * 200_000]
-    d = docs(spark, texts, tuple(f"s{i}" for i in range(12)))
-    got = {r["doc_id"]: r for r in lines.line_dedup(d).collect()}
-    assert got[3]["text"] == "own 3 words here\nshort x" and got[3]["_n_removed"] == 1
-    assert got[12]["text"] is None and got[13]["text"] == "" and got[14]["text"] == "w" * 200_000
+def test_top_k_at_the_edges(spark):
+    assert found_top(spark, []) == Counter()
+    # of a repeated id every row is a candidate
+    few = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [3.0, 0.0]), (2, [2.0, 0.0])]
+    assert found_top(spark, few) == brute_top(few) and found_top(spark, few)[0, 1, 1, 3 * 2**20] == 1
+    assert found_top(spark, [(0, [1.0])]) == Counter()
+    wide = [(0, [1e15, 1.0]), (1, [1e15, 2.0]), (2, [-1e15, 0.0]), (3, [5.0, 5.0])]
+    assert found_top(spark, wide) == brute_top(wide)
 
 
-def test_line_dedup_of_short_lines(spark):
-    texts = [f"own {i}\n Les. \n\nAnd ornd.\n{'few' if i < 9 else i}" for i in range(12)]
+def test_line_dedup(spark):
+    texts = [f"own {i} words here\n common line of all \n Les. \n\nAnd ornd.\n{'few' if i < 9 else i}" for i in range(12)]
+    texts += [None, "", "w" * 200_000, "Les.", "Les."]
     d = docs(spark, texts, tuple(f"s{i}" for i in range(12)))
-    got = {r["doc_id"]: r for r in lines.line_dedup(d, min_words=1).collect()}
-    assert got[3]["text"] == "own 3\n\nfew" and got[3]["_n_removed"] == 2
+    for n_hot in (3, 2000):  # few and all lines hot
+        got = {r["doc_id"]: r for r in lines.line_dedup(d, n_hot=n_hot).collect()}
+        assert got[3]["text"] == "own 3 words here\n\nfew" and got[3]["_n_removed"] == 3
+        assert got[12]["text"] is None and got[13]["text"] == "" and got[14]["text"] == "w" * 200_000
+        assert got[15]["text"] == got[16]["text"] == ""
+
+
+def test_line_dedup_at_the_edges(spark):
+    # a line on exactly ten sites goes, on nine stays; null sites do not count; columns of any name
+    rows = [(1, "ten\nnine" if i < 9 else "ten", f"s{i}" if i < 10 else None, i, i, i, i, i) for i in range(12)] + [(None, "ten", "s0", 0, 0, 0, 0, 0)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, t int, h int, row int, bad int, _n_lines int")
+    got = lines.line_dedup(d).collect()
+    assert Counter(r["text"] for r in got) == {"nine": 9, "": 4}
+    assert sorted((r["t"], r["_n_lines"], r["row"]) for r in got) == sorted((r[3], r[7], r[5]) for r in rows)
+    assert sum(r["__n_removed"] for r in got) == 13
+    assert lines.line_dedup(d.limit(0)).count() == 0
+    # sketch far from the bound and exact counts near it agree with a plain count
+    rng = random.Random(13)
+    pairs = [(f"line {k}", f"s{rng.randrange(1 + k)}") for k in range(30) for _ in range(60)]
+    told = lines.boilerplate(spark.createDataFrame(pairs, "h string, site string"), 10).collect()
+    sites = {}
+    for h, site in pairs:
+        sites.setdefault(h, set()).add(site)
+    assert {r["h"]: r["bad"] for r in told} == {h: len(x) >= 10 for h, x in sites.items()}
 
 
 def test_pieces_best_path():
@@ -262,5 +298,30 @@ def test_url_intervals(spark):
     c = spark.createDataFrame([(1, "http://a.b.c/x/1", 9), (2, "http://a.b.c/x/1", 10), (3, "http://A.b.c:80/y", 39),
                                (4, "http://a.b.c/", 40), (5, "https://u@a.b.c/x?q", 80), (6, None, 5), (7, "nonsense", 20)],
                               "id long, url string, day long")
-    got = {r["id"]: (r["kept"], r["lists"]) for r in urls.url_filter(c, e, 365).collect()}
+    got = {r["id"]: (r["kept"], r["lists"]) for r in urls.url_filter(c, e).collect()}
     assert got == {1: (True, ""), 2: (False, "l"), 3: (False, "l"), 4: (True, ""), 5: (False, "m"), 6: (True, ""), 7: (True, "")}
+
+
+def test_url_path_prefixes_and_open_entries(spark):
+    entries = [("a", "a.com/x/y", 0, True), ("p", "c.com/p", 0, True), ("o", "o.net", 100, True), ("d", "d.org", 5, True), ("d", "d.org", 5, False),
+               ("q", "q.org", 9, False)]
+    e = spark.createDataFrame(entries, "list string, key string, day long, blocks boolean")
+    long = "http://www.c.com/p/" + "z/" * 40_000
+    asked = [("http://a.com/x/y/z", 3, "a"), ("http://a.com/x", 3, ""), ("http://a.com/x/yy", 3, ""), ("http://a.com//x//y", 3, "a"), ("http://w.a.com/x/y?k", 3, "a"),
+             (long, 3, "p"), ("http://x.c.com/p", 3, "p"), ("http://c.com/q", 3, ""), ("http://xc.com/p", 3, ""), ("http://o.net", 99, ""),
+             ("http://o.net", 4000, "o"), ("http://o.net", None, ""), ("http://d.org", 5, "d"), ("http://d.org", 5, "d"), ("http://q.org", 20, ""),
+             ("", 5, ""), (None, None, "")]
+    c = spark.createDataFrame([(i, u, d, "x") for i, (u, d, _) in enumerate(asked)], "id long, url string, day long, month string")
+    for n_hot in (2, 2000):
+        got = urls.url_filter(c, e, n_hot=n_hot).collect()
+        assert {r["id"]: r["lists"] for r in got} == {i: x for i, (_, _, x) in enumerate(asked)} and len(got) == len(asked)
+        assert all(r["kept"] == (r["lists"] == "") for r in got)
+    assert all(r["kept"] for r in urls.url_filter(c, e.limit(0)).collect())
+    assert urls.url_filter(c.limit(0), e).count() == 0
+
+
+def test_mixed_documents_keep_columns_of_any_name(spark):
+    d = spark.createDataFrame([(i, "a b c d " * 40, "en", "s", 320, i, f"r{i}", i) for i in range(6)], DOCS + ", _t int, row string, _spans int")
+    got = mixing.mixed_documents(d).collect()
+    assert got and all(r["_t"] == r["doc_id"] == r["_spans"] and r["row"] == f"r{r['doc_id']}" for r in got)
+    assert mixing.mixed_documents(d.limit(0)).count() == 0

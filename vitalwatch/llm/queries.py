@@ -17,15 +17,7 @@ def op2_quality_rules(spark, sf_dir):
     q = quality.quality_rules(_docs(spark, sf_dir).select("doc_id", "text"))
     return q.select("doc_id", *[F.col(f"q_{c}").alias(c) for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "n_lines", "n_stop_words")])
-
-
-def op2_quality_rules_by_words(spark, sf_dir):
-    """Repeated lines are judged by their share of the words."""
-    q = quality.quality_rules(_docs(spark, sf_dir).select("doc_id", "text"), rules=quality.WORD_RULES)
-    return q.select("doc_id", *[F.col(f"q_{c}").alias(c) for c in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_dup_words", "n_repeat_words", "base_failed", "kept",
-        "n_lines", "n_stop_words")])
+        "n_lines", "n_dup_words", "n_stop_words")])
 
 
 def op6_mixing(spark, sf_dir):
@@ -37,12 +29,6 @@ def op10_line_dedup(spark, sf_dir):
     return d.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
 
 
-def op10_line_dedup_every_line(spark, sf_dir):
-    """Every line that is not blank is judged, also lines of one or two words."""
-    d = lines.line_dedup(_docs(spark, sf_dir).select("doc_id", "source", "text"), min_words=1)
-    return d.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
-
-
 def op4_token_output(spark, sf_dir):
     import public_tokenizers
 
@@ -69,27 +55,38 @@ def op3_suffix_dedup(spark, sf_dir):
 
 
 def op5_url_filters(spark, sf_dir):
-    """Captures are the pages, fetched on a day made from the id; the lists are made from the pages' hosts."""
+    """Captures are the pages, fetched on a day made from the id; the lists are made from the pages' urls: hosts,
+    the hosts' parents, first path segments and, where there are two, both. Some entries never end."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     captures = pages.select(F.col("page_id").alias("id"), "url", ((F.col("page_id") * 7919) % 365).alias("day"))
-    hosts = pages.groupBy(urls.host(F.col("url")).alias("key")).agg(F.min("page_id").alias("p"), F.count("*").alias("n"))
-    hosts = hosts.where("key <> ''")
+    h, path = urls.host(F.col("url")), urls.segments(F.col("url"))
+    parent = F.regexp_extract(h, r"^[^.]+\.(.+\..+)$", 1)
+    some = pages.select("page_id", F.explode(F.array(
+        F.struct(F.lit("host").alias("kind"), h.alias("key")), F.struct(F.lit("parent").alias("kind"), parent.alias("key")),
+        F.struct(F.lit("first").alias("kind"), F.when(F.size(path) > 0, F.concat(h, F.lit("/"), F.get(path, F.lit(0)))).alias("key")),
+        F.struct(F.lit("second").alias("kind"), F.when((parent != "") & (F.size(path) > 1), F.concat(
+            parent, F.lit("/"), F.get(path, F.lit(0)), F.lit("/"), F.get(path, F.lit(1)))).alias("key")))).alias("x")).select("page_id", "x.*")
+    found = some.where("key <> '' and key not like '/%'").groupBy("kind", "key").agg(F.min("page_id").alias("p"), F.count("*").alias("n"))
     since = (F.col("p") * 31) % 300
-    entry = lambda name, day, blocks: hosts.select(F.lit(name).alias("list"), "key", day.alias("day"), F.lit(blocks).alias("blocks"))
-    entries = (entry("spam", since, True).unionByName(entry("spam", since + 20 + F.col("n") % 40, False))
-               .unionByName(entry("phishing", (since + 150) % 300, True))
-               .unionByName(entry("phishing", (since + 150) % 300 + 10, False)))
-    return urls.url_filter(captures, entries, 365).withColumnRenamed("id", "page_id")
+    entry = lambda kind, name, day, blocks: found.where(F.col("kind") == kind).select(
+        F.lit(name).alias("list"), "key", day.alias("day"), F.lit(blocks).alias("blocks"))
+    entries = (entry("host", "spam", since, True).unionByName(entry("host", "spam", since + 20 + F.col("n") % 40, False))
+               .unionByName(entry("host", "phishing", (since + 150) % 300, True))
+               .unionByName(entry("host", "phishing", (since + 150) % 300 + 10, False))
+               .unionByName(entry("parent", "parked", (since + 70) % 300, True)).unionByName(entry("parent", "parked", (since + 70) % 300 + 5, False))
+               .unionByName(entry("first", "section", since, True)).unionByName(entry("first", "section", since + 30, False))
+               .unionByName(entry("second", "open", (since + 60) % 350, True)))
+    return urls.url_filter(captures, entries).withColumnRenamed("id", "page_id")
 
 
 def op8_license_scan(spark, sf_dir):
     """Files are the documents, at source/thousand/hundred/id; those of ids ending in 0 are licence files,
     and of them those of ids ending in 00 lie a directory higher."""
-    docs = _docs(spark, sf_dir).where("doc_id is not null")
+    docs = _docs(spark, sf_dir)
     hundred = F.when(F.col("doc_id") % 100 != 0, F.floor(F.col("doc_id") / 100).cast("string"))
     path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000).cast("string"),
-                       hundred, F.col("doc_id").cast("string"))
-    return licenses.license_scan(docs.select(path.alias("path"), "text", (F.col("doc_id") % 10 == 0).alias("is_file")))
+                       hundred, F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("no-id-"), F.md5(F.coalesce("text", F.lit(""))))))
+    return licenses.license_scan(docs.select(path.alias("path"), "text", F.coalesce(F.col("doc_id") % 10 == 0, F.lit(False)).alias("is_file")))
 
 
 def op11_centroid_clustering(spark, sf_dir):
@@ -105,9 +102,9 @@ def op13_filter_audit(spark, sf_dir):
     return a.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
 
 
-QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op2_quality_rules_by_words, op3_suffix_dedup, op4_token_output, op5_url_filters, op6_mixing,
+QUERIES = {f.__name__: f for f in (op1_pieces, op2_quality_rules, op3_suffix_dedup, op4_token_output, op5_url_filters, op6_mixing,
                                    op7_simhash, op8_license_scan,
-                                   op9_top_k, op10_line_dedup, op10_line_dedup_every_line, op11_centroid_clustering,
+                                   op9_top_k, op10_line_dedup, op11_centroid_clustering,
                                    op12_nearest_neighbours, op13_filter_audit)}
 
 _ROWS, _IDF, _OTHER = licenses.weights()
@@ -125,28 +122,42 @@ d AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_i
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM d, (VALUES (0), (1), (2)) v(k) GROUP BY doc_id),
 m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
-             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+             (len(ws) - len(regexp_extract_all(array_to_string(list_distinct(ls), chr(10)), '[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_dup_words,
+             coalesce(r.n, 0)::BIGINT AS n_repeat_words,
              len(list_filter(ws, lambda x: lower(x) IN ({_STOP})))::BIGINT AS n_stop_words
       FROM w LEFT JOIN r ON w.doc_id = r.doc_id)
 SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND word_chars BETWEEN 2 * n_words AND 15 * n_words
-  AND n_symbols <= 0.1::DOUBLE * n_words AND n_dup_lines <= 0.3::DOUBLE * greatest(n_lines, 1)
+  AND n_symbols <= 0.1::DOUBLE * n_words AND n_dup_words <= 0.3::DOUBLE * greatest(n_words, 1)
   AND n_stop_words >= 0.02::DOUBLE * n_words AS kept FROM m""",
     "op5_url_filters": r"""
 WITH p AS (SELECT page_id, url, (page_id * 7919) % 365 AS day,
        lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)) AS host,
-       regexp_extract(url, '^[^:]+://[^/?#]+/([^/?#]+)', 1) AS seg FROM pages),
-h AS (SELECT host, (min(page_id) * 31) % 300 AS d, count(*) AS n FROM p WHERE host <> '' GROUP BY host),
-e AS (SELECT host, 'spam' AS l, d AS a, d + 20 + n % 40 AS b FROM h
-      UNION ALL SELECT host, 'phishing', (d + 150) % 300, (d + 150) % 300 + 10 FROM h),
-hit AS (SELECT page_id, count(*) AS n, string_agg(DISTINCT l, ',' ORDER BY l) AS ls FROM p, e
-        WHERE (p.host = e.host OR p.host LIKE '%.' || e.host) AND a <= day AND day < b GROUP BY page_id)
+       list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS path FROM pages),
+r AS (SELECT *, regexp_extract(host, '^[^.]+\.(.+\..+)$', 1) AS parent FROM p),
+k AS (SELECT 'host' AS kind, page_id, host AS key FROM r UNION ALL SELECT 'parent', page_id, parent FROM r
+      UNION ALL SELECT 'first', page_id, host || '/' || path[1] FROM r WHERE len(path) > 0
+      UNION ALL SELECT 'second', page_id, parent || '/' || path[1] || '/' || path[2] FROM r WHERE parent <> '' AND len(path) > 1),
+h AS (SELECT kind, key, (min(page_id) * 31) % 300 AS d, count(*) AS n FROM k WHERE key <> '' AND key NOT LIKE '/%' GROUP BY kind, key),
+e AS (SELECT key, 'spam' AS l, d AS a, d + 20 + n % 40 AS b FROM h WHERE kind = 'host'
+      UNION ALL SELECT key, 'phishing', (d + 150) % 300, (d + 150) % 300 + 10 FROM h WHERE kind = 'host'
+      UNION ALL SELECT key, 'parked', (d + 70) % 300, (d + 70) % 300 + 5 FROM h WHERE kind = 'parent'
+      UNION ALL SELECT key, 'section', d, d + 30 FROM h WHERE kind = 'first'
+      UNION ALL SELECT key, 'open', (d + 60) % 350, NULL FROM h WHERE kind = 'second'),
+c AS (SELECT DISTINCT page_id, day, host AS whole, concat_ws('/', '', array_to_string(path[1:j], '/')) AS tail, list_slice(labels, i, len(labels)) AS ls
+      FROM (SELECT *, string_split(host, '.') AS labels FROM r WHERE host <> ''), range(0, 3) t(j), range(1, 20) u(i)
+      WHERE j <= len(path) AND i <= greatest(len(labels) - 1, 1)),
+m AS (SELECT DISTINCT page_id, day, array_to_string(ls, '.') || CASE WHEN tail = '/' THEN '' ELSE tail END AS key FROM c),
+hit AS (SELECT page_id, count(*) AS n, string_agg(DISTINCT l, ',' ORDER BY l) AS ls FROM m JOIN e USING (key)
+        WHERE a <= day AND (b IS NULL OR day < b) GROUP BY page_id)
 SELECT p.page_id, url, day, coalesce(n, 0)::BIGINT AS n_hits, coalesce(ls, '') AS lists, n IS NULL AS kept
 FROM p LEFT JOIN hit USING (page_id)""",
     "op8_license_scan": f"""
 WITH f AS (SELECT concat_ws('/', coalesce(source, 'none'), floor(doc_id / 1000)::BIGINT,
-                  CASE WHEN doc_id % 100 <> 0 THEN floor(doc_id / 100)::BIGINT END, doc_id) AS path,
-                  text, doc_id % 10 = 0 AS is_file FROM documents WHERE doc_id IS NOT NULL),
+                  CASE WHEN doc_id % 100 <> 0 THEN floor(doc_id / 100)::BIGINT END,
+                  coalesce(doc_id::VARCHAR, 'no-id-' || md5(coalesce(text, '')))) AS path,
+                  text, coalesce(doc_id % 10 = 0, false) AS is_file FROM documents),
 known(license, token, w) AS (VALUES {_KNOWN}),
 scale(token, idf) AS (VALUES {_SCALE}),
 l AS (SELECT DISTINCT path, x FROM (SELECT path, unnest(string_split(text, chr(10))) AS x FROM f)
@@ -166,17 +177,17 @@ near AS (SELECT leaf, arg_max(dl, length(dir)) AS dl FROM (SELECT DISTINCT leaf
 SELECT path, coalesce(license, dl) AS license, score, CASE WHEN license IS NOT NULL THEN 'header'
        WHEN dl IS NOT NULL THEN 'directory' ELSE 'none' END AS origin FROM m LEFT JOIN near USING (leaf)""",
     "op9_top_k": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-q AS (SELECT vec_id AS query_id, v AS w FROM v WHERE vec_id % 100 = 0),
-s AS (SELECT query_id, vec_id, list_sum(list_transform(range(1, len(v) + 1), lambda i: v[i] * w[i]))::BIGINT AS score
-      FROM q JOIN v ON vec_id <> query_id)
-SELECT query_id, r::INTEGER AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10""",
+q AS (SELECT r AS own, vec_id AS query_id, v AS w FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT own, query_id, vec_id, list_sum(list_transform(range(1, len(v) + 1), lambda i: v[i] * w[i]))::BIGINT AS score
+      FROM q JOIN v ON r <> own)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s) WHERE n <= 10""",
     "op10_line_dedup": r"""
 WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS x FROM documents),
 b AS (SELECT doc_id, source, regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS k FROM l),
-bad AS (SELECT list(k) AS ks FROM (SELECT k FROM b WHERE len(regexp_extract_all(k, '[^\x20\x09-\x0D]+')) >= 3
+bad AS (SELECT list(k) AS ks FROM (SELECT k FROM b WHERE k <> ''
         GROUP BY k HAVING count(DISTINCT source) >= 10)),
 d AS (SELECT doc_id, text, s, unnest(s) AS x, generate_subscripts(s, 1) AS i
       FROM (SELECT doc_id, text, string_split(text, chr(10)) AS s FROM documents)),
@@ -186,14 +197,6 @@ SELECT doc_id, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '')
        count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed FROM k GROUP BY doc_id
 """,
 }
-# the same statement without the word floor
-ORACLE["op10_line_dedup_every_line"] = ORACLE["op10_line_dedup"].replace(">= 3\n", ">= 1\n")
-# the same statement with repeated lines weighed by their words
-ORACLE["op2_quality_rules_by_words"] = (
-    ORACLE["op2_quality_rules"]
-    .replace("AS n_dup_lines,", "AS n_dup_lines, (len(ws) - len(regexp_extract_all(array_to_string(list_distinct(ls), chr(10)), "
-             "'[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_dup_words,")
-    .replace("n_dup_lines <= 0.3::DOUBLE * greatest(n_lines, 1)", "n_dup_words <= 0.3::DOUBLE * n_words"))
 
 
 def _rounds(rounds: int = 10, k: int = 8) -> str:
