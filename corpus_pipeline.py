@@ -10,25 +10,19 @@ from vitalwatch.llm.scratch import stored
 
 def quality_stage(spark, docs, sf_dir):
     """Documents that the rules reject go; repeated lines count by their words, as the line stage comes later."""
-    return quality.quality_rules(docs, rules=quality.WORD_RULES).where("q_kept").select(*docs.columns)
+    return quality.kept_documents(docs)
 
 
 def line_stage(spark, docs, sf_dir):
     """Boilerplate lines of any length go; documents stay."""
-    d = lines.line_dedup(docs, min_words=1)
+    d = lines.line_dedup(docs)
     return d.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
 def simhash_stage(spark, docs, sf_dir):
     """One row of each near-duplicate group stays, the one of the smallest id; rows without an id come
     last. Rows are told apart by id and text, so repeated ids replace each other within a group only."""
-    rows = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    groups = simhash.simhash_classes(rows, doc_id="_key").select(F.col("doc_id").alias("_key"), "component_id").distinct()
-    first = (rows.select("_key", "doc_id").distinct().join(groups, "_key").groupBy("component_id")
-             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_key")).alias("f"))
-             .select("f._key", F.col("f.doc_id").alias("_d")))
-    kept = rows.join(first, (rows["_key"] == first["_key"]) & rows["doc_id"].eqNullSafe(first["_d"]), "left_semi")
-    return kept.dropDuplicates(["_key", "doc_id"]).select(*docs.columns)
+    return simhash.one_of_each(docs)
 
 
 def mixing_stage(spark, docs, sf_dir):
