@@ -54,14 +54,14 @@ class Places(dict):
 class Pool:
     """Id sequences one after another; sequence i is ids[start[i] : start[i + 1]]."""
 
-    def __init__(self):
-        self.ids, self.start = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+    def __init__(self, kind: str = "<u4"):
+        self.ids, self.start = np.zeros(0, kind), np.zeros(1, np.int64)
 
     def __len__(self) -> int:
         return len(self.start) - 1
 
     def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.ids = np.concatenate([self.ids, ids.astype("<u4")])
+        self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths, dtype=np.int64)])
 
     def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
