@@ -247,6 +247,20 @@ def test_anchor_comes_from_the_footers(spark, scratch):
     assert dashboard.range_preset(empty, "7d").count() == 0
 
 
+def test_last_flag_reads_one_day(spark, scratch):
+    det = detect(readings(spark, SF0001)).select("event_id", *KEY, "is_anomaly")
+    overwrite_days(det, f"{scratch}/t")
+    t = spark.read.parquet(f"{scratch}/t")
+    for end in ("2024-01-31", "2024-01-20 07:00:00"):
+        last = dashboard.newest_flag(t, "2024-01-01", end)
+        assert last.first()[0] == dashboard.last_not_null(det, "2024-01-01", end).first()[0]
+        assert "(reading_date#" in (plan := last._jdf.queryExecution().executedPlan().toString()) and " = 2024-01-" in plan
+    assert dashboard.newest_flag(t, "2030-01-01", "2030-01-02").first()[0] is None
+    assert dashboard.no_value(t, "2030-01-01", "2030-01-02").first()[0] == "N/A"
+    bare = t.withColumn("is_anomaly", F.when(F.col("reading_date") < F.lit("2024-01-10").cast("date"), F.col("is_anomaly")))
+    assert dashboard.newest_flag(bare, "2024-01-01", "2024-01-31").first()[0] == dashboard.last_not_null(bare, "2024-01-01", "2024-01-31").first()[0]
+
+
 def test_errors_are_counted_per_batch(spark, scratch):
     listener = ErrorAccounting()
     spark.streams.addListener(listener)

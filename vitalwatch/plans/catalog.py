@@ -169,7 +169,7 @@ def spark_queries() -> dict[str, Query]:
     q["series_overlay"] = lambda s, d: D.series_overlay(flagged_table(s, d), *RANGE)
     q["top_recent"] = lambda s, d: D.top_recent(flagged_table(s, d), *RANGE)
     q["flag_series"] = lambda s, d: D.flag_series(flagged_table(s, d), *RANGE)
-    q["last_not_null"] = lambda s, d: D.last_not_null(flagged_table(s, d), *RANGE)
+    q["last_not_null"] = lambda s, d: D.newest_flag(flagged_table(s, d), *RANGE)
     q["no_value"] = lambda s, d: D.no_value(flagged_table(s, d), *RANGE)
     q["band"] = lambda s, d: D.bands(flagged_table(s, d), *RANGE)
     q["range_preset"] = range_preset

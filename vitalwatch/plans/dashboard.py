@@ -125,6 +125,22 @@ def last_not_null(flagged: DataFrame, start, end) -> DataFrame:
     return out.agg(F.max_by(F.col("is_anomaly").cast("int"), order).alias("last_flag"))
 
 
+def newest_flag(flagged: DataFrame, start, end) -> DataFrame:
+    """``last_not_null`` over a table with day folders: the newest day in range that holds a flag, and no other.
+
+    The days come from the folder names and footers (no column is read); the flag is nearly always in the first.
+    """
+    if DATE not in flagged.columns:
+        return last_not_null(flagged, start, end)
+    lo, hi = (dt.datetime.fromisoformat(x) if isinstance(x, str) else x for x in (start, end))
+    listed = flagged.where(F.col(DATE).between(F.lit(lo.date()), F.lit(hi.date()))).select(DATE).distinct()
+    for day in sorted((r[0] for r in listed.collect()), reverse=True):
+        found = last_not_null(flagged.where(F.col(DATE) == F.lit(day)), start, end)
+        if found.first()[0] is not None:
+            return found
+    return last_not_null(flagged.where(F.lit(False)), start, end)
+
+
 def band(value: Column, red_from: float) -> Column:
     """Colour step: ``red`` from ``red_from`` up, else ``green``; NULL stays NULL."""
     return F.when(value.isNull(), F.lit(None).cast("string")).when(
@@ -141,7 +157,7 @@ def bands(flagged: DataFrame, start, end) -> DataFrame:
 
 def no_value(flagged: DataFrame, start, end) -> DataFrame:
     """The stat panel text: the last flag, or ``N/A`` when the range is empty."""
-    last = last_not_null(flagged, start, end)
+    last = newest_flag(flagged, start, end)
     return last.select(F.coalesce(F.col("last_flag").cast("string"), F.lit("N/A")).alias("display"))
 
 
