@@ -22,21 +22,20 @@ def words(text):
 
 
 def good(text):
-    ws, lines = words(text), [x for x in (text or "").split("\n") if words(x)]
+    ws, lines = words(text), dict.fromkeys(x for x in (text or "").split("\n") if words(x))
     grams = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
     seen, n = Counter(grams), max(1, len(ws))
     again = {i + k for i, g in enumerate(grams) if seen[g] > 1 for k in range(3)}
     return (len(ws) >= 50 and len(again) <= 0.5 * n and 2 * n <= sum(map(len, ws)) <= 15 * n
-            and sum(c in "#*$%&|<>" for c in text) <= 0.1 * n and len(lines) - len(set(lines)) <= 0.3 * len(lines)
+            and sum(c in "#*$%&|<>" for c in text) <= 0.1 * n and len(ws) - sum(len(words(x)) for x in lines) <= 0.3 * n
             and sum(w.lower() in STOP_WORDS for w in ws) >= 0.02 * n)
 
 
 def without_notes(docs):
     sites = defaultdict(set)
     for source, text in docs.values():
-        for x in text.split("\n"):
-            if len(words(x)) >= 3:
-                sites[x.strip()].add(source)
+        for x in filter(words, text.split("\n")):
+            sites[x.strip()].add(source)
     return {d: (s, "\n".join(x for x in t.split("\n") if len(sites[x.strip()]) < 10)) for d, (s, t) in docs.items()}
 
 
@@ -75,13 +74,19 @@ def test_pipeline(spark, tmp_path):
     rng = random.Random(11)
     some = [*["the", "of", "and"] * 8, *("".join(rng.choice("abcdeio") for _ in range(rng.randint(3, 8))) for _ in range(300))]
     prose = lambda n: "\n".join(" ".join(rng.choice(some) for _ in range(10)) for _ in range(n))
-    texts = [prose(rng.randint(6, 30)) + "\n" + NOTE for _ in range(48)]
+    texts = [prose(rng.randint(6, 30)) + "\n" + NOTE + "\nLes.\n\nLes." for _ in range(48)]
+    texts[3] = prose(6) + "\nLes pages" * 9  # many short repeated lines, few of the words
     texts += [texts[5], texts[5].replace(NOTE, f"  {NOTE} "), texts[7].upper(), None, "", "short text", "a b c " * 40, "# " * 90]
     rows = [(i, t, "en", SOURCES[i % 12], len(t or "")) for i, t in enumerate(texts)]
     pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source", "n_chars"]).to_parquet(tmp_path / "documents.parquet")
 
     want = firsts(without_notes({i: (s, t) for i, t, _, s, _ in rows if good(t)}))
     assert {48, 49, 51, 52, 53, 54, 55}.isdisjoint(want) and all(NOTE not in t for _, t in want.values())
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+    assert {r["doc_id"]: (r["source"], r["text"], r["n_chars"]) for r in docs.collect()} == {d: (x, t, len(t)) for d, (x, t) in want.items()}
+    assert 3 in want and all("Les." not in t for _, t in want.values())
     sizes = Counter()
     for s, t in want.values():
         sizes[s] += len(words(t))
@@ -105,6 +110,31 @@ def test_pipeline_of_no_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+CLASHES = ("_key", "_t", "_bad", "_left", "_text", "_full", "_spans", "q_kept", "kept", "row", "key", "h", "id", "t", "u", "fp", "component_id")
+
+
+def test_stages_keep_columns_of_any_name_and_odd_rows(spark):
+    pytest.importorskip("public_tokenizers")
+    rng = random.Random(15)
+    text = lambda: " ".join(["the", "of"] + ["".join(rng.choice("abcdeio") for _ in range(5)) for _ in range(60)])
+    same = text()
+    rows = [(i, same if i in (2, 5) else text(), SOURCES[i % 3]) for i in range(8)]
+    rows += [(None, text(), None), (3, text(), "s00"), (8, None, "s01"), (9, "", "s01"), (10, text() + " " + "x" * 300_000, "s01"), (0, rows[0][1], SOURCES[0])]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in CLASHES)
+    docs = spark.createDataFrame([(i, t, "en", s, 0, *[k] * len(CLASHES)) for k, (i, t, s) in enumerate(rows)], kinds)
+    docs = corpus_pipeline.quality_stage(spark, docs, "")
+    assert docs.count() == 11 and docs.columns == [f.split()[0].strip("`") for f in kinds.split(", ")]  # long word, null and empty go
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        columns, docs = docs.columns, stage(spark, docs, "")
+        assert docs.columns == columns
+        found = docs.collect()
+        assert found and all(len({r[c] for c in CLASHES}) == 1 and rows[r["row"]][0] == r["doc_id"] for r in found)
+        if stage is corpus_pipeline.simhash_stage:
+            # one of the two copies, one of the repeated rows, every other row
+            assert Counter(r["doc_id"] for r in found) == Counter([0, 1, 2, 3, 3, 4, 6, 7, None])
+    assert corpus_pipeline.STAGES[4][1](spark, docs, "").count() == len(found)
+
+
 def test_line_stage_judges_short_lines(spark):
     rows = [(i, f"own words of {i}\nLes.", "en", SOURCES[i], 0) for i in range(12)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
