@@ -28,9 +28,3 @@ def detect(df: DataFrame, th: Thresholds = DEFAULT, order: tuple[str, ...] = ORD
 def check_hot(df: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> HotKeys:
     """The hot-device check of the readings, to share between detect and cooldown."""
     return hot_keys(df, "device_id", chunk_rows)
-
-
-def flagged(df: DataFrame, th: Thresholds = DEFAULT, order: tuple[str, ...] = ORDER,
-            chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """The sink form: the input columns plus ``is_anomaly``."""
-    return detect(df, th, order, chunk_rows).select(*df.columns, "is_anomaly")

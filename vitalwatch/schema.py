@@ -1,9 +1,7 @@
-"""Record schemas: raw message, parsed reading, flagged reading, alert."""
+"""The metrics of a reading."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Metrics in message order. steps_count is the only integer metric.
 METRICS: tuple[str, ...] = (
     "heart_rate",
@@ -17,44 +15,3 @@ METRICS: tuple[str, ...] = (
     "calories_burned",
     "stress_level",
 )
-DOUBLE_METRICS: tuple[str, ...] = tuple(m for m in METRICS if m != "steps_count")
-
-# One JSON object per message; every field is optional on the wire so that a
-# missing key becomes NULL and can be quarantined instead of failing a task.
-RAW_MESSAGE = T.StructType(
-    [T.StructField("device_id", T.StringType()), T.StructField("timestamp", T.StringType())]
-    + [
-        T.StructField(m, T.IntegerType() if m == "steps_count" else T.DoubleType())
-        for m in METRICS
-    ]
-)
-
-READING = T.StructType(
-    [
-        T.StructField("device_id", T.StringType(), False),
-        T.StructField("reading_ts", T.TimestampType(), False),
-    ]
-    + [
-        T.StructField(m, T.IntegerType() if m == "steps_count" else T.DoubleType())
-        for m in METRICS
-    ]
-)
-
-FLAGGED = T.StructType(list(READING.fields) + [T.StructField("is_anomaly", T.BooleanType(), False)])
-
-ALERT = T.StructType(
-    [
-        T.StructField("device_id", T.StringType(), False),
-        T.StructField("reading_ts", T.TimestampType(), False),
-        T.StructField("subject", T.StringType(), False),
-        T.StructField("body", T.StringType(), False),
-        T.StructField("messages", T.ArrayType(T.StringType(), False), False),
-    ]
-)
-
-QUARANTINE = T.StructType(
-    [
-        T.StructField("raw", T.StringType()),
-        T.StructField("reason", T.StringType(), False),
-    ]
-)
