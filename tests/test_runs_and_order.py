@@ -88,6 +88,20 @@ def test_what_no_entry_names_is_not_read(spark, scratch):
     assert commits.read_table(spark, f"{scratch}/none", empty=rows.schema).count() == 0
 
 
+def test_a_long_manifest_is_folded(spark, scratch, monkeypatch):
+    monkeypatch.setattr(commits, "FOLD_EVERY", 3)
+    path, opened = f"{scratch}/t", []
+    for b in range(8):
+        commits.commit(spark.createDataFrame([(b,)], "k int").coalesce(1), path, "a", b, key=("k",))
+    read = commits.Folder.read
+    monkeypatch.setattr(commits.Folder, "read", lambda self, sub: opened.append(sub) or read(self, sub))
+    found = commits.entries(spark, path)
+    assert [e.batch for e in found] == list(range(8)) and [e.seq for e in found] == list(range(1, 9))
+    assert len(opened) == 3 and opened[0].endswith("folded-000000001.json")  # the folding after six, and two since
+    assert sorted(r["k"] for r in commits.read_table(spark, path).collect()) == list(range(8))
+    assert not commits.commit(spark.createDataFrame([(0,)], "k int"), path, "a", 0)
+
+
 def test_flags_do_not_depend_on_batch_bounds(spark, scratch):
     # nine at 70, then 100 at :30 before 300 at :20 arrives: in arrival order both are flagged, however cut
     rows = [(i, "d", i, 70) for i in range(9)] + [(9, "d", 30, 100), (10, "d", 20, 300)]

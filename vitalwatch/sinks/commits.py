@@ -7,6 +7,7 @@ never seen:
 
     table/data/commit=<run>-<batch>-<attempt>/reading_date=<day>/part-...
     table/_manifest/<run>-<batch>.json      {"seq", "run", "batch", "parts", "replaces", "key", "schema"}
+    table/_manifest/folded-<number>.json    all entries up to then
 
 * ``run`` is the streaming query's id. It is kept in the checkpoint, so a restart goes
   on under the same run, and a query on a new checkpoint is a new run that overwrites
@@ -19,8 +20,10 @@ never seen:
   :func:`read_table` with that key gives the same rows before.
 * :func:`vacuum` removes folders that no live entry names.
 
-The manifest has one entry per micro-batch since the last compaction of all days; a
-part is one day of one commit, so a compaction reads the days it rewrites only.
+The manifest has one small file per micro-batch. Every ``FOLD_EVERY`` commits, and at each
+compaction, all entries are folded into one file, so a reader opens that one and the few
+files since; a commit itself only lists names. A part is one day of one commit, so a
+compaction reads the days it rewrites only.
 """
 
 from __future__ import annotations
@@ -28,13 +31,14 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DATA, MANIFEST, COMMIT = "data", "_manifest", "commit"
+DATA, MANIFEST, COMMIT, FOLDED = "data", "_manifest", "commit", "folded-"
+FOLD_EVERY = 256
 
 
 class Folder:
@@ -96,17 +100,34 @@ class Entry:
     schema: str
 
 
+def _names(folder: Folder) -> tuple[list[str], list[str]]:
+    """(entries, foldings), both sorted by name."""
+    names = [n for n in folder.names(MANIFEST) if n.endswith(".json") and not n.startswith(".")]
+    return [n for n in names if not n.startswith(FOLDED)], [n for n in names if n.startswith(FOLDED)]
+
+
+def _entry(name: str, e: dict) -> Entry:
+    return Entry(name, e["seq"], e["run"], e["batch"], tuple(e["parts"]), tuple(e["replaces"]), tuple(e["key"]), e["schema"])
+
+
 def entries(spark: SparkSession, path: str) -> list[Entry]:
     folder = Folder(spark, path)
-    out = []
-    for name in folder.names(MANIFEST):
-        if name.endswith(".json") and not name.startswith("."):
-            e = json.loads(folder.read(f"{MANIFEST}/{name}"))
-            out.append(Entry(name, e["seq"], e["run"], e["batch"], tuple(e["parts"]), tuple(e["replaces"]),
-                             tuple(e["key"]), e["schema"]))
+    names, foldings = _names(folder)
+    known = json.loads(folder.read(f"{MANIFEST}/{foldings[-1]}")) if foldings else []
+    out = [_entry(e["name"], e) for e in known]
+    held = {e.name for e in out}
+    out += [_entry(n, json.loads(folder.read(f"{MANIFEST}/{n}"))) for n in names if n not in held]
     return sorted(out, key=lambda e: (e.seq, e.run, e.batch))
 
 
+def fold(spark: SparkSession, path: str) -> None:
+    """All entries in one file more; the files of single entries stay, as their names tell what is committed."""
+    folder = Folder(spark, path)
+    foldings = _names(folder)[1]
+    number = 1 + int(foldings[-1][len(FOLDED):-len(".json")]) if foldings else 0
+    folder.publish(f"{MANIFEST}/{FOLDED}{number:09d}.json", json.dumps([asdict(e) for e in entries(spark, path)]))
+
+
 def live_parts(found: list[Entry]) -> dict[str, int]:
     """Part -> seq of its commit, for the parts that no later entry replaces."""
     gone = {p for e in found for p in e.replaces}
@@ -142,10 +163,14 @@ def commit(df: DataFrame, path: str, run: str, batch: int, by: str | None = None
     # one day of one commit is a part: the list is bounded by the batch's time span
     days = [n for n in folder.names(f"{DATA}/{name}") if by and n.startswith(f"{by}=")]
     parts = [f"{name}/{d}" for d in days] if by else [name]
-    before = entries(spark, path)
-    entry = {"seq": 1 + max((e.seq for e in before), default=0), "run": run, "batch": int(batch), "parts": parts,
+    # later than every entry that is there: names are never removed
+    seq = 1 + len(_names(folder)[0])
+    entry = {"seq": seq, "run": run, "batch": int(batch), "parts": parts,
              "replaces": list(replaces), "key": list(key), "schema": df.schema.json()}
-    return folder.publish(f"{MANIFEST}/{run}-{batch}.json", json.dumps(entry))
+    done = folder.publish(f"{MANIFEST}/{run}-{batch}.json", json.dumps(entry))
+    if done and seq % FOLD_EVERY == 0:
+        fold(spark, path)
+    return done
 
 
 def _schema(found: list[Entry], by: str | None) -> T.StructType:
@@ -222,6 +247,7 @@ def compact(spark: SparkSession, path: str, key: tuple[str, ...], by: str | None
     rows = _once(_load(spark, path, found, list(shared), by), shared, key).drop(COMMIT)
     run = f"compact{uuid.uuid4().hex[:12]}"
     commit(rows, path, run, 0, by, order, key, tuple(sorted(shared)), options)
+    fold(spark, path)
     return len(shared)
 
 
