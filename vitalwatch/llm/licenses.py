@@ -15,8 +15,8 @@ highest idf). The first of these that a file has names its licence:
 A licence file names its directory; a file without a licence takes the licence
 of the nearest directory above that has one.
 
-Null texts have no header; null paths have no licence; ties go to the template
-first by name; rows of one path share its headers; an empty table gives an
+Null texts have no header; null paths have no licence; very long texts are read whole (a text in
+one line counts as a line); ties go to the template first by name; rows of one path share its headers; an empty table gives an
 empty result; extra columns are not read.
 """
 

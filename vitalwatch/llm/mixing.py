@@ -6,9 +6,10 @@ the shards of a source, by highest quotients; a shard takes whole passes of
 its line and, for the rest, a run of blocks from a seeded start (wrapping).
 
 Null texts have size 0; null sources are one source, the last; null or
-repeated ids are ordered by size; an empty table gives an empty result.
-The tables that reach the driver hold one row per source and per shard: at
-most ``max_groups`` of them, else it raises.
+repeated ids are ordered by size; a very long text may be taken in part; an empty table gives
+an empty result; columns may have any name. The number of shards grows with the words, so a
+shard's line, which one task orders, does not. The tables that reach the driver hold one row
+per source and per shard: at most ``max_groups`` sources, else it raises, and as many shards.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def apportion(votes: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray:
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
         weights: tuple = WEIGHTS, share: float = 1.5, block: int = 8, n_shards: int = 1024,
-        shard_words: int = 65536, seed: int = 42, max_groups: int = 1_000_000) -> DataFrame:
+        shard_words: int = 65536, most_shard_words: int = 1 << 26, seed: int = 42, max_groups: int = 1_000_000) -> DataFrame:
     """doc_id, key (hash of the text), source, size, source_size, target, full (whole passes),
     spans (word ranges taken once more) and taken."""
     spark = docs.sparkSession
@@ -79,6 +80,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     words = np.array([r["words"] for r in by_source], float)
     weight = np.array([weights[i % len(weights)] for i in range(len(words))])
     goal = targets(words, weight, share * words.sum()) if len(words) else words
+    n_shards = min(max_groups, max(n_shards, int(words.sum() // most_shard_words)))
     shards = np.maximum(1, np.minimum(np.ceil(n_shards * words / max(1.0, words.sum())),
                                       words // shard_words)).astype(int)
     plan = spark.createDataFrame(

@@ -9,7 +9,7 @@ which returns a spanning forest of the links that it finds.
 Null and empty texts have fingerprint zero and link like any other; repeated
 rows and ties share a component; null ids take part as fingerprints but never
 name a component (a component of null ids only is null); extra columns of the
-input are not read; an empty table gives an empty result.
+input are not read; very long texts are hashed whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ by the bucket ids at offsets 8, 16, 32, ..., each pass reusing the refined ids.
 Runs of a q-gram with very many different runs are split by window hash.
 
 Null and empty texts have no bytes; repeated rows are copies of each other;
-texts are told apart by id and hash of the text; an empty table gives no rows.
+texts are told apart by id and hash of the text, so rows of one id (or of none) with different
+texts are documents of their own; very long texts travel in overlapping pieces; an empty
+table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
