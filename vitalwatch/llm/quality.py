@@ -91,19 +91,13 @@ def verdict(measure, rules=RULES) -> Column:
     return kept
 
 
-def judged(text: Column, rules=RULES) -> Column:
-    """One row of all measures, ``base_failed`` and ``kept``, as an array for ``inline``.
+def _measured(docs: DataFrame, text: str) -> DataFrame:
+    """(row, measures): the row travels as one value, and one projection shares the split among all measures."""
+    return docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(k) for k, c in measures(F.col(text)).items()])
 
-    They leave through a generator, so a later filter on the verdict is not pushed below it, where the text
-    would be measured once for each rule.
-    """
-    m = F.struct(*[c.alias(k) for k, c in measures(text).items()])
-
-    def row(x: Column) -> Column:
-        failed = (x["n_words"] < 50) | (F.lit(100) * x["n_repeat_words"] > F.lit(50) * x["n_words"])
-        return F.struct(*[x[k].alias(k) for k in MEASURES], failed.alias("base_failed"), (~failed & verdict(lambda k: x[k], rules)).alias("kept"))
 
-    return F.transform(F.array(m), row)
+def _base_failed() -> Column:
+    return (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", rules=RULES, prefix: str = "q_") -> DataFrame:
@@ -111,11 +105,16 @@ def quality_rules(docs: DataFrame, text: str = "text", rules=RULES, prefix: str
     underscores in front until no column of ``docs`` begins with it)."""
     while any(c.startswith(prefix) for c in docs.columns):
         prefix = "_" + prefix
-    m = docs.select(F.struct(*docs.columns).alias("row"), F.inline(judged(F.col(text), rules)))
-    return m.select("row.*", *[F.col(k).alias(prefix + k) for k in (*MEASURES, "base_failed", "kept")])
+    return _measured(docs, text).select(
+        "row.*", *[F.col(k).alias(prefix + k) for k in MEASURES], _base_failed().alias(prefix + "base_failed"),
+        (~_base_failed() & verdict(F.col, rules)).alias(prefix + "kept"))
 
 
 def kept_documents(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects; columns may have any name."""
-    m = docs.select(F.struct(*docs.columns).alias("row"), F.inline(judged(F.col(text), rules)))
-    return m.where("kept").select("row.*")
+    """The rows of ``docs`` that no rule rejects; columns may have any name.
+
+    The verdict leaves through a generator: a filter on it is not pushed below the projection, where the text
+    would be measured anew for each rule.
+    """
+    told = F.struct((~_base_failed() & verdict(F.col, rules)).alias("kept"))
+    return _measured(docs, text).select("row", F.inline(F.array(told))).where("kept").select("row.*")
