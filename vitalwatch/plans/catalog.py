@@ -306,7 +306,8 @@ def disordered_run(spark: SparkSession, sf_dir: str, slices_per_batch: int = 1)
     done = read_table(spark, f"{base}/readings").select(*flags)
     held = drain(spark, f"{base}/checkpoint", source, **DISORDER).select(*flags)
     late = commits.read_table(spark, f"{base}/late", empty=T.StructType.fromDDL("event_id bigint, reason string")).select("event_id", *[F.lit(None).cast("boolean").alias(c) for c in flags[1:]], "reason")
-    return done.unionByName(held).withColumn("reason", F.lit(None).cast("string")).unionByName(late)
+    rows = done.unionByName(held).withColumn("reason", F.lit(None).cast("string")).unionByName(late)
+    return rows.select("event_id", *[F.col(c).cast("string").alias(c) for c in flags[1:]], "reason")  # a late row has no flags
 
 
 def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -257,7 +257,8 @@ def oracle_queries(start: str, end: str, rule_ids: dict, trend_ids: dict,
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 HOUR, false) AS late "
             f"FROM (SELECT *, {seq} AS seq FROM {sent} r) s")
     out["stream_out_of_order"] = (f"WITH told AS ({told}), {detected_cte(th, 'SELECT * FROM told WHERE NOT late')} "
-                                  f"SELECT event_id, rule_any, trend_any, is_anomaly, NULL::VARCHAR AS reason FROM detected "
+                                  f"SELECT event_id, rule_any::VARCHAR AS rule_any, trend_any::VARCHAR AS trend_any, "
+                                  f"is_anomaly::VARCHAR AS is_anomaly, NULL::VARCHAR AS reason FROM detected "
                                   f"UNION ALL SELECT event_id, NULL, NULL, NULL, 'late' FROM told WHERE late")
     out["stream_resumed"] = (f"{cooldown_sql(7200, th, tail=None)}, kept AS ({ALERTS}) SELECT event_id, trend_any, is_anomaly, "
                              f"event_id IN (SELECT event_id FROM kept) AS alert FROM detected")
