@@ -6,7 +6,8 @@ rule fires only when the current value is non-null and the history is full.
 
 Plan. All eight windows share one hash exchange on the device key; each adds
 only a sort (``isNotNull`` of the metric is a partition column, so NULL rows
-never take a frame slot).
+never take a frame slot). The exchange has a partition for every ``TASK_ROWS``
+rows, as the eight sorts of a task hold its rows eight times.
 
 Hot devices. One device may hold a large share of all rows; a window
 partitioned by device would then run in one task. A cheap aggregate counts
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..thresholds import DEFAULT, Thresholds, TrendRule
-from .sizing import HotKeys, broadcast_if_small, hot_keys
+from .sizing import HotKeys, broadcast_if_small, dealt, hot_keys
 
 # Rows per window task for one device before it is cut into chunks.
 DEFAULT_CHUNK_ROWS = 1_000_000
@@ -94,10 +95,9 @@ def add_trend_columns(df: DataFrame, th: Thresholds = DEFAULT,
         hot = hot_keys(df, key, chunk_rows)
     if not hot:
         # no device is big enough to matter: one exchange on the key, 8 sorts
-        rep = df.repartition(key)
-        return _flags(_windows(rep, th, [key], order, edges=False), th)
+        return _flags(_windows(dealt(df, hot.n_rows, key), th, [key], order, edges=False), th)
     keys = broadcast_if_small(hot.table, hot.n_keys, broadcast_rows)
-    cold = df.join(keys, key, "left_anti").repartition(key)
+    cold = dealt(df.join(keys, key, "left_anti"), hot.n_rows, key)
     whole = _windows(cold, th, [key], order, edges=False)
     cut = _repaired(chunks(df.join(keys, key, "left_semi"), key, order, hot), th, order, key,
                     hot, broadcast_rows)
@@ -119,7 +119,8 @@ def chunks(rows: DataFrame, key: str, order: list[str], hot: HotKeys) -> DataFra
 
 def _repaired(rep, th, order, key, hot, broadcast_rows) -> DataFrame:
     h = th.history
-    win = _windows(rep, th, [key, _CHUNK], order, edges=True)
+    rows = min(hot.n_rows, hot.n_chunks * hot.chunk_rows)
+    win = _windows(dealt(rep, rows, key, _CHUNK), th, [key, _CHUNK], order, edges=True)
 
     # edge values of chunks: first and last h-1 non-null values per metric, taken
     # in ONE pass over the windowed rows (one branch, exploded per metric)
