@@ -114,6 +114,11 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("d", "t", "b").mapInArrow(run, "h long, c long, d long, t long, s long, m int")
 
 
+def _heads(x: np.ndarray) -> np.ndarray:
+    """For each place of a sorted array the first place of the same value."""
+    return np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0))
+
+
 def repeated(buf: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """For each window start: whether the same ``length`` bytes start at another of them."""
     n = len(buf)
@@ -122,20 +127,24 @@ def repeated(buf: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     key = np.zeros(n + length, np.uint64)
     for k in range(8):
         key = key << np.uint64(8) | full[k : k + n + length].astype(np.uint64)
-    rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
-    depth, size = 8, np.int64(n + length + 1)
+    # a bucket's id is its place in the sorted order, so a refined one finds room for its parts
+    order = np.argsort(key)
+    rank = np.empty(len(key), np.int64)
+    rank[order] = _heads(key[order])
+    depth = 8
     while depth < length:
         step = min(depth, length - depth)
         live = np.flatnonzero(np.bincount(rank)[rank] > 1)  # buckets of one suffix are done
+        if not len(live):
+            break
         later = np.zeros(len(live), np.int64)
         inside = live + step < len(rank)
         later[inside] = rank[live[inside] + step] + 1
-        order = np.lexsort((later, rank[live]))
-        pair = rank[live[order]] * (size + 1) + later[order]
-        first = np.r_[True, pair[1:] != pair[:-1]]
-        fresh = rank.copy()
-        fresh[live[order]] = rank.max() + 1 + np.cumsum(first)
-        rank = np.unique(fresh, return_inverse=True)[1].astype(np.int64)
+        pair = rank[live] * (len(rank) + 1) + later
+        order = np.argsort(pair)
+        pair, live = pair[order], live[order]
+        old = rank[live]
+        rank[live] = old + _heads(pair) - _heads(old)
         depth += step
     own = rank[starts]
     return np.bincount(own, minlength=1)[own] > 1
