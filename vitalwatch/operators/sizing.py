@@ -66,8 +66,10 @@ def hot_keys(df: DataFrame, key: str, chunk_rows: int) -> HotKeys:
 def dealt(df: DataFrame, n_rows: int, *by: str) -> DataFrame:
     """``df`` (at most ``n_rows`` rows) by hash of ``by``, about ``TASK_ROWS`` rows in a partition.
 
-    A small table keeps a partition per core. The count is given, so the adaptive reader does not merge partitions.
+    The count is given, so the adaptive reader does not merge partitions, unless all rows would do for one.
     """
+    if n_rows <= TASK_ROWS:
+        return df.repartition(*by)
     spark = df.sparkSession
     least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return df.repartition(max(least, -(-n_rows // TASK_ROWS)), *by)
