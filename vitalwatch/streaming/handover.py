@@ -17,8 +17,7 @@ from ..functions.parse import parse_messages
 from ..operators.sizing import micros
 from ..thresholds import DEFAULT, Thresholds
 from .job import TIME_TEXT, from_step, to_step
-from .kernel import Past, flag_rows
-from .processor import PACKED, DetectProcessor, join_rows, take, unpack_rows
+from .processor import BUCKET, PACKED, DetectProcessor, Pasts, told
 
 TIES = ("partition", "offset", "event_id")
 
@@ -58,26 +57,22 @@ def drain(spark: SparkSession, checkpoint: str, raw: DataFrame, th: Thresholds =
           mode: str = "strict") -> DataFrame:
     """Flagged rows that wait in the state of the stopped query at ``checkpoint``; the same arguments as its ``flag_stream``.
 
-    ``raw`` gives the columns of the source only. A device's waiting rows are bounded by its wait time.
+    ``raw`` gives the columns of the source only. A bucket's waiting rows are bounded by the wait time of its devices.
     """
     parsed = parse_messages(raw, keep=keep, mode=mode, extra_fields=extra_fields, time_text=TIME_TEXT)
     good = parsed.drop("raw", "reason")
     _, arrival, payload = to_step(good, order, th)
     state = lambda name, column: (spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
-                                  .select(F.col("key.device_id").alias("device_id"), column))
-    past = state("device", F.col("value.past").alias("past")).withColumn("rows", F.lit(None).cast("binary"))
-    rows = state("waiting", F.col("list_element.rows").alias("rows")).withColumn("past", F.lit(None).cast("binary"))
+                                  .select(F.col(f"key.{BUCKET}").alias(BUCKET), column))
+    pasts = state("devices", F.col("value.pasts").alias("pasts")).withColumn("rows", F.lit(None).cast("binary"))
+    rows = state("waiting", F.col("list_element.rows").alias("rows")).withColumn("pasts", F.lit(None).cast("binary"))
     step = DetectProcessor(arrival, th, gap_seconds)
 
     def finish(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        held = [unpack_rows(bytes(r)) for r in pdf["rows"] if r is not None]
-        if not held:
-            return pd.DataFrame({"device_id": [], "rows": []})
-        cols = join_rows(held)
-        known = [bytes(p) for p in pdf["past"] if p is not None]
-        cols = take(cols, step.event_order(cols))
-        past = Past.load(known[0], th) if known else Past.new(th)
-        return pd.DataFrame({"device_id": [key[0]], "rows": [step.packed(flag_rows(cols, past, th, step.gap_us))]})
+        held = step.waiting_rows([bytes(r) for r in pdf["rows"] if r is not None])
+        known = [Pasts.load(bytes(p)) for p in pdf["pasts"] if p is not None]
+        pasts = known[0] if known else Pasts(0)
+        return told([(device, step.flagged(cols, pasts.get(device, th))) for device, cols in held.items()])
 
-    out = past.unionByName(rows).groupBy("device_id").applyInPandas(finish, PACKED)
+    out = pasts.unionByName(rows).groupBy(BUCKET).applyInPandas(finish, PACKED)
     return from_step(out, payload, good.schema["reading_ts"].dataType, th)
