@@ -14,6 +14,7 @@ import model
 from vitalwatch.operators.detect import detect
 from vitalwatch.schema import METRICS
 from vitalwatch.sinks.parquet import read_table
+from vitalwatch.streaming import refresh
 from vitalwatch.streaming.handover import device_past, drain
 from vitalwatch.streaming.processor import Pasts
 
@@ -72,3 +73,15 @@ def test_waiting_rows_and_pasts_of_a_bucket_stay_apart(spark, scratch):
     held = drain(spark, f"{scratch}/ck", src, **how)
     got = {r["event_id"]: (r["is_anomaly"], r["alert"]) for r in held.collect()}
     assert len(got) == len(rows) and got == {k: want[k] for k in got}
+
+
+def test_an_answer_is_merged_in_partitions(spark, scratch, monkeypatch):
+    seen = []
+    commit = refresh.commits.commit
+    monkeypatch.setattr(refresh.commits, "commit", lambda df, *a, **k: seen.append(df) or commit(df, *a, **k))
+    rows = spark.createDataFrame([(i, "d", at(i), True) for i in range(5)], "event_id long, device_id string, t string, is_anomaly boolean").select(
+        "event_id", "device_id", F.col("t").cast("timestamp_ntz").alias("reading_ts"), *[F.lit(1.0).alias(m) for m in METRICS], "is_anomaly")
+    refresh.Refresher(f"{scratch}/answers")(rows, "a", 0)
+    assert len(seen) == 3 and all("Coalesce" not in df._jdf.queryExecution().executedPlan().toString() for df in seen)
+    days = refresh.answer(spark, f"{scratch}/answers", refresh.DAYS).collect()
+    assert [(r["n_readings"], r["n_anomalies"]) for r in days] == [(5, 5)]

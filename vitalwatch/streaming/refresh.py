@@ -67,7 +67,8 @@ class Refresher:
         before = [e for e in commits.entries(spark, path) if e.run == run]
         parts = tuple(commits.live_parts(before))
         both = commits.read_table(spark, path, run=run).unionByName(new) if before else new
-        commits.commit(merge(both).coalesce(1), path, run, batch_id, replaces=parts)  # an answer is small
+        # an answer is small; merged in its own partitions first, as one task merging all would hold the buffers of each until its end
+        commits.commit(merge(both).repartition(1), path, run, batch_id, replaces=parts)
 
 
 def answer(spark: SparkSession, path: str, name: str, run: str | None = None) -> DataFrame:
