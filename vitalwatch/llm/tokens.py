@@ -81,15 +81,19 @@ class Encoder:
     all are gathered by numpy. Where the tokenizer ends every run by a token of its own kind
     (the end-of-word suffix), new runs go through the library as one long text.
 
-    Both tables are emptied at ``most`` entries (bounded memory). The file is read at first use."""
+    Each table is emptied at ``most`` entries (bounded memory); parts are fewer and cost more, so they stay when
+    the words go. The file is read at first use."""
 
     def __init__(self, path: str, most: int = 1_000_000):
         self.path, self.most, self.t = path, most, None
-        self._empty()
-
-    def _empty(self) -> None:
         self.words, self.word_ids, self.parts, self.part_ids = Places(), Pool(), Places(), Pool()
 
+    def _make_room(self) -> None:
+        if len(self.words) > self.most:
+            self.words, self.word_ids = Places(), Pool()
+        if len(self.parts) > self.most:
+            self.parts, self.part_ids = Places(), Pool()
+
     def load(self):
         if self.t is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -125,7 +129,8 @@ class Encoder:
         new = list(islice(self.words, len(self.word_ids), None))
         if not new:
             return
-        plain = [PART.findall(w.lower()) if PLAIN.fullmatch(w) else None for w in new]
+        # a word of ASCII letters is one run
+        plain = [[w.lower()] if w.isascii() and w.isalpha() else PART.findall(w.lower()) if PLAIN.fullmatch(w) else None for w in new]
         runs = [p for ps in plain if ps is not None for p in ps]
         places = np.fromiter(map(self.parts.__getitem__, runs), np.int64, len(runs))
         lack = list(islice(self.parts, len(self.part_ids), None))
@@ -149,8 +154,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
-        if len(self.words) > self.most or len(self.parts) > self.most:
-            self._empty()
+        self._make_room()
         places, counts = [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             ws = text.split() if MORE_SPACE.search(text) is None else WORD.findall(text)
