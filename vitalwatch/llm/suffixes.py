@@ -96,7 +96,7 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         r, parts, meta, held = Runs(length), [], [], 0
-        for b in batches:
+        for b in _few(batches):
             for d, t, x in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 step = PIECE - length
                 for o in range(0, max(1, len(x) - length + 1), step):
@@ -116,40 +116,58 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
 
 def _heads(x: np.ndarray) -> np.ndarray:
     """For each place of a sorted array the first place of the same value."""
-    return np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0))
+    out = np.arange(len(x), dtype=np.int32 if len(x) < 1 << 31 else np.int64)
+    out[1:][x[1:] == x[:-1]] = 0
+    return np.maximum.accumulate(out, out=out)
 
 
 def repeated(buf: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """For each window start: whether the same ``length`` bytes start at another of them."""
+    """For each window start: whether the same ``length`` bytes start at another of them.
+
+    Holds about 55 bytes for each byte of ``buf`` at most."""
     n = len(buf)
-    tail = np.zeros(length + 8, np.uint8)
-    full = np.concatenate([buf, tail])
-    key = np.zeros(n + length, np.uint64)
-    for k in range(8):
-        key = key << np.uint64(8) | full[k : k + n + length].astype(np.uint64)
+    full = np.concatenate([buf, np.zeros(length + 8, np.uint8)])
+    key = np.ndarray(n + length, ">u8", full, strides=(1,)).astype(np.uint64)
     # a bucket's id is its place in the sorted order, so a refined one finds room for its parts
     order = np.argsort(key)
-    rank = np.empty(len(key), np.int64)
-    rank[order] = _heads(key[order])
+    key = key[order]
+    head = _heads(key)
+    del key
+    rank = np.empty_like(head)
+    rank[order] = head
+    del order, head
     depth = 8
     while depth < length:
         step = min(depth, length - depth)
-        live = np.flatnonzero(np.bincount(rank)[rank] > 1)  # buckets of one suffix are done
+        live = np.flatnonzero((np.bincount(rank) > 1)[rank])  # buckets of one suffix are done
         if not len(live):
             break
-        later = np.zeros(len(live), np.int64)
-        inside = live + step < len(rank)
-        later[inside] = rank[live[inside] + step] + 1
-        pair = rank[live] * (len(rank) + 1) + later
+        pair = rank[live].astype(np.int64)
+        pair *= len(rank) + 1
+        inside = np.searchsorted(live, len(rank) - step)  # the others have nothing that far on
+        pair[:inside] += rank[live[:inside] + step]
+        pair[:inside] += 1
         order = np.argsort(pair)
-        pair, live = pair[order], live[order]
+        live, pair = live[order], pair[order]
+        del order
+        head = _heads(pair)
+        del pair
         old = rank[live]
-        rank[live] = old + _heads(pair) - _heads(old)
+        head -= _heads(old)
+        old += head
+        rank[live] = old
         depth += step
     own = rank[starts]
     return np.bincount(own, minlength=1)[own] > 1
 
 
+def _few(batches, rows: int = 512):
+    """The same rows a few at a time, so that a batch is never held whole as Python objects."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def _ranges(ok: np.ndarray, run: np.ndarray, pos: np.ndarray):
     """(run, first, number) of neighbouring windows marked in one run."""
     i = np.flatnonzero(ok)
@@ -159,12 +177,12 @@ def _ranges(ok: np.ndarray, run: np.ndarray, pos: np.ndarray):
     return run[i[new]], pos[i[new]], np.diff(np.r_[new, len(i)])
 
 
-def repeated_spans(docs: DataFrame, length: int, hot: int | None = None, bucket_bytes: int = 4 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int, hot: int | None = None, bucket_bytes: int = 2 << 20) -> DataFrame:
     """(d, t, s, n): windows s .. s + n - 1 of a document whose bytes occur elsewhere too.
 
     ``hot``: different runs of one q-gram beyond which they are split by window hash; by default
-    those that would fill a bucket of ``bucket_bytes`` alone."""
-    hot = bucket_bytes // length if hot is None else hot
+    those that would fill two buckets of ``bucket_bytes`` alone."""
+    hot = 2 * bucket_bytes // length if hot is None else hot
     r = runs(docs, length)
     twice = r.groupBy("h").count().where("count > 1").select("h")
     some = stored(r.join(twice, "h", "left_semi"), "suffix-runs")
@@ -180,7 +198,7 @@ def repeated_spans(docs: DataFrame, length: int, hot: int | None = None, bucket_
                       docs["d"].eqNullSafe(F.col("d2")) & (docs["t"] == F.col("t2"))).select("d", "t", "b", "runs")
 
     def cut(batches):
-        for b in batches:
+        for b in _few(batches):
             rows = []
             for d, t, x, rs in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 rows += [(d, t, k["s"], k["g"], k["one"], k["hot"], x[k["s"] : k["s"] + k["m"] + length - 1]) for k in rs]
@@ -229,7 +247,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     j = own.join(spans, own["d"].eqNullSafe(F.col("d2")) & (own["t"] == F.col("t2")), "left").select("d", "b", "spans")
 
     def take(batches):
-        for b in batches:
+        for b in _few(batches):
             out = []
             for d, x, sp in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 edge = np.zeros(len(x) + 1, np.int64)
