@@ -27,6 +27,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,11 +37,14 @@ from .scratch import kept, new_path, stored
 MAGIC, HEAD, BLOCK = b"VWTOKS01", "<8sIIQQ", 65536
 HEAD_SIZE = struct.calcsize(HEAD)
 WORD = re.compile(r"[^ \n\t\r]+")
-# what str.split takes for white space besides: a text with any of it is cut by WORD
-MORE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# what Arrow's split takes for white space besides: texts with any of it are cut by WORD
+MORE_SPACE = "\x0b\x0c"
 # letters and ASCII marks whose runs the tokenizer's pattern always parts; no apostrophe, no "<"
 PLAIN = re.compile(r"(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:;=-@\[-`{-~]+)+")
 PART = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:;=-@\[-`{-~]+")
+MARKS = frozenset(c for c in map(chr, range(128)) if PART.fullmatch(c) and not c.isalpha())
+# texts encoded at once: so many, and so many bytes unless one text has more
+SOME, SOME_BYTES = 1024, 4 << 20
 
 
 class Places(dict):
@@ -51,6 +55,11 @@ class Places(dict):
         return place
 
 
+def newest(places: Places, n: int) -> list[str]:
+    """The last ``n`` texts, in their order."""
+    return list(islice(reversed(places), n))[::-1]
+
+
 class Pool:
     """Id sequences one after another; sequence i is ids[start[i] : start[i + 1]]."""
 
@@ -126,21 +135,32 @@ class Encoder:
 
     def _learn(self) -> None:
         """Ids of the words that have a place but no ids yet."""
-        new = list(islice(self.words, len(self.word_ids), None))
+        new = newest(self.words, len(self.words) - len(self.word_ids))
         if not new:
             return
-        # a word of ASCII letters is one run
-        plain = [[w.lower()] if w.isascii() and w.isalpha() else PART.findall(w.lower()) if PLAIN.fullmatch(w) else None for w in new]
-        runs = [p for ps in plain if ps is not None for p in ps]
+        runs, n_runs, odd = [], [], []
+        for w in new:
+            if w.isascii() and w.isalpha():  # one run
+                runs.append(w)
+                n_runs.append(1)
+            elif w.isascii() and w[-1:] in MARKS and w[:-1].isalpha():
+                runs += w[:-1], w[-1]
+                n_runs.append(2)
+            elif PLAIN.fullmatch(w):
+                runs += (ps := PART.findall(w))
+                n_runs.append(len(ps))
+            else:
+                odd.append(w)
+                n_runs.append(-1)
+        runs = "\n".join(runs).lower().split("\n") if runs else runs
         places = np.fromiter(map(self.parts.__getitem__, runs), np.int64, len(runs))
-        lack = list(islice(self.parts, len(self.part_ids), None))
+        lack = newest(self.parts, len(self.parts) - len(self.part_ids))
         if lack:
             self.part_ids.add(*self._library(lack))
         run_ids, run_lengths = self.part_ids.take(places)
-        odd = [w for w, ps in zip(new, plain, strict=True) if ps is None]
         odd_ids, odd_lengths = self._one_by_one(odd) if odd else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
         # lengths of the words in order; plain ones are sums over their runs
-        n_runs = np.array([-1 if ps is None else len(ps) for ps in plain])
+        n_runs = np.array(n_runs)
         is_odd = n_runs < 0
         lengths = np.zeros(len(new), np.int64)
         ends = np.cumsum(n_runs[~is_odd])
@@ -152,16 +172,21 @@ class Encoder:
         ids[~owner], ids[owner] = run_ids, odd_ids
         self.word_ids.add(ids, lengths)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each); null is an empty text."""
         self._make_room()
-        places, counts = [], np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            ws = text.split() if MORE_SPACE.search(text) is None else WORD.findall(text)
-            counts[k] = len(ws)
-            places.append(np.fromiter(map(self.words.__getitem__, ws), np.int64, len(ws)))
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())).fill_null("")
+        if any(pc.any(pc.match_substring(texts, c)).as_py() for c in MORE_SPACE):
+            words = pa.array([WORD.findall(t) for t in texts.to_pylist()], pa.large_list(pa.large_string()))
+        else:
+            words = pc.ascii_split_whitespace(texts)  # an empty word has no ids
+        # a word is looked up once for all texts
+        coded = words.flatten().dictionary_encode()
+        met = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = np.fromiter(map(self.words.__getitem__, met), np.int64, len(met))
         self._learn()
-        ids, lengths = self.word_ids.take(np.concatenate(places) if places else np.zeros(0, np.int64))
+        ids, lengths = self.word_ids.take(places[coded.indices.to_numpy()])
+        counts = words.value_lengths().to_numpy().astype(np.int64)
         total, ends = np.concatenate([[0], np.cumsum(lengths)]), np.cumsum(counts)
         return ids, total[ends] - total[ends - counts]
 
@@ -250,6 +275,16 @@ class ShardReader:
         return np.concatenate(parts)[a - first * self.block : b - first * self.block]
 
 
+def some(texts: pa.Array):
+    """(first, number) of runs of up to SOME texts and SOME_BYTES bytes, or of one larger text."""
+    ends, k = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64), 0
+    while k < len(texts):
+        before = int(ends[k - 1]) if k else 0
+        n = min(SOME, int(np.searchsorted(ends, before + SOME_BYTES, side="right")) - k)
+        yield k, max(1, n)
+        k += max(1, n)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, bits: int,
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Writes the shards and returns the manifest (shard, file, n_docs, n_ids), one row per file."""
@@ -257,15 +292,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, bits:
         encoder, writer, shard = kept(("tokens", tokenizer), lambda: Encoder(tokenizer)), None, None
         store, root = pafs.FileSystem.from_uri(path)
         for b in batches:
-            numbers, texts = b.column(1).to_pylist(), b.column(2).to_pylist()
-            if writer is None and texts:
+            numbers, texts = b.column(1).to_pylist(), b.column(2)
+            if writer is None and len(texts):
                 shard = b.column(0)[0].as_py()
                 store.create_dir(root, recursive=True)
                 name = f"{shard:07d}-{uuid.uuid4().hex}.tok"
                 writer = ShardWriter(store.open_output_stream(f"{root}/{name}"), bits)
-            for k in range(0, len(texts), 256):  # a few texts at a time: bounded memory
-                ids, lengths = encoder.encode([t or "" for t in texts[k : k + 256]])
-                writer.add(numbers[k : k + 256], np.insert(ids, np.cumsum(lengths), end_id), lengths + 1)
+            for k, n in some(texts):  # a few texts at a time: bounded memory
+                ids, lengths = encoder.encode(texts.slice(k, n))
+                writer.add(numbers[k : k + n], np.insert(ids, np.cumsum(lengths), end_id), lengths + 1)
         if writer is not None:
             writer.close()
             yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([name]), pa.array([len(writer.ids)], pa.int64()),
