@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import READING_SCHEMA
-from vitalwatch.operators import sizing
-from vitalwatch.operators.detect import check_hot, detect
+from vitalwatch.operators import sizing, trends
+from vitalwatch.operators.detect import ORDER, check_hot, detect
 
 
 def _readings(spark, n, devices):
@@ -32,3 +32,17 @@ def test_rows_are_counted_with_and_without_hot_keys(spark):
     hot = check_hot(r, 40)  # d0 has 54 rows; the two rows without a device are never hot
     assert (hot.n_rows, hot.n_keys, hot.n_chunks) == (130, 1, 2) and hot.table.first()[0] == "d0"
     assert check_hot(r.limit(0)).n_rows == 0 and not check_hot(r.limit(0))
+
+
+@pytest.mark.parametrize("task_rows", [250_000, 300])
+def test_short_chunks_need_no_task_each(spark, monkeypatch, task_rows):
+    monkeypatch.setattr(trends, "TASK_ROWS", task_rows, raising=False)
+    r = _readings(spark, 2000, 2).withColumn("reading_ts", F.expr("timestampadd(SECOND, event_id % 500, TIMESTAMP_NTZ'2024-01-01 00:00:00')"))
+    hot = check_hot(r, 10)
+    cut = trends.chunks(r, "device_id", list(ORDER), hot)
+    assert cut.rdd.getNumPartitions() == -(-3000 // task_rows) + 1  # 301 when each chunk was a range
+    sizes = [x["count"] for x in cut.groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 10 and len(sizes) <= 200 + cut.rdd.getNumPartitions()
+    # chunks follow one another along device and order
+    ends = cut.groupBy("_chunk").agg(F.min(F.struct("device_id", *ORDER)).alias("a"), F.max(F.struct("device_id", *ORDER)).alias("e")).orderBy("_chunk").collect()
+    assert all(x["e"] < y["a"] for x, y in zip(ends, ends[1:], strict=False))

@@ -11,8 +11,8 @@ rows, as the eight sorts of a task hold its rows eight times.
 
 Hot devices. One device may hold a large share of all rows; a window
 partitioned by device would then run in one task. A cheap aggregate counts
-rows per device first. Only the devices above ``chunk_rows`` are cut, into ranges
-of (device, order) of at most about ``chunk_rows`` rows each, and the window
+rows per device first. Only the devices above ``chunk_rows`` are cut, into chunks
+of at most ``chunk_rows`` rows along (device, order), and the window
 runs per (device, chunk). Only the first ``history - 1`` values of a metric
 in a chunk see a short frame; they are repaired from the tails of the
 preceding chunks in a small table (one row per chunk) that is joined back by
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..thresholds import DEFAULT, Thresholds, TrendRule
-from .sizing import HotKeys, broadcast_if_small, dealt, hot_keys
+from .sizing import TASK_ROWS, HotKeys, broadcast_if_small, dealt, hot_keys
 
 # Rows per window task for one device before it is cut into chunks.
 DEFAULT_CHUNK_ROWS = 1_000_000
@@ -104,17 +104,27 @@ def add_trend_columns(df: DataFrame, th: Thresholds = DEFAULT,
     return _flags(whole.unionByName(cut), th)
 
 
+def n_ranges(hot: HotKeys) -> int:
+    """Ranges into which the rows of hot devices are sorted: of ``TASK_ROWS`` rows, or of one chunk where that is larger.
+
+    Half as many again as needed keep the sampling error of the cuts below that.
+    """
+    rows = min(hot.n_rows, hot.n_chunks * hot.chunk_rows)
+    return -(-3 * rows // (2 * max(TASK_ROWS, hot.chunk_rows))) + 1
+
+
 def chunks(rows: DataFrame, key: str, order: list[str], hot: HotKeys) -> DataFrame:
-    """Rows of hot devices with ``_chunk``: ranges of (device, order) of about equal row counts.
+    """Rows of hot devices with ``_chunk``: places of (device, order), each of at most ``chunk_rows`` rows.
 
     Ranges are cut by sampled row counts, so neither bursts nor wrong clocks make a
-    large one; half as many again as needed keep the sampling error below
-    ``chunk_rows``. Written once, as several branches read the same cut.
+    large one; each is sorted, and its rows are counted off in chunks. So there are as many
+    tasks as ranges, however short the chunks. Written once, as several branches read the same cut.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    parts = hot.n_chunks + hot.n_chunks // 2 + 1
-    return (rows.repartitionByRange(parts, key, *order)
-            .withColumn(_CHUNK, F.spark_partition_id()).checkpoint())
+    place = F.monotonically_increasing_id()  # of a row in its range, below the number of the range
+    within = F.col(_CHUNK).bitwiseAND(F.lit((1 << 33) - 1))
+    return (rows.repartitionByRange(n_ranges(hot), key, *order).sortWithinPartitions(key, *order)
+            .withColumn(_CHUNK, place).withColumn(_CHUNK, F.col(_CHUNK) - within % F.lit(hot.chunk_rows)).checkpoint())
 
 
 def _repaired(rep, th, order, key, hot, broadcast_rows) -> DataFrame:
@@ -163,8 +173,8 @@ def _repaired(rep, th, order, key, hot, broadcast_rows) -> DataFrame:
     fix = (ends.select(key, _CHUNK, "_metric", seen.alias("_w"))
            .select(key, _CHUNK, F.struct("_metric", fixed.alias("f")).alias("_p"))
            .groupBy(key, _CHUNK).agg(F.map_from_entries(F.collect_list("_p")).alias("_fix")))
-    # bound: a chunk row per range, and one more where a range holds the end of a device
-    out = win.join(broadcast_if_small(fix, 2 * hot.n_chunks + hot.n_keys + 1, broadcast_rows // 64),
+    # bound: the full chunks, the last one of each range, and one more where a chunk holds the end of a device
+    out = win.join(broadcast_if_small(fix, hot.n_chunks + n_ranges(hot) + hot.n_keys, broadcast_rows // 64),
                    [key, _CHUNK], "left")
     repl = []
     for t in th.trends:
