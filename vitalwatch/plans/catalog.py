@@ -291,6 +291,7 @@ def stream_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WAIT_SECONDS = 7200
+FILE_ROWS = 250_000
 DISORDER_CUTS = tuple(f"2024-01-{d:02d} 00:00:00" for d in range(7, 31, 6))
 DISORDER = {"extra_fields": {"event_id": "bigint", "seq": "bigint"}, "order": ("seq", "event_id")}
 
@@ -298,8 +299,11 @@ DISORDER = {"extra_fields": {"event_id": "bigint", "seq": "bigint"}, "order": ("
 def disordered_run(spark: SparkSession, sf_dir: str, slices_per_batch: int = 1) -> DataFrame:
     """Messages out of order through a stream that waits for two hours; the rows of its end are drained."""
     base = scratch_dir(spark, f"disorder-{uuid.uuid4().hex}")
-    _slices(disordered_messages(spark, sf_dir), "arrival", DISORDER_CUTS, f"{base}/in", 2)
-    source = _source_files(spark, f"{base}/in", 2 * slices_per_batch)
+    messages = disordered_messages(spark, sf_dir)
+    # a slice is written by a task for each file
+    files = max(2, -(-messages.count() // ((len(DISORDER_CUTS) + 1) * FILE_ROWS)))
+    _slices(messages, "arrival", DISORDER_CUTS, f"{base}/in", files)
+    source = _source_files(spark, f"{base}/in", files * slices_per_batch)
     flagged = flag_stream(source, wait_seconds=WAIT_SECONDS, **DISORDER)
     _run_stream(flagged, f"{base}/checkpoint", batch_writer(f"{base}/readings", f"{base}/alerts", late_path=f"{base}/late"))
     flags = ["event_id", "rule_any", "trend_any", "is_anomaly"]
